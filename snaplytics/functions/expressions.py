@@ -123,7 +123,8 @@ def region_from_path(path_col: Column, template: str) -> Column:
     name = template.split("/")[-1]
     prefix, suffix = name.split("{region}")
     pattern = "(?:^|/)" + re.escape(prefix) + "([^/]+?)" + re.escape(suffix) + "(?:/|$)"
-    return F.regexp_extract(path_col, pattern, 1)
+    # file paths are URIs: a partition value "MIDDLE EAST" shows up as MIDDLE%20EAST
+    return F.url_decode(F.regexp_extract(path_col, pattern, 1))
 
 
 __all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "Column", "F")]

@@ -119,3 +119,229 @@ def _e6(spark, d):
 def _e7(spark, d):
     """E7 W3."""
     return E.report_region_sample(fact_star(spark, d), category_dim(spark, d))
+
+
+# -- cleaning, dedup, joins, validation (C, D, J, V) ---------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from snaplytics import sinks as K  # noqa: E402
+from snaplytics.functions import expressions as X  # noqa: E402
+from snaplytics.operators import clean as C  # noqa: E402
+from snaplytics.operators import quality as Q  # noqa: E402
+from snaplytics.operators.dedup import dedup_exact, keep_max_per_key  # noqa: E402
+from snaplytics.operators.joins import join_dimension, orphans  # noqa: E402
+from snaplytics.plans import pipeline as P  # noqa: E402
+from snaplytics.plans.transform import build_category_dim  # noqa: E402
+from snaplytics.schemas import FACT_COLUMNS, FACT_KEY  # noqa: E402
+from snaplytics.session import scratch_path  # noqa: E402
+from snaplytics.sinks.raw_inputs import write_category_json, write_regional_csv  # noqa: E402
+from snaplytics.sources.category_json import read_category_items  # noqa: E402
+from snaplytics.sources.driver_tables import (category_items, raw_events, region_order,  # noqa: E402
+                                              table)
+from snaplytics.sources.parquet import read_dimension, read_fact  # noqa: E402
+from snaplytics.sources.regional_csv import read_regional_csv  # noqa: E402
+
+
+@query("dedup_exact")
+def _d1(spark, d):
+    """Lineitem appended to itself, exact duplicates dropped."""
+    li = table(spark, d, "lineitem")
+    return dedup_exact(li.unionAll(li))
+
+
+@query("dedup_keep_max")
+def _d2(spark, d):
+    """One events snapshot per (item, day, region) at peak views."""
+    return keep_max_per_key(fact_events(spark, d), FACT_KEY, by="views")
+
+
+@query("clean_fill_text")
+def _c2(spark, d):
+    """NULL description / tags filled."""
+    return C.fill_text_defaults(raw_events(spark, d)).select("event_id", "description", "tags")
+
+
+@query("parse_dates")
+def _c8(spark, d):
+    """Yy.dd.MM snapshot dates, invalid -> NULL."""
+    return raw_events(spark, d).select("event_id", X.parse_trending_date("trending_date").alias("trending_date"))
+
+
+@query("parse_timestamps")
+def _c9(spark, d):
+    """ISO publish timestamps, invalid -> NULL."""
+    return raw_events(spark, d).select("event_id", X.parse_publish_time("publish_time").alias("publish_time"))
+
+
+@query("cast_category")
+def _c10(spark, d):
+    """Category id text -> int, truncating."""
+    return raw_events(spark, d).select("event_id", X.to_int_truncating("category_id").alias("category_id"))
+
+
+@query("clean_dropna")
+def _c3(spark, d):
+    """Typed rows with all of publish_time / trending_date / category_id."""
+    typed = C.cast_category(C.drop_incomplete(C.type_raw(raw_events(spark, d))))
+    return typed.select("event_id", "video_id", "trending_date", "publish_time", "category_id",
+                        "views", "likes", "dislikes", "comment_count", "comments_disabled")
+
+
+@query("engagement_features")
+def _c11(spark, d):
+    """Engagement (nulls as 0, guarded, half-even 4 dp), weekday, hour."""
+    return fact_events(spark, d).select("video_id", "trending_date", "region", "views", "likes", "dislikes",
+                                        "comment_count", "engagement_rate", "trending_day", "publish_hour")
+
+
+@query("clamp_negative")
+def _c16(spark, d):
+    """Negative flag, then counters clamped at 0 (NULL stays NULL)."""
+    f = C.negative_flag(fact_events(spark, d))
+    return C.clamp_counters(f).select("video_id", "trending_date", "region", "publish_time", "views", "likes",
+                                      "dislikes", "comment_count", "engagement_rate", "has_negative")
+
+
+@query("negative_rows")
+def _v1(spark, d):
+    """V1: rows with a negative counter."""
+    return Q.count_negative(fact_events(spark, d))
+
+
+@query("total_interactions")
+def _c5(spark, d):
+    """NULL-propagating interactions on snapshots with views >= 10,000."""
+    f = C.min_threshold(fact_events(spark, d), "views", 10_000)
+    return C.interactions(f).select("video_id", "trending_date", "region", "views", "total_interactions")
+
+
+@query("inner_join")
+def _j1(spark, d):
+    """Events fact ⋈ dimension (orphans vanish)."""
+    return join_dimension(fact_events(spark, d), category_dim(spark, d), how="inner") \
+        .select("video_id", "trending_date", "region", "category_id", "category_title", "views")
+
+
+@query("left_join")
+def _j2(spark, d):
+    """Events fact ⟕ dimension (orphans keep a NULL title)."""
+    return join_dimension(fact_events(spark, d), category_dim(spark, d), how="left") \
+        .select("video_id", "trending_date", "region", "category_id", "category_title", "views")
+
+
+@query("orphans")
+def _j4(spark, d):
+    """Fact rows whose category has no dimension row."""
+    return orphans(fact_events(spark, d), category_dim(spark, d)) \
+        .select("video_id", "trending_date", "region", "category_id", "views")
+
+
+@query("union_regions")
+def _u1(spark, d):
+    """Two inputs with different column order, header case and one
+    column missing, lower-cased and unioned by name."""
+    ev = table(spark, d, "events")
+    a = ev.where(F.col("value") < 100).select(
+        F.col("event_id").alias("Event_ID"), F.col("event_type").alias("REGION"),
+        F.col("value").alias("Value"), F.col("props").alias("Props"))
+    b = ev.where(~(F.col("value") < 100)).select(
+        F.col("value").alias("VALUE"), F.col("event_type").alias("Region"), F.col("event_id").alias("event_id"))
+    return C.union_by_name([C.lower_columns(a), C.lower_columns(b)])
+
+
+@query("key_violations")
+def _v4(spark, d):
+    """V4: (l_orderkey, l_linenumber) values that occur more than once."""
+    return Q.key_violations(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("null_violations")
+def _v5(spark, d):
+    """V5: NULL counts in columns that must not be NULL."""
+    return Q.null_violations(fact_events(spark, d), ["video_id", "category_id", "likes", "publish_time"])
+
+
+@query("length_violations")
+def _v6(spark, d):
+    """V6: values longer than their declared maximum."""
+    return Q.length_violations(table(spark, d, "part"), {"p_name": 10, "p_type": 7, "p_brand": 7})
+
+
+@query("stage_metrics")
+def _v2(spark, d):
+    """V2 V3: raw, complete and deduplicated row counts and the quality rate."""
+    typed = C.cast_category(C.type_raw(raw_events(spark, d)))
+    return Q.stage_counts(typed, FACT_KEY, C.CRITICAL_COLUMNS)
+
+
+@query("region_filter")
+def _s7(spark, d):
+    """Only the configured regions."""
+    f = fact_star(spark, d)
+    return f.where(F.col("region").isin(["AMERICA", "ASIA"])).select(
+        "video_id", "trending_date", "region", "views", "engagement_rate")
+
+
+# -- file round trips and the pipeline (S, K, T) ------------------------------
+
+@query("csv_roundtrip")
+def _s1(spark, d):
+    """Events staged as regional CSVs (one region Latin-1 with
+    another column order, mixed-case headers, quoted newlines), read back by name."""
+    raw = raw_events(spark, d)
+    out = scratch_path(spark, "raw-csv")
+    rename = {"video_id": "Video_ID", "views": "Views", "title": "TITLE"}
+    latin1_order = list(reversed([c for c in raw.columns if c != "region"]))
+    template = write_regional_csv(raw, out, ["click"], rename, latin1_order)
+    regions = ["click", "purchase", "view", "signup", "error", "refund"]
+    back = read_regional_csv(spark, out, regions, template)
+    return back.select("event_id", "region", "video_id", "title", "description", "views", "trending_date")
+
+
+@query("parquet_partition_roundtrip")
+def _k2(spark, d):
+    """Events fact and dimension written as Parquet (fact
+    partitioned by region) and read back."""
+    base = scratch_path(spark, "parquet")
+    K.write_fact(fact_events(spark, d), f"{base}/trending")
+    K.write_dimension(category_dim(spark, d), f"{base}/categories.parquet")
+    fact = read_fact(spark, f"{base}/trending")
+    return join_dimension(fact, read_dimension(spark, f"{base}/categories.parquet"), how="left") \
+        .select(*FACT_COLUMNS, "category_title")
+
+
+@query("category_dim_build")
+def _t1(spark, d):
+    """Per-region category JSON documents, parsed and merged;
+    the last configured region wins for an id listed twice."""
+    out = scratch_path(spark, "raw-json")
+    template = write_category_json(category_items(spark, d), out)
+    regions = [r["r_name"] for r in region_order(spark, d).orderBy("r_regionkey").collect()]
+    return build_category_dim(read_category_items(spark, out, regions, template))
+
+
+@query("pipeline_clean")
+def _t2(spark, d):
+    """Raw events as regional CSV + category JSON -> transform job
+    (fill, parse, drop, cast, dedup, features, clamp) -> partitioned Parquet."""
+    raw_dir = scratch_path(spark, "pipeline-raw")
+    processed = scratch_path(spark, "pipeline-out")
+    raw = raw_events(spark, d).drop("event_id")
+    csv_t = write_regional_csv(raw, f"{raw_dir}/csv")
+    json_t = write_category_json(category_items(spark, d), f"{raw_dir}/json")
+    regions = ["click", "purchase", "view", "signup", "error"]
+    category_regions = [r["r_name"] for r in region_order(spark, d).orderBy("r_regionkey").collect()]
+    P.run_transform(spark, raw_dir, processed, regions, csv_template=f"csv/{csv_t}",
+                    json_template=f"json/{json_t}", category_regions=category_regions)
+    return P.clean_fact_frame(spark, processed)
+
+
+@query("table_roundtrip")
+def _k3(spark, d):
+    """Dimension and fact refreshed as external catalog tables."""
+    loc = scratch_path(spark, "tables")
+    spark.sql("DROP TABLE IF EXISTS snap_categories")
+    spark.sql(K.dim_ddl("snap_categories", f"{loc}/categories"))
+    category_dim(spark, d).write.insertInto("snap_categories", overwrite=True)
+    return spark.table("snap_categories")

@@ -115,3 +115,60 @@ def category_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FACTS = {"star": fact_star, "events": fact_events}
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events rendered as raw regional CSV rows (all strings), with the defects the
+    clean job must handle: unparseable dates and timestamps, missing and
+    fractional category ids, NULL text, NULL and negative counters, non-ASCII
+    text, quotes and newlines inside fields. ``region`` is the event type."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    value = F.col("value")
+    return ev.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("user_id").cast("string").alias("video_id"),
+        F.when(value < 1, F.lit("bad")).otherwise(F.date_format("ts", "yy.dd.MM")).alias("trending_date"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" café")).alias("title"),
+        F.col("event_type").alias("channel_title"),
+        F.when(k >= 95, F.lit(None).cast("string"))
+         .when(k < 30, F.concat(k.cast("string"), F.lit(".7")))
+         .when(k < 50, F.concat(k.cast("string"), F.lit(".0")))
+         .otherwise(k.cast("string")).alias("category_id"),
+        F.when(value > 400, F.lit("not a time"))
+         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("publish_time"),
+        F.when(value < 10, F.lit(None).cast("string")).otherwise(F.col("props")).alias("tags"),
+        F.round(value * 100).cast("bigint").cast("string").alias("views"),
+        F.nullif(F.floor(value).cast("bigint"), F.lit(0).cast("bigint")).cast("string").alias("likes"),
+        (F.floor(value * 10).cast("bigint") % 10).cast("string").alias("dislikes"),
+        ((F.col("event_id") % 3) - 1).cast("string").alias("comment_count"),
+        F.concat(F.lit("thumb/"), F.col("event_id").cast("string")).alias("thumbnail_link"),
+        F.when(F.col("event_type") == "error", "True").otherwise("False").alias("comments_disabled"),
+        F.when(value < 1, "True").otherwise("False").alias("ratings_disabled"),
+        F.lit("False").alias("video_error_or_removed"),
+        F.when(value < 20, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("event "), F.col("event_id").cast("string"),
+                             F.lit('\n"quoted, text"'))).alias("description"),
+        F.col("event_type").alias("region"),
+    )
+
+
+def category_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-region category lists derived from nation/region: region r lists the
+    nations of region r and of region r + 1, titled with r's name, so every id
+    in regions 1..4 appears in two lists and the later region must win."""
+    nation = table(spark, sf_dir, "nation")
+    region = F.broadcast(table(spark, sf_dir, "region"))
+    own = nation.select("n_nationkey", "n_name", F.col("n_regionkey").alias("list_region"))
+    prev = nation.select("n_nationkey", "n_name", (F.col("n_regionkey") - 1).alias("list_region"))
+    lists = own.unionByName(prev).join(region, F.col("list_region") == F.col("r_regionkey"))
+    return lists.select(
+        F.col("r_name").alias("region"),
+        F.col("n_nationkey").alias("pos"),
+        F.col("n_nationkey").cast("int").alias("category_id"),
+        F.concat_ws(" ", F.col("n_name"), F.col("r_name")).alias("category_title"))
+
+
+def region_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configured region order for the category lists: by region key."""
+    return table(spark, sf_dir, "region").select("r_regionkey", "r_name")
