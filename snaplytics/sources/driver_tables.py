@@ -169,6 +169,36 @@ def category_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" ", F.col("n_name"), F.col("r_name")).alias("category_title"))
 
 
+def region_code(name):
+    return F.upper(F.substring(name, 1, 2))
+
+
 def region_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configured region order for the category lists: by region key."""
     return table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+
+
+def category_items_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``category_items`` keyed by the 2-letter region codes of ``raw_star``."""
+    return category_items(spark, sf_dir).withColumn("region", region_code(F.col("region")))
+
+
+def raw_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lineitem star rendered as raw regional CSV rows (all strings) in the
+    reference's raw formats: ``yy.dd.MM`` dates, ISO ``...Z`` timestamps, ``True``/
+    ``False`` flags, and 2-letter region codes (first letters of the region name)
+    so they fit the fact's VARCHAR(10) region. Used for the pipeline benchmark."""
+    f = fact_star(spark, sf_dir).withColumn("region", region_code(F.col("region")))
+    raw_cols = [c for c in f.columns if c not in ("engagement_rate", "trending_day", "publish_hour")]
+    out = []
+    for c in raw_cols:
+        dtype = dict(f.dtypes)[c]
+        if c == "trending_date":
+            out.append(F.date_format(c, "yy.dd.MM").alias(c))
+        elif c == "publish_time":
+            out.append(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(c))
+        elif dtype == "boolean":
+            out.append(F.when(F.col(c), "True").otherwise("False").alias(c))
+        else:
+            out.append(F.col(c).cast("string").alias(c))
+    return f.select(*out)

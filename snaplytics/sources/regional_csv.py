@@ -16,6 +16,8 @@ file's header line (metadata) do.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -37,9 +39,7 @@ def region_glob(raw_dir: str, regions: list[str], template: str = X.CSV_NAME_TEM
 
 
 def file_headers(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
-    """(file path, header line) for every matched file; [] when nothing matches.
-
-    """
+    """(file path, header line) for every matched file; [] when nothing matches."""
     try:
         lines = spark.read.text(pattern)
     except AnalysisException:
@@ -53,7 +53,8 @@ def file_headers(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
                       F.col("_metadata.file_path").alias("path"),
                       F.monotonically_increasing_id().alias("pos"))
               .groupBy("path").agg(F.min_by("line", "pos").alias("header")))
-    return [(r["path"], bytes(r["header"]).decode("latin-1")) for r in firsts.collect()]
+    # _metadata.file_path is a URI (a space is %20); readers take plain paths
+    return [(unquote(r["path"]), bytes(r["header"]).decode("latin-1")) for r in firsts.collect()]
 
 
 def _header_names(header: str) -> tuple[str, ...]:
