@@ -14,7 +14,9 @@ from snaplytics.plans import analytics as A
 from snaplytics.plans import reports as E
 from snaplytics.plans import views as V
 from snaplytics.session import apply_defaults
-from snaplytics.sources.driver_tables import category_dim, fact_events, fact_star
+from snaplytics.sources.driver_tables import category_dim
+from snaplytics.sources.driver_tables import events_fact as fact_events
+from snaplytics.sources.driver_tables import star as fact_star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 

@@ -5,13 +5,11 @@ single file or a directory of part files). Column order may differ between
 files and header case may vary, so columns are matched by lower-cased name.
 
 Encoding is decided per file, as the reference does: UTF-8 when every byte of
-the file is valid UTF-8, else Latin-1. This is one distributed pass: the
-files are parsed as ISO-8859-1 (bytes map 1:1 to chars, and CSV structure
-bytes are ASCII, which never occur inside a UTF-8 multi-byte sequence, so
-field boundaries are identical), a per-file aggregation computes whether all
-fields re-encode to valid UTF-8, and valid files have their fields decoded as
-UTF-8. No file content passes through the driver; only the file list and each
-file's header line (metadata) do.
+the file is valid UTF-8, else Latin-1. A splittable line scan computes, per
+file, the header line and that verdict in one aggregation; files are then
+read in groups of equal (header, encoding), each with the right ``encoding``
+option, and unioned by name. No file content passes through the driver; only
+the file list with each file's header line and verdict (metadata) does.
 """
 
 from __future__ import annotations
@@ -24,7 +22,6 @@ from pyspark.sql.utils import AnalysisException
 
 from snaplytics.functions import expressions as X
 from snaplytics.operators.clean import union_by_name
-from snaplytics.operators.joins import bounded_broadcast
 
 FILE_COL = "_source_file"
 LATIN1 = "ISO-8859-1"
@@ -38,37 +35,46 @@ def region_glob(raw_dir: str, regions: list[str], template: str = X.CSV_NAME_TEM
     return f"{raw_dir.rstrip('/')}/{name}"
 
 
-def file_headers(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
-    """(file path, header line) for every matched file; [] when nothing matches."""
+def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool]]:
+    """(file path, header line, all bytes valid UTF-8) per matched file; [] if none.
+
+    One splittable line scan with one partial aggregation per file:
+    * the text source keeps each line's raw bytes, so ``is_valid_utf8`` on every
+      line (newline bytes never occur inside a multi-byte sequence) decides the
+      file's encoding;
+    * rows of a split arrive in file order and ``monotonically_increasing_id``
+      grows with the row position in a partition, so among the rows of a file's
+      first split the smallest id is its header line.
+    Only one short row per file (metadata) reaches the driver.
+    """
     try:
         lines = spark.read.text(pattern)
     except AnalysisException:
         return []
-    # Rows of a split arrive in file order and monotonically_increasing_id grows
-    # with the row position inside a partition, so per file the smallest id
-    # among rows of its first split is its first line. One partial aggregation;
-    # one row per file reaches the driver (as bytes, decoded here as Latin-1).
-    firsts = (lines.where(F.col("_metadata.file_block_start") == 0)
-              .select(F.col("value").cast("binary").alias("line"),
-                      F.col("_metadata.file_path").alias("path"),
-                      F.monotonically_increasing_id().alias("pos"))
-              .groupBy("path").agg(F.min_by("line", "pos").alias("header")))
+    first_split = F.col("_metadata.file_block_start") == 0
+    pos = F.monotonically_increasing_id()
+    per_file = (lines.select(F.col("value").cast("binary").alias("line"),
+                             F.is_valid_utf8("value").alias("utf8"),
+                             F.col("_metadata.file_path").alias("path"),
+                             F.when(first_split, pos).alias("pos"))
+                .groupBy("path").agg(F.min_by("line", "pos").alias("header"),
+                                     F.bool_and("utf8").alias("utf8")))
     # _metadata.file_path is a URI (a space is %20); readers take plain paths
-    return [(unquote(r["path"]), bytes(r["header"]).decode("latin-1")) for r in firsts.collect()]
+    return [(unquote(r["path"]), bytes(r["header"] or b"").decode("latin-1"), bool(r["utf8"]))
+            for r in per_file.collect()]
 
 
 def _header_names(header: str) -> tuple[str, ...]:
     return tuple(h.strip().strip('"').lower() for h in header.split(","))
 
 
-def _csv_reader(spark: SparkSession, multiline: bool):
+def _csv_reader(spark: SparkSession, multiline: bool, encoding: str):
     return (spark.read.option("header", True).option("multiLine", multiline)
-            .option("escape", '"').option("encoding", LATIN1).option("mode", "PERMISSIVE"))
+            .option("escape", '"').option("encoding", encoding).option("mode", "PERMISSIVE"))
 
 
 def read_regional_csv(spark: SparkSession, raw_dir: str, regions: list[str] | None = None,
-                      template: str = X.CSV_NAME_TEMPLATE, multiline: bool = True,
-                      detect_encoding: bool = True) -> DataFrame | None:
+                      template: str = X.CSV_NAME_TEMPLATE, multiline: bool = True) -> DataFrame | None:
     """Raw rows of every configured region, all-string columns, lower-case names,
     plus ``region`` (from the file name) and ``_source_file``.
 
@@ -77,42 +83,31 @@ def read_regional_csv(spark: SparkSession, raw_dir: str, regions: list[str] | No
     turn it off for inputs without embedded newlines to get splittable scans.
     """
     regions = regions or X.DEFAULT_REGIONS
-    pattern = region_glob(raw_dir, regions, template)
-    headers = file_headers(spark, pattern)
-    if not headers:
+    files = scan_files(spark, region_glob(raw_dir, regions, template))
+    if not files:
         return None
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in headers:
-        groups.setdefault(_header_names(header), []).append(path)
+    groups: dict[tuple, list[str]] = {}
+    for path, header, utf8 in files:
+        groups.setdefault((_header_names(header), utf8), []).append(path)
     frames = []
-    for names, paths in groups.items():
-        df = _csv_reader(spark, multiline).csv(paths)
-        df = df.toDF(*names[:len(df.columns)]) if len(names) >= len(df.columns) else df
+    for (names, utf8), paths in groups.items():
+        df = _csv_reader(spark, multiline, "UTF-8" if utf8 else LATIN1).csv(paths)
+        if len(names) == len(df.columns):
+            df = df.toDF(*names)
+        else:
+            df = df.toDF(*[c.lower() for c in df.columns])
         frames.append(df.withColumn(FILE_COL, F.col("_metadata.file_path")))
     raw = union_by_name(frames)
-    if detect_encoding:
-        raw = decode_utf8_files(raw)
     raw = raw.withColumn("region", X.region_from_path(F.col(FILE_COL), template))
     return raw.where(F.col("region").isin(regions))
 
 
-def decode_utf8_files(raw: DataFrame) -> DataFrame:
-    """Per file, UTF-8 if all its fields are valid UTF-8, else keep Latin-1."""
-    text_cols = [c for c in raw.columns if c != FILE_COL]
-    packed = F.encode(F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]), LATIN1)
-    verdict = raw.groupBy(FILE_COL).agg(F.bool_and(F.is_valid_utf8(packed)).alias("__utf8"))
-    flagged = raw.join(bounded_broadcast(verdict, 100_000), FILE_COL, "left")
-    return flagged.select(
-        *[F.when(F.col("__utf8"), F.decode(F.encode(F.col(c), LATIN1), "UTF-8")).otherwise(F.col(c)).alias(c)
-          for c in text_cols], F.col(FILE_COL))
-
-
-def missing_regions(headers: list[tuple[str, str]], regions: list[str],
+def missing_regions(files: list[tuple], regions: list[str],
                     template: str = X.CSV_NAME_TEMPLATE) -> list[str]:
     """Configured regions with no input file (reported, not fatal)."""
     import re
     name = template.split("/")[-1]
     prefix, suffix = name.split("{region}")
     rx = re.compile("(?:^|/)" + re.escape(prefix) + "([^/]+?)" + re.escape(suffix) + "(?:/|$)")
-    found = {m.group(1) for p, _ in headers for m in [rx.search(p)] if m}
+    found = {m.group(1) for p, *_ in files for m in [rx.search(p)] if m}
     return [r for r in regions if r not in found]
