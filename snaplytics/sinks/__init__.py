@@ -77,7 +77,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int, properties:
 
 def write_report_csv(report: DataFrame, path: str) -> None:
     """K5: one headered CSV file. Only for aggregated / limited frames."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    (report.coalesce(1).write.mode("overwrite").option("header", True)
+     .option("escape", '"').csv(path))
 
 
 def register_view(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

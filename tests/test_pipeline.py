@@ -1,0 +1,79 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from snaplytics import sinks as K
+from snaplytics.operators.quality import ConstraintViolation
+from snaplytics.plans import pipeline as P
+from snaplytics.plans import reports as E
+from snaplytics.sources.driver_tables import category_dim, fact_star
+from snaplytics.sources.parquet import read_fact
+from tests import fixtures
+from tests.conftest import SF_SMALL
+
+REGIONS = ["US", "CA", "GB", "IN", "DE", "FR"]
+
+
+def test_transform_then_load_aborts_on_orphan(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    fixtures.write_raw(raw)
+    out = str(tmp_path / "processed")
+    metrics = P.run_transform(spark, raw, out, REGIONS)
+    assert metrics["raw_rows"] == len(fixtures.us_rows()) + 1
+    assert metrics["clean_rows"] == 11 and metrics["dim_rows"] == 3
+    assert metrics["negative_rows"] == 1
+    assert 0 < metrics["quality_rate"] < 1
+    assert sorted(d for d in os.listdir(os.path.join(out, "trending")) if d.startswith("region=")) == [
+        "region=FR", "region=US"]
+    with pytest.raises(ConstraintViolation, match="orphans"):       # category 77 has no dimension row
+        P.run_load(spark, out, location=str(tmp_path / "tables"))
+
+
+def test_load_and_export_when_clean(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    fixtures.write_raw(raw)
+    out = str(tmp_path / "processed")
+    P.run_transform(spark, raw, out, REGIONS)
+    fact = read_fact(spark, P.Paths(out).fact).where(F.col("category_id") != 77)
+    K.write_fact(fact.checkpoint(), P.Paths(out).fact)
+    summary = P.run_load(spark, out, fact_table="t_fact", dim_table="t_dim", location=str(tmp_path / "tables"))
+    assert not any(summary.values())
+    assert spark.table("t_fact").count() == 10 and spark.table("t_dim").count() == 3
+    written = P.run_export(spark, out, str(tmp_path / "dashboard"))
+    assert set(written) == set(E.REPORT_FILES)
+    top = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+           .csv(written["top_viewed"]))
+    assert top.count() == 10 and "category_title" in top.columns
+
+
+def test_static_overwrite_removes_stale_regions(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    f = fact_star(spark, SF_SMALL)
+    K.write_fact(f, path)
+    K.write_fact(f.where(F.col("region") == "ASIA"), path)
+    assert [d for d in os.listdir(path) if d.startswith("region=")] == ["region=ASIA"]
+    assert read_fact(spark, path).count() == f.where(F.col("region") == "ASIA").count()
+
+
+def test_report_invariants(spark):
+    fact, dim = fact_star(spark, SF_SMALL), category_dim(spark, SF_SMALL)
+    n = fact.count()
+    total_views = fact.agg(F.sum("views")).first()[0]
+    cat = E.report_category(fact, dim).agg(F.sum("total_trending_entries"), F.sum("total_views")).first()
+    reg = E.report_region(fact).agg(F.sum("total_views")).first()[0]
+    day = E.report_weekday(fact).agg(F.sum("trending_count")).first()[0]
+    hour = E.report_publish_hour(fact).agg(F.sum("video_count")).first()[0]
+    assert cat[0] == day == hour == n
+    assert cat[1] == reg == total_views
+    top = E.report_top_viewed(fact, dim).collect()
+    assert len({r["video_id"] for r in top}) == len(top) == 50
+    assert [r["views"] for r in top] == sorted((r["views"] for r in top), reverse=True)
+    for r in top:
+        inter = r["likes"] + r["dislikes"] + r["comment_count"]
+        assert r["engagement_rate"] == round(inter / r["views"], 4) or abs(
+            r["engagement_rate"] - inter / r["views"]) <= 5e-5
+    days = [r["trending_day"] for r in E.report_weekday(fact).collect()]
+    assert days == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+    sample = E.report_region_sample(fact, dim, n=100)
+    assert sample.groupBy("region").count().agg(F.max("count")).first()[0] == 100
