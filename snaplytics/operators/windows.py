@@ -33,6 +33,23 @@ def top_n_per_group(df: DataFrame, partition: list[str], order: list[Column], n:
     return out if rank_col else out.drop(name)
 
 
+def top_n_per_group_two_level(df: DataFrame, partition: list[str], order: list[Column], n: int,
+                              buckets: int = 64) -> DataFrame:
+    """Exact first ``n`` rows per group for large ``n`` over many input tasks.
+
+    The one-level plan keeps ``n`` rows per group in every map task, so the final
+    task of a group receives ``n`` x (number of map tasks) rows. Here the first
+    level groups by (group, bucket of the map partition): all rows of a map task
+    share a bucket, so the map-side limit still prunes to ``n`` per group, and
+    each first-level task only merges the tasks of its bucket. The second level
+    merges ``buckets`` x ``n`` candidates per group. Top-n of top-n is exact for a
+    total ``order``; the bucket only balances work.
+    """
+    salted = df.withColumn("__bucket", F.pmod(F.spark_partition_id(), F.lit(buckets)))
+    first = top_n_per_group(salted, partition + ["__bucket"], order, n).drop("__bucket")
+    return top_n_per_group(first, partition, order, n)
+
+
 def full_row_order(df: DataFrame, leading: list[Column], exclude: tuple = ()) -> list[Column]:
     """Leading sort keys, then every other column ascending (nulls first) as tie-break."""
     used = {c for c in exclude}

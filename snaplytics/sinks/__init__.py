@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from snaplytics.schemas import FACT_SCHEMA
 
-# Files per region partition of the fact: the writer hashes items into this many
-# buckets within each region so one region never becomes a single giant task.
-DEFAULT_FILES_PER_REGION = 8
 
 
 def write_dimension(dim: DataFrame, path: str) -> None:
@@ -17,17 +14,24 @@ def write_dimension(dim: DataFrame, path: str) -> None:
     dim.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def layout_fact(fact: DataFrame, files_per_region: int = DEFAULT_FILES_PER_REGION) -> DataFrame:
-    """K2 / K7 layout: spread each region over ``files_per_region`` tasks by item
-    hash (region has few values and may be skewed), then sort within each task
-    by (trending_date, category_id) so Parquet min/max statistics prune date and
-    category predicates - the intent of the reference's B-tree indexes."""
-    bucket = F.pmod(F.xxhash64("video_id"), F.lit(files_per_region))
-    return (fact.repartition(F.col("region"), bucket)
-                .sortWithinPartitions("region", "trending_date", "category_id"))
+def layout_fact(fact: DataFrame, files_per_region: int | None = None) -> DataFrame:
+    """K2 / K7 layout.
+
+    Default: no extra shuffle. The clean fact comes out of the key dedup already
+    hash-distributed, so every task writes one file per region it holds; sorting
+    within the task by (region, trending_date, category_id) gives each file tight
+    min/max statistics for date and category predicates - the intent of the
+    reference's B-tree indexes. Region has few values and may be skewed, so it is
+    never the only shuffle key. ``files_per_region`` (for small outputs) instead
+    hashes items into that many files per region.
+    """
+    if files_per_region:
+        bucket = F.pmod(F.xxhash64("video_id"), F.lit(files_per_region))
+        fact = fact.repartition(F.col("region"), bucket)
+    return fact.sortWithinPartitions("region", "trending_date", "category_id")
 
 
-def write_fact(fact: DataFrame, path: str, files_per_region: int = DEFAULT_FILES_PER_REGION) -> None:
+def write_fact(fact: DataFrame, path: str, files_per_region: int | None = None) -> None:
     """K2: Parquet partitioned by region; static overwrite removes stale regions."""
     spark = fact.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analytics this library rebuilds are batch only: one ingest -> transform ->
+load run over whole inputs, then queries and reports over the written tables.
+Streaming ingestion and incremental loading exist only as planned items in the
+original project, so no streaming operator is provided here (see README).
+"""
