@@ -347,3 +347,60 @@ def _k3(spark, d):
     spark.sql(K.dim_ddl("snap_categories", f"{loc}/categories"))
     category_dim(spark, d).write.insertInto("snap_categories", overwrite=True)
     return spark.table("snap_categories")
+
+
+# -- the same analytics over the events fact: NULL likes, negative comments,
+#    categories without a dimension row, 24 publish hours, 30 trending days -----
+
+@query("top_categories_per_region_events")
+def _r1e(spark, d):
+    """R1 on events: orphans vanish through the inner join."""
+    return A.top_categories_per_region(fact_events(spark, d), category_dim(spark, d))
+
+
+@query("top_channels_by_max_likes_events")
+def _r2e(spark, d):
+    """R2 on events: items whose likes are all NULL contribute NULL maxima."""
+    return A.top_channels_by_max_likes(fact_events(spark, d))
+
+
+@query("regional_performance_events")
+def _r3e(spark, d):
+    """R3 on events: sums skip NULL likes; negative comments stay in the engagement."""
+    return A.regional_performance(fact_events(spark, d))
+
+
+@query("top_engaged_items_events")
+def _r4e(spark, d):
+    """R4 on events with a 10,000-view threshold (event views stay below 100,000)."""
+    return A.top_engaged_items(fact_events(spark, d), min_views=10_000)
+
+
+@query("weekday_pattern_events")
+def _r5e(spark, d):
+    """R5 on events."""
+    return A.weekday_pattern(fact_events(spark, d))
+
+
+@query("report_top_viewed_events")
+def _e1e(spark, d):
+    """E1 on events: unknown categories keep a NULL title."""
+    return E.report_top_viewed(fact_events(spark, d), category_dim(spark, d))
+
+
+@query("report_region_events")
+def _e3e(spark, d):
+    """E3 on events: means skip NULL likes."""
+    return E.report_region(fact_events(spark, d))
+
+
+@query("report_top_channels_events")
+def _e6e(spark, d):
+    """E6 on events."""
+    return E.report_top_channels(fact_events(spark, d))
+
+
+@query("report_region_sample_events")
+def _e7e(spark, d):
+    """E7 on events, 500 rows per region."""
+    return E.report_region_sample(fact_events(spark, d), category_dim(spark, d), n=500)

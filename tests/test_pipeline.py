@@ -77,3 +77,22 @@ def test_report_invariants(spark):
     assert days == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
     sample = E.report_region_sample(fact, dim, n=100)
     assert sample.groupBy("region").count().agg(F.max("count")).first()[0] == 100
+
+
+def test_catalog_view_with_comment(spark, tmp_path):
+    from snaplytics.plans.views import DASHBOARD_COLUMNS, VIEW_COMMENT, create_dashboard_view
+    loc = str(tmp_path / "tables")
+    K.save_table(fact_star(spark, SF_SMALL), "v_fact", f"{loc}/fact", ["region"])
+    K.save_table(category_dim(spark, SF_SMALL), "v_dim", f"{loc}/dim")
+    view = create_dashboard_view(spark, "v_fact", "v_dim", "v_dashboard", temporary=False)
+    assert view.columns == DASHBOARD_COLUMNS
+    assert view.count() == fact_star(spark, SF_SMALL).count()
+    comment = [r for r in spark.sql("DESCRIBE TABLE EXTENDED v_dashboard").collect() if r[0] == "Comment"]
+    assert comment and comment[0][1] == VIEW_COMMENT
+
+
+def test_fact_ddl_declares_partitioned_table(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS ddl_fact")
+    spark.sql(K.fact_ddl("ddl_fact", str(tmp_path / "ddl_fact")))
+    cols = [f.name for f in spark.table("ddl_fact").schema.fields]
+    assert cols[-1] == "region" and len(cols) == 20
