@@ -34,8 +34,18 @@ def with_category(fact: DataFrame, dim: DataFrame, broadcast="auto") -> DataFram
 
 
 def report_top_viewed(fact: DataFrame, dim: DataFrame, k: int = 50, broadcast="auto") -> DataFrame:
-    """The ``k`` most viewed distinct items, each at its peak snapshot."""
-    rows = with_category(fact, dim, broadcast).select(*TOP_VIEWED_COLUMNS)
+    """The ``k`` most viewed distinct items, each at its peak snapshot.
+
+    The output items are exactly the first ``k`` by (peak views desc, id), so the
+    peak of every item is found with a fixed-width hash aggregate, the ``k`` ids
+    are picked (``TakeOrderedAndProject``), and only their rows go through the
+    full-row tie-break. The ids are broadcast: their count is bounded by ``k``.
+    """
+    peaks = fact.groupBy("video_id").agg(F.max("views").alias("__peak"))
+    top_ids = (peaks.orderBy(F.col("__peak").desc_nulls_last(), F.col("video_id").asc_nulls_last())
+               .limit(k).select(F.col("video_id").alias("__id")))
+    candidates = fact.join(F.broadcast(top_ids), fact["video_id"].eqNullSafe(F.col("__id")), "left_semi")
+    rows = with_category(candidates, dim, broadcast).select(*TOP_VIEWED_COLUMNS)
     peak = keep_max_per_key(rows, ["video_id"], by="views")
     return peak.orderBy(F.col("views").desc_nulls_last(), F.col("video_id").asc_nulls_last()).limit(k)
 
