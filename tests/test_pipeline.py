@@ -96,3 +96,20 @@ def test_fact_ddl_declares_partitioned_table(spark, tmp_path):
     spark.sql(K.fact_ddl("ddl_fact", str(tmp_path / "ddl_fact")))
     cols = [f.name for f in spark.table("ddl_fact").schema.fields]
     assert cols[-1] == "region" and len(cols) == 20
+
+
+def test_cli_runs_transform_and_export(tmp_path, capsys):
+    import json as _json
+    import subprocess
+    import sys as _sys
+    raw = str(tmp_path / "raw")
+    fixtures.write_raw(raw)
+    cmd = [_sys.executable, "-m", "snaplytics", "--raw", raw, "--processed", str(tmp_path / "out"),
+           "--skip-load", "--export", str(tmp_path / "dash")]
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    res = subprocess.run(cmd, capture_output=True, text=True, env=env, timeout=600)
+    last = [line for line in res.stdout.splitlines() if line.startswith("{")][-1]
+    out = _json.loads(last)
+    assert res.returncode == 0 and out["status"] == "ok"
+    assert out["transform"]["clean_rows"] == 11
+    assert (tmp_path / "dash" / "regional_summary.csv").exists()
