@@ -56,8 +56,11 @@ def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    # lineitem and orders are the two largest tables: co-partition them by order
+    # key (sort-merge join) rather than ever broadcasting orders; the remaining
+    # joins are left to Catalyst + AQE.
     joined = (li
-              .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
               .join(customer, F.col("o_custkey") == F.col("c_custkey"))
               .join(part, F.col("l_partkey") == F.col("p_partkey"))
               .join(supplier_regions(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")))
