@@ -2,7 +2,7 @@
 
     python -m snaplytics --raw RAW_DIR --processed OUT_DIR [--regions US CA ...]
                          [--skip-load] [--tables TABLE_DIR] [--export DASHBOARD_DIR]
-                         [--no-multiline]
+                         [--multiline auto|always|never]
 
 Transform (dimension + clean fact), then load (constraint checks + tables)
 unless skipped, then optionally the seven CSV reports. The first failing stage
@@ -27,8 +27,8 @@ def parse_args(argv=None):
     p.add_argument("--skip-load", action="store_true", help="skip the constraint checks and table load")
     p.add_argument("--tables", default=None, help="location for the external tables (default: warehouse)")
     p.add_argument("--export", default=None, help="write the seven CSV reports to this folder")
-    p.add_argument("--no-multiline", action="store_true",
-                   help="inputs have no quoted newlines: read CSV splittably")
+    p.add_argument("--multiline", choices=["auto", "always", "never"], default="auto",
+                   help="CSV records spanning lines: detect per file (default), or force a mode")
     return p.parse_args(argv)
 
 
@@ -43,7 +43,7 @@ def main(argv=None) -> int:
         t0 = time.perf_counter()
         status = P.run_pipeline(spark, args.raw, args.processed, skip_load=args.skip_load,
                                 regions=args.regions, table_location=args.tables,
-                                multiline=not args.no_multiline)
+                                multiline={"auto": "auto", "always": True, "never": False}[args.multiline])
         stages["pipeline_seconds"] = round(time.perf_counter() - t0, 2)
         if args.export:
             t0 = time.perf_counter()

@@ -31,7 +31,7 @@ class Paths:
 
 def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions: list[str] | None = None,
                   csv_template: str = X.CSV_NAME_TEMPLATE, json_template: str = X.JSON_NAME_TEMPLATE,
-                  multiline: bool = True, category_regions: list[str] | None = None) -> dict:
+                  multiline="auto", category_regions: list[str] | None = None) -> dict:
     """T1 + T2: build and write the dimension, then clean and write the fact.
 
     Returns stage metrics (V2, V3, V9) gathered by observers during the writes.

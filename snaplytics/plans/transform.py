@@ -80,7 +80,7 @@ def _observe_negative(df: DataFrame):
 
 def load_inputs(spark: SparkSession, raw_dir: str, regions: list[str] | None = None,
                 csv_template: str = X.CSV_NAME_TEMPLATE, json_template: str = X.JSON_NAME_TEMPLATE,
-                multiline: bool = True, category_regions: list[str] | None = None
+                multiline="auto", category_regions: list[str] | None = None
                 ) -> tuple[DataFrame, DataFrame]:
     """S1-S4 + S10: (raw rows, category dimension) or TransformAborted.
 

@@ -35,8 +35,9 @@ def region_glob(raw_dir: str, regions: list[str], template: str = X.CSV_NAME_TEM
     return f"{raw_dir.rstrip('/')}/{name}"
 
 
-def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool]]:
-    """(file path, header line, all bytes valid UTF-8) per matched file; [] if none.
+def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool, bool]]:
+    """(path, header line, all bytes valid UTF-8, has a record spanning lines) per
+    matched file; [] if none (S8).
 
     One splittable line scan with one partial aggregation per file:
     * the text source keeps each line's raw bytes, so ``is_valid_utf8`` on every
@@ -44,7 +45,10 @@ def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool]]
       file's encoding;
     * rows of a split arrive in file order and ``monotonically_increasing_id``
       grows with the row position in a partition, so among the rows of a file's
-      first split the smallest id is its header line.
+      first split the smallest id is its header line;
+    * a quoted field can only continue on the next line if its line holds an odd
+      number of quote characters (an escaped quote is doubled), so a file with
+      no such line can be read splittably, without ``multiLine``.
     Only one short row per file (metadata) reaches the driver.
     """
     try:
@@ -53,15 +57,18 @@ def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool]]
         return []
     first_split = F.col("_metadata.file_block_start") == 0
     pos = F.monotonically_increasing_id()
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
     per_file = (lines.select(F.col("value").cast("binary").alias("line"),
                              F.is_valid_utf8("value").alias("utf8"),
+                             (quotes % 2 == 1).alias("odd"),
                              F.col("_metadata.file_path").alias("path"),
                              F.when(first_split, pos).alias("pos"))
                 .groupBy("path").agg(F.min_by("line", "pos").alias("header"),
-                                     F.bool_and("utf8").alias("utf8")))
+                                     F.bool_and("utf8").alias("utf8"),
+                                     F.bool_or("odd").alias("spans")))
     # _metadata.file_path is a URI (a space is %20); readers take plain paths
-    return [(unquote(r["path"]), bytes(r["header"] or b"").decode("latin-1"), bool(r["utf8"]))
-            for r in per_file.collect()]
+    return [(unquote(r["path"]), bytes(r["header"] or b"").decode("latin-1"), bool(r["utf8"]),
+             bool(r["spans"])) for r in per_file.collect()]
 
 
 def _header_names(header: str) -> tuple[str, ...]:
@@ -74,24 +81,27 @@ def _csv_reader(spark: SparkSession, multiline: bool, encoding: str):
 
 
 def read_regional_csv(spark: SparkSession, raw_dir: str, regions: list[str] | None = None,
-                      template: str = X.CSV_NAME_TEMPLATE, multiline: bool = True) -> DataFrame | None:
+                      template: str = X.CSV_NAME_TEMPLATE, multiline="auto") -> DataFrame | None:
     """Raw rows of every configured region, all-string columns, lower-case names,
     plus ``region`` (from the file name) and ``_source_file``.
 
     Returns None when no configured region has an input (the caller aborts, S10).
-    ``multiline=True`` allows quoted newlines but makes each file one task;
-    turn it off for inputs without embedded newlines to get splittable scans.
+    ``multiline="auto"`` reads a file with ``multiLine`` (one task per file) only
+    when one of its records spans lines, and every other file splittably, so a
+    huge region file without embedded newlines is parsed by many tasks.
+    ``True`` / ``False`` force one mode for all files.
     """
     regions = regions or X.DEFAULT_REGIONS
     files = scan_files(spark, region_glob(raw_dir, regions, template))
     if not files:
         return None
     groups: dict[tuple, list[str]] = {}
-    for path, header, utf8 in files:
-        groups.setdefault((_header_names(header), utf8), []).append(path)
+    for path, header, utf8, spans in files:
+        mode = spans if multiline == "auto" else bool(multiline)
+        groups.setdefault((_header_names(header), utf8, mode), []).append(path)
     frames = []
-    for (names, utf8), paths in groups.items():
-        df = _csv_reader(spark, multiline, "UTF-8" if utf8 else LATIN1).csv(paths)
+    for (names, utf8, mode), paths in groups.items():
+        df = _csv_reader(spark, mode, "UTF-8" if utf8 else LATIN1).csv(paths)
         if len(names) == len(df.columns):
             df = df.toDF(*names)
         else:

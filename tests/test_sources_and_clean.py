@@ -30,7 +30,9 @@ def test_missing_region_reported(spark, raw_dir):
     regions = ["US", "CA", "IN", "FR"]
     files = scan_files(spark, region_glob(raw_dir, regions))
     assert missing_regions(files, regions) == ["CA", "IN"]
-    assert {utf8 for p, _, utf8 in files if p.endswith("FRvideos.csv")} == {False}
+    assert {utf8 for p, _, utf8, _ in files if p.endswith("FRvideos.csv")} == {False}
+    spans = {p.rsplit("/", 1)[-1]: s for p, _, _, s in files}
+    assert spans == {"USvideos.csv": True, "FRvideos.csv": False}   # only US has a quoted newline
 
 
 def test_no_input_is_none(spark, tmp_path):
