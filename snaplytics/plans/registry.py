@@ -9,14 +9,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from snaplytics import sinks as K
+from snaplytics.functions import expressions as X
+from snaplytics.operators import clean as C
+from snaplytics.operators import quality as Q
+from snaplytics.operators.dedup import dedup_exact, keep_max_per_key
+from snaplytics.operators.joins import join_dimension, orphans
 from snaplytics.plans import analytics as A
+from snaplytics.plans import pipeline as P
 from snaplytics.plans import reports as E
 from snaplytics.plans import views as V
-from snaplytics.session import apply_defaults
-from snaplytics.sources.driver_tables import category_dim
+from snaplytics.plans.transform import build_category_dim
+from snaplytics.schemas import FACT_COLUMNS, FACT_KEY
+from snaplytics.session import apply_defaults, scratch_path
+from snaplytics.sinks.raw_inputs import write_category_json, write_regional_csv
+from snaplytics.sources.category_json import read_category_items
+from snaplytics.sources.driver_tables import category_dim, category_items, raw_events, region_order, table
 from snaplytics.sources.driver_tables import events_fact as fact_events
 from snaplytics.sources.driver_tables import star as fact_star
+from snaplytics.sources.parquet import read_dimension, read_fact
+from snaplytics.sources.regional_csv import read_regional_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -125,26 +139,6 @@ def _e7(spark, d):
 
 # -- cleaning, dedup, joins, validation (C, D, J, V) ---------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from snaplytics import sinks as K  # noqa: E402
-from snaplytics.functions import expressions as X  # noqa: E402
-from snaplytics.operators import clean as C  # noqa: E402
-from snaplytics.operators import quality as Q  # noqa: E402
-from snaplytics.operators.dedup import dedup_exact, keep_max_per_key  # noqa: E402
-from snaplytics.operators.joins import join_dimension, orphans  # noqa: E402
-from snaplytics.plans import pipeline as P  # noqa: E402
-from snaplytics.plans.transform import build_category_dim  # noqa: E402
-from snaplytics.schemas import FACT_COLUMNS, FACT_KEY  # noqa: E402
-from snaplytics.session import scratch_path  # noqa: E402
-from snaplytics.sinks.raw_inputs import write_category_json, write_regional_csv  # noqa: E402
-from snaplytics.sources.category_json import read_category_items  # noqa: E402
-from snaplytics.sources.driver_tables import (category_items, raw_events, region_order,  # noqa: E402
-                                              table)
-from snaplytics.sources.parquet import read_dimension, read_fact  # noqa: E402
-from snaplytics.sources.regional_csv import read_regional_csv  # noqa: E402
-
-
 @query("dedup_exact")
 def _d1(spark, d):
     """Lineitem appended to itself, exact duplicates dropped."""

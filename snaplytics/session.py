@@ -44,6 +44,25 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Starting settings for a cluster run sized to the input.
+
+    Shuffle partitions are set high enough that no partition of the largest
+    shuffle (at most the input size) exceeds ``target_partition_bytes``; AQE then
+    coalesces small ones toward the advisory size and splits skewed ones, so an
+    over-estimate costs little. File splits stay at 256 MB for the scans.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **SESSION_DEFAULTS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def apply_defaults(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (driver-made ones too)."""
     for k, v in SESSION_DEFAULTS.items():
@@ -90,4 +109,5 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
-__all__ = ["build_session", "apply_defaults", "checkpoint_root", "scratch_path", "cut_lineage"]
+__all__ = ["build_session", "apply_defaults", "cluster_settings", "checkpoint_root", "scratch_path",
+           "cut_lineage"]

@@ -83,3 +83,10 @@ def test_region_from_path(spark):
     b = [r[0] for r in df.select(X.region_from_path(F.col("p"), "region={region}")).collect()]
     assert a[:2] == ["US", "GB"]
     assert b[2] == "MIDDLE EAST"
+
+
+def test_cluster_settings_sizes_partitions():
+    from snaplytics.session import cluster_settings
+    conf = cluster_settings(100 << 40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_settings(1 << 20, 16)["spark.sql.shuffle.partitions"] == "32"
