@@ -72,6 +72,19 @@ def apply_defaults(spark: SparkSession) -> None:
             pass
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        value = spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - unknown key on some deployments
+        value = None
+    if value:
+        return value
+    try:
+        return spark.sparkContext.getConf().get(key, None)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -79,23 +92,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     created and registered, so lineage cuts and staged tables always land in
     storage every executor can reach.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            root = None
-    if not root:
+    root = _conf(spark, "spark.checkpoint.dir")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns checkpointing
+        sc = None
+    if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="snaplytics-ckpt-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
+        if sc is not None:
+            sc.setCheckpointDir(root)
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
+    elif sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
 
 
+def application_id(spark: SparkSession) -> str:
+    return _conf(spark, "spark.app.id") or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
@@ -110,4 +128,4 @@ def cut_lineage(df, spark: SparkSession | None = None):
 
 
 __all__ = ["build_session", "apply_defaults", "cluster_settings", "checkpoint_root", "scratch_path",
-           "cut_lineage"]
+           "cut_lineage", "application_id"]

@@ -56,12 +56,14 @@ def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    # lineitem and orders are the two largest tables: co-partition them by order
-    # key (sort-merge join) rather than ever broadcasting orders; the remaining
-    # joins are left to Catalyst + AQE.
+    # Join order for scale: orders ⋈ customer first (an orders-sized shuffle by
+    # customer key), then lineitem ⋈ that by order key as a sort-merge join -
+    # lineitem and orders are the two largest tables and are never broadcast -
+    # so the lineitem stream is shuffled once per remaining key (order, part,
+    # supplier). Part and supplier joins are left to Catalyst + AQE.
+    order_customer = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = (li
-              .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+              .join(order_customer.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
               .join(part, F.col("l_partkey") == F.col("p_partkey"))
               .join(supplier_regions(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")))
     fact = joined.select(
@@ -216,11 +218,11 @@ _MATERIALIZED: dict[tuple[str, str, str], str] = {}
 
 
 def materialized_fact(spark: SparkSession, sf_dir: str, which: str = "star") -> DataFrame:
-    from snaplytics.session import scratch_path
+    from snaplytics.session import application_id, scratch_path
     from snaplytics.sinks import write_fact
     from snaplytics.sources.parquet import read_fact
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), which)
+    key = (application_id(spark), sf_dir.rstrip("/"), which)
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_path(spark, f"fact-{which}")
