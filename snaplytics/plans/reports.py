@@ -126,6 +126,7 @@ def report_region_sample(fact: DataFrame, dim: DataFrame, n: int = 5000, broadca
     return top_n_per_group_two_level(rows, ["region"], order, n).select(*cols)
 
 
+# The report file names the dashboards read.
 REPORT_FILES = {
     "top_viewed": "top_50_most_viewed.csv",
     "category": "category_performance.csv",

@@ -42,7 +42,8 @@ DIM_SCHEMA = T.StructType([
 
 CATEGORY_JSON_SCHEMA = "items array<struct<id:string,snippet:struct<title:string>>>"
 
-# Declared maximum string lengths of the loaded tables (VARCHAR(n)).
+# Declared maximum string lengths of the loaded tables (VARCHAR(n))
+# and the columns that must not be NULL.
 MAX_LENGTHS = {
     "video_id": 50, "region": 10, "title": 255, "channel_title": 255,
     "thumbnail_link": 255, "trending_day": 15,
