@@ -26,14 +26,20 @@ def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(ORACLE)
 
 
+SPARK_TO_DUCKDB = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                   "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    res = con.execute(ORACLE[name])
-    ocols = [d[0] for d in res.description]
-    want = res.fetchall()
+    rel = con.sql(ORACLE[name])
+    ocols, otypes = rel.columns, [str(t) for t in rel.types]
+    want = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    types = dict(zip(ocols, otypes))
+    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes} == types
     assert canon(got, df.columns, None) == canon(want, ocols, None)
 
 
