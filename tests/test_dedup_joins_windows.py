@@ -45,12 +45,24 @@ def test_joins(spark):
     assert rows(orphans(fact, dim), "v") == [("c",), ("d",)]
 
 
+def _plan(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(True)
+    return buf.getvalue().lower()
+
+
 def test_bounded_broadcast_refuses_large(spark):
-    big = spark.range(0, 50)
-    plan_small = bounded_broadcast(big, 100)
-    plan_big = bounded_broadcast(big, 10)
-    assert "broadcast" in plan_small._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in plan_big._jdf.queryExecution().logical().toString().lower()
+    fact = spark.range(0, 1000).withColumnRenamed("id", "k")
+    dim = spark.range(0, 50).withColumnRenamed("id", "k")
+    assert "broadcast" in _plan(fact.join(bounded_broadcast(dim, 100), "k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "broadcast" not in _plan(fact.join(bounded_broadcast(dim, 10), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_complete_domain(spark):
