@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ def top_n_per_group(df: DataFrame, partition: list[str], order: list[Column], n:
 
 
 def top_n_per_group_two_level(df: DataFrame, partition: list[str], order: list[Column], n: int,
-                              buckets: int = 64) -> DataFrame:
+                              buckets: int | None = None) -> DataFrame:
     """Exact first ``n`` rows per group for large ``n`` over many input tasks.
 
     The one-level plan keeps ``n`` rows per group in every map task, so the final
@@ -43,8 +45,12 @@ def top_n_per_group_two_level(df: DataFrame, partition: list[str], order: list[C
     share a bucket, so the map-side limit still prunes to ``n`` per group, and
     each first-level task only merges the tasks of its bucket. The second level
     merges ``buckets`` x ``n`` candidates per group. Top-n of top-n is exact for a
-    total ``order``; the bucket only balances work.
+    total ``order``; the bucket only balances work. By default ``buckets`` is about
+    the square root of the number of input partitions, which balances the two
+    levels (each merges about sqrt(tasks) x ``n`` rows per group).
     """
+    if buckets is None:
+        buckets = max(8, math.isqrt(df.rdd.getNumPartitions()) + 1)
     salted = df.withColumn("__bucket", F.pmod(F.spark_partition_id(), F.lit(buckets)))
     first = top_n_per_group(salted, partition + ["__bucket"], order, n).drop("__bucket")
     return top_n_per_group(first, partition, order, n)

@@ -40,7 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    apply_defaults(spark)
+    apply_defaults(spark, keep=set(extra or {}))
     return spark
 
 
@@ -63,9 +63,12 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
     }
 
 
-def apply_defaults(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session (driver-made ones too)."""
+def apply_defaults(spark: SparkSession, keep: set | None = None) -> None:
+    """Apply the runtime SQL settings to an existing session (driver-made ones too);
+    keys in ``keep`` are left as the caller set them."""
     for k, v in SESSION_DEFAULTS.items():
+        if keep and k in keep:
+            continue
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: keep the cluster's value
