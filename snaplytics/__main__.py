@@ -25,7 +25,9 @@ def parse_args(argv=None):
     p.add_argument("--processed", required=True, help="output folder for the Parquet fact and dimension")
     p.add_argument("--regions", nargs="+", default=DEFAULT_REGIONS)
     p.add_argument("--skip-load", action="store_true", help="skip the constraint checks and table load")
-    p.add_argument("--tables", default=None, help="location for the external tables (default: warehouse)")
+    p.add_argument("--copy-tables", action="store_true",
+                   help="load full-refresh table copies instead of registering the checked Parquet")
+    p.add_argument("--tables", default=None, help="location of the table copies (with --copy-tables)")
     p.add_argument("--export", default=None, help="write the seven CSV reports to this folder")
     p.add_argument("--multiline", choices=["auto", "always", "never"], default="auto",
                    help="CSV records spanning lines: detect per file (default), or force a mode")
@@ -43,6 +45,7 @@ def main(argv=None) -> int:
         t0 = time.perf_counter()
         status = P.run_pipeline(spark, args.raw, args.processed, skip_load=args.skip_load,
                                 regions=args.regions, table_location=args.tables,
+                                copy_tables=args.copy_tables,
                                 multiline={"auto": "auto", "always": True, "never": False}[args.multiline])
         stages["pipeline_seconds"] = round(time.perf_counter() - t0, 2)
         if args.export:

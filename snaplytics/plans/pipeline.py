@@ -49,17 +49,27 @@ def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions
 
 
 def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trending_statistics",
-             dim_table: str = "categories", location: str | None = None) -> dict:
+             dim_table: str = "categories", location: str | None = None, copy: bool = False) -> dict:
     """Read both Parquet sets, check constraints (V4-V8), then refresh the
-    dimension table before the fact table (K3, K4, K6)."""
+    dimension table before the fact table (K3, K4, K6).
+
+    By default the checked Parquet folders become the tables (external tables,
+    metadata only: no second copy of the fact). ``copy=True`` writes a full-refresh
+    copy instead, under ``location`` when given. Both are idempotent full
+    refreshes, so re-running after a failure is safe.
+    """
     paths = Paths(processed_dir)
     fact, dim = read_fact(spark, paths.fact), read_dimension(spark, paths.dim)
     summary = Q.violation_summary(fact, dim, FACT_KEY, "category_id", NOT_NULL_FACT, NOT_NULL_DIM,
                                   MAX_LENGTHS, DIM_MAX_LENGTHS)
     Q.assert_loadable(summary)
-    loc = location.rstrip("/") if location else None
-    K.save_table(dim, dim_table, f"{loc}/{dim_table}" if loc else None)
-    K.save_table(fact, fact_table, f"{loc}/{fact_table}" if loc else None, ["region"])
+    if copy:
+        loc = location.rstrip("/") if location else None
+        K.save_table(dim, dim_table, f"{loc}/{dim_table}" if loc else None)
+        K.save_table(fact, fact_table, f"{loc}/{fact_table}" if loc else None, ["region"])
+    else:
+        K.register_table(spark, dim_table, paths.dim)
+        K.register_table(spark, fact_table, paths.fact, partitioned=True)
     return summary
 
 
@@ -76,11 +86,12 @@ def run_export(spark: SparkSession, processed_dir: str, out_dir: str) -> dict[st
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, processed_dir: str, skip_load: bool = False,
-                 regions: list[str] | None = None, table_location: str | None = None, **kw) -> dict:
+                 regions: list[str] | None = None, table_location: str | None = None,
+                 copy_tables: bool = False, **kw) -> dict:
     """T4: transform, then (unless skipped) load; the first failure raises."""
     status = {"transform": run_transform(spark, raw_dir, processed_dir, regions, **kw)}
     if not skip_load:
-        status["load"] = run_load(spark, processed_dir, location=table_location)
+        status["load"] = run_load(spark, processed_dir, location=table_location, copy=copy_tables)
     return status
 
 

@@ -67,6 +67,17 @@ def save_table(df: DataFrame, table: str, location: str | None = None,
     w.saveAsTable(table)
 
 
+def register_table(spark: SparkSession, table: str, location: str, partitioned: bool = False) -> DataFrame:
+    """K3 / K4 without a copy: (re)declare an external Parquet table over files that
+    are already written and checked; partitions are recorded in the catalog, so
+    region filters prune them. Dropping an external table keeps its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return spark.table(table)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int, properties: dict | None = None,
                num_partitions: int = 8, truncate: bool = True) -> None:
     """K3 / K4 against an external database: batched inserts, bounded connections.

@@ -37,9 +37,13 @@ def test_load_and_export_when_clean(spark, tmp_path):
     P.run_transform(spark, raw, out, REGIONS)
     fact = read_fact(spark, P.Paths(out).fact).where(F.col("category_id") != 77)
     K.write_fact(fact.checkpoint(), P.Paths(out).fact)
-    summary = P.run_load(spark, out, fact_table="t_fact", dim_table="t_dim", location=str(tmp_path / "tables"))
+    summary = P.run_load(spark, out, fact_table="t_fact", dim_table="t_dim")     # registered in place
     assert not any(summary.values())
     assert spark.table("t_fact").count() == 10 and spark.table("t_dim").count() == 3
+    assert spark.table("t_fact").where("region = 'FR'").count() == 1
+    P.run_load(spark, out, fact_table="c_fact", dim_table="c_dim", location=str(tmp_path / "tables"),
+               copy=True)                                                          # full-refresh copy
+    assert spark.table("c_fact").count() == 10 and os.path.isdir(tmp_path / "tables" / "c_fact")
     written = P.run_export(spark, out, str(tmp_path / "dashboard"))
     assert set(written) == set(E.REPORT_FILES)
     top = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
