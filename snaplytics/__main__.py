@@ -36,7 +36,7 @@ def parse_args(argv=None):
 
 def main(argv=None) -> int:
     args = parse_args(argv)
-    from snaplytics.plans import pipeline as P
+    from snaplytics.plans import etl as P
     from snaplytics.session import build_session
 
     spark = build_session()

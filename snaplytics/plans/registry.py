@@ -18,7 +18,7 @@ from snaplytics.operators import quality as Q
 from snaplytics.operators.dedup import dedup_exact, keep_max_per_key
 from snaplytics.operators.joins import join_dimension, orphans
 from snaplytics.plans import analytics as A
-from snaplytics.plans import pipeline as P
+from snaplytics.plans import etl as P
 from snaplytics.plans import reports as E
 from snaplytics.plans import views as V
 from snaplytics.plans.transform import build_category_dim
@@ -317,12 +317,12 @@ def _t1(spark, d):
     return build_category_dim(read_category_items(spark, out, regions, template))
 
 
-@query("pipeline_clean")
+@query("transform_job")
 def _t2(spark, d):
     """Raw events as regional CSV + category JSON -> transform job
     (fill, parse, drop, cast, dedup, features, clamp) -> partitioned Parquet."""
-    raw_dir = scratch_path(spark, "pipeline-raw")
-    processed = scratch_path(spark, "pipeline-out")
+    raw_dir = scratch_path(spark, "etl-raw")
+    processed = scratch_path(spark, "etl-out")
     raw = raw_events(spark, d).drop("event_id")
     csv_t = write_regional_csv(raw, f"{raw_dir}/csv")
     json_t = write_category_json(category_items(spark, d), f"{raw_dir}/json")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from snaplytics import sinks as K
 from snaplytics.operators.quality import ConstraintViolation
-from snaplytics.plans import pipeline as P
+from snaplytics.plans import etl as P
 from snaplytics.plans import reports as E
 from snaplytics.sources.driver_tables import category_dim, fact_star
 from snaplytics.sources.parquet import read_fact

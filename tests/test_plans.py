@@ -69,7 +69,7 @@ def test_keep_max_has_partial_aggregation(spark, written_fact):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_query_plans(spark, name):
-    if name in ("csv_roundtrip", "pipeline_clean", "parquet_partition_roundtrip", "category_dim_build",
+    if name in ("csv_roundtrip", "transform_job", "parquet_partition_roundtrip", "category_dim_build",
                 "table_roundtrip", "dashboard_view"):
         pytest.skip("writes staging files first; covered by the oracle sweep")
     p = plan(QUERIES[name](spark, SF_SMALL), "simple")
