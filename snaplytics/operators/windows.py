@@ -50,7 +50,10 @@ def top_n_per_group_two_level(df: DataFrame, partition: list[str], order: list[C
     levels (each merges about sqrt(tasks) x ``n`` rows per group).
     """
     if buckets is None:
-        buckets = max(8, math.isqrt(df.rdd.getNumPartitions()) + 1)
+        try:
+            buckets = max(8, math.isqrt(df.rdd.getNumPartitions()) + 1)
+        except Exception:  # noqa: BLE001 - no RDD access (Spark Connect)
+            buckets = 64
     salted = df.withColumn("__bucket", F.pmod(F.spark_partition_id(), F.lit(buckets)))
     first = top_n_per_group(salted, partition + ["__bucket"], order, n).drop("__bucket")
     return top_n_per_group(first, partition, order, n)
