@@ -70,3 +70,29 @@ def test_clean_fact_edge_rows(spark, raw_dir):
     assert fact["a"]["publish_hour"] == 17
     assert fact["a"]["tags"] == "a|b" and fact["z"]["title"] == "café"
     assert fact["a"]["comments_disabled"] is False
+
+
+def test_split_files_keep_header_and_rows(spark, tmp_path):
+    """Files larger than a split: the header comes from the first split only, and a file
+    without quoted newlines is parsed splittably without losing or duplicating rows."""
+    d = str(tmp_path)
+    data = [fixtures.row(f"v{i}", "17.14.11", i, title=f"title {i}") for i in range(3000)]
+    fixtures.write_csv(f"{d}/USvideos.csv", fixtures.HEADER, data)
+    data_fr = data[:1000] + [fixtures.row("nl", "17.14.11", 1, title="a\nb")]
+    order = list(reversed(range(len(fixtures.HEADER))))
+    fixtures.write_csv(f"{d}/FRvideos.csv", [fixtures.HEADER[i] for i in order],
+                       [[r[i] for i in order] for r in data_fr])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        files = scan_files(spark, region_glob(d, ["US", "FR"]))
+        assert {p.rsplit("/", 1)[-1]: (h.split(",")[0], s) for p, h, _, s in files} == {
+            "USvideos.csv": ("video_id", False), "FRvideos.csv": ("description", True)}
+        raw = read_regional_csv(spark, d, ["US", "FR"])
+        assert raw.where("region = 'US'").count() == 3000
+        assert raw.where("region = 'FR'").count() == 1001
+        assert raw.where("region = 'US'").select("video_id").distinct().count() == 3000
+        assert raw.where("video_id = 'nl'").first()["title"] == "a\nb"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
