@@ -34,17 +34,20 @@ def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions
                   multiline="auto", category_regions: list[str] | None = None) -> dict:
     """T1 + T2: build and write the dimension, then clean and write the fact.
 
-    Returns stage metrics (V2, V3, V9) gathered by observers during the writes.
+    Returns stage metrics (V2, V3, V9) gathered by observers during the writes, plus
+    the number of input files and the configured regions that had none (S8).
     """
     paths = Paths(processed_dir)
+    inputs: dict = {}
     raw, dim = load_inputs(spark, raw_dir, regions, csv_template, json_template, multiline,
-                           category_regions)
+                           category_regions, inputs)
     dim, dim_obs = Q.observe_count(dim, "dim_rows")
     K.write_dimension(dim, paths.dim)
     metrics = StageMetrics()
     K.write_fact(clean_fact(raw, metrics), paths.fact)
     out = metrics.get()
     out["dim_rows"] = dim_obs.get.get("rows")
+    out.update(inputs)                      # files read, configured regions without input (S8)
     return out
 
 

@@ -80,8 +80,8 @@ def _observe_negative(df: DataFrame):
 
 def load_inputs(spark: SparkSession, raw_dir: str, regions: list[str] | None = None,
                 csv_template: str = X.CSV_NAME_TEMPLATE, json_template: str = X.JSON_NAME_TEMPLATE,
-                multiline="auto", category_regions: list[str] | None = None
-                ) -> tuple[DataFrame, DataFrame]:
+                multiline="auto", category_regions: list[str] | None = None,
+                report: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """S1-S4 + S10: (raw rows, category dimension) or TransformAborted.
 
     ``category_regions`` defaults to ``regions`` (one list configures both inputs).
@@ -89,7 +89,7 @@ def load_inputs(spark: SparkSession, raw_dir: str, regions: list[str] | None = N
     items = read_category_items(spark, raw_dir, category_regions or regions, json_template)
     if items is None or items.isEmpty():
         raise TransformAborted("no category mapping could be parsed")
-    raw = read_regional_csv(spark, raw_dir, regions, csv_template, multiline)
+    raw = read_regional_csv(spark, raw_dir, regions, csv_template, multiline, report)
     if raw is None:
         raise TransformAborted("no regional input found")
     return raw, build_category_dim(items)

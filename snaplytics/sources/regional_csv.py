@@ -81,7 +81,8 @@ def _csv_reader(spark: SparkSession, multiline: bool, encoding: str):
 
 
 def read_regional_csv(spark: SparkSession, raw_dir: str, regions: list[str] | None = None,
-                      template: str = X.CSV_NAME_TEMPLATE, multiline="auto") -> DataFrame | None:
+                      template: str = X.CSV_NAME_TEMPLATE, multiline="auto",
+                      report: dict | None = None) -> DataFrame | None:
     """Raw rows of every configured region, all-string columns, lower-case names,
     plus ``region`` (from the file name) and ``_source_file``.
 
@@ -89,10 +90,14 @@ def read_regional_csv(spark: SparkSession, raw_dir: str, regions: list[str] | No
     ``multiline="auto"`` reads a file with ``multiLine`` (one task per file) only
     when one of its records spans lines, and every other file splittably, so a
     huge region file without embedded newlines is parsed by many tasks.
-    ``True`` / ``False`` force one mode for all files.
+    ``True`` / ``False`` force one mode for all files. When ``report`` is given it
+    receives the number of files read and the configured regions without input (S8).
     """
     regions = regions or X.DEFAULT_REGIONS
     files = scan_files(spark, region_glob(raw_dir, regions, template))
+    if report is not None:
+        report["input_files"] = len(files)
+        report["missing_regions"] = missing_regions(files, regions, template)
     if not files:
         return None
     groups: dict[tuple, list[str]] = {}

@@ -23,6 +23,7 @@ def test_transform_then_load_aborts_on_orphan(spark, tmp_path):
     assert metrics["raw_rows"] == len(fixtures.us_rows()) + 1
     assert metrics["clean_rows"] == 11 and metrics["dim_rows"] == 3
     assert metrics["negative_rows"] == 1
+    assert metrics["missing_regions"] == ["CA", "GB", "IN", "DE"] and metrics["input_files"] == 2
     assert 0 < metrics["quality_rate"] < 1
     assert sorted(d for d in os.listdir(os.path.join(out, "trending")) if d.startswith("region=")) == [
         "region=FR", "region=US"]
