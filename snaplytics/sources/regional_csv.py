@@ -72,7 +72,10 @@ def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool,
 
 
 def _header_names(header: str) -> tuple[str, ...]:
-    return tuple(h.strip().strip('"').lower() for h in header.split(","))
+    """Lower-cased column names of one header line (RFC 4180 quoting)."""
+    import csv
+    fields = next(csv.reader([header.rstrip("\r\n")]), [])
+    return tuple(f.strip().lower() for f in fields)
 
 
 def _csv_reader(spark: SparkSession, multiline: bool, encoding: str):
