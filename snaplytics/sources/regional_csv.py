@@ -72,8 +72,10 @@ def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool,
 
 
 def _header_names(header: str) -> tuple[str, ...]:
-    """Lower-cased column names of one header line (RFC 4180 quoting)."""
+    """Lower-cased column names of one header line (RFC 4180 quoting); a UTF-8
+    byte-order mark (seen through Latin-1 as three characters) is dropped."""
     import csv
+    header = header[3:] if header.startswith("\u00ef\u00bb\u00bf") else header
     fields = next(csv.reader([header.rstrip("\r\n")]), [])
     return tuple(f.strip().lower() for f in fields)
 

@@ -96,3 +96,13 @@ def test_split_files_keep_header_and_rows(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_header_with_bom_and_quotes(spark, tmp_path):
+    from snaplytics.sources.regional_csv import _header_names
+    assert _header_names("ï»¿Video_ID,\"Views\",title\r") == ("video_id", "views", "title")
+    d = str(tmp_path)
+    with open(f"{d}/USvideos.csv", "wb") as fh:
+        fh.write(b"\xef\xbb\xbfVideo_ID,views\nx1,5\n")
+    raw = read_regional_csv(spark, d, ["US"])
+    assert [tuple(r) for r in raw.select("video_id", "views").collect()] == [("x1", "5")]
