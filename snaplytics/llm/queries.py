@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, exact_dedup, mixing, quality, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_url_filter": url_filter.op3_url_filter,
     "op6_bpe": bpe.op6_bpe,
+    "op8_warc_revisit": warc.op8_warc_revisit,
+    "op9_quality_outliers": quality.op9_quality_outliers,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
+    "op3_url_filter": url_filter.ORACLE,
+    "op8_warc_revisit": warc.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
