@@ -1,24 +1,51 @@
-"""The corpus pipeline over ``documents``; part of the llm subpackage."""
+"""The corpus pipeline over ``documents``; part of the llm subpackage.
+
+Quality rules, line dedup, SimHash near-dedup, source mixing, byte-level BPE. Every stage
+takes the documents its predecessor kept; all but the last return documents' columns.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaplytics.llm.bpe import encode_documents
+from snaplytics.llm import bpe, line_dedup, mixing, quality, simhash
 from snaplytics.llm.common import staged, table
-from snaplytics.llm.mixing import mix_sources
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules or the outlier test reject go."""
+    return quality.keep_good(docs)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated and nearly repeated lines go; every document stays."""
+    return line_dedup.dedup_lines(docs)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays."""
+    return simhash.dedup(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_sources(docs)
+    """Documents as often as the mix takes them."""
+    return mixing.mix_sources(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_documents(docs)
+    """doc_id, n_tokens and the digests of the ids and of the decoded text."""
+    return bpe.encode_documents(docs)
 
 
-STAGES = [("mixing", mix), ("bpe", encode)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", dedup_lines),
+    ("simhash_dedup", dedup_documents),
+    ("mix_sources", mix),
+    ("bpe", encode),
+]
 
+#: Fingerprints, tokens and edit joins are beyond SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
