@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, line_dedup, mixing, quality, simhash, url_filter, warc
+from . import bpe, exact_dedup, html_text, line_dedup, lm, mixing, quality, simhash, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_lm_scores": lm.op2_lm_scores,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_simhash_dedup": simhash.op4_simhash_dedup,
+    "op5_html_text": html_text.op5_html_text,
     "op6_bpe": bpe.op6_bpe,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_warc_revisit": warc.op8_warc_revisit,
