@@ -29,33 +29,32 @@ from .common import GAP_CHARS, broadcast_if_small, staged, table, unclash
 
 MAX_EDITS = 2
 MIN_CHARS = 20
+LETTERS = "etaonisr"    # letters counted to tell pairs apart before their distance is measured
 
 
-def segments(length: int | Column, edits: int) -> list[tuple[Column, Column]]:
-    """Start (from 1) and size of the even segments of a line of that length; the longer ones last."""
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """(segment, how much shorter the other line is, shift) of every key of a line: within the
+    shifts that the edits before and after the segment allow."""
+    return [(i, shorter, shift) for shorter in range(edits + 1) for i in range(edits + 1)
+            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)]
+
+
+def with_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """(line, size, h) -> key, own, line, h for all keys of each line; own marks its own
+    segments. The probes are rows, not twelve expressions: one small projection that the JVM
+    compiles, where an array of all keys makes a method too large for it."""
+    specs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in probes(edits)])
     parts = edits + 1
-    small = F.floor(length / F.lit(parts)).cast("int")
-    longer = (length - small * parts).cast("int")
-    out = []
-    for i in range(parts):
-        extra_before = F.greatest(F.lit(0), F.lit(i - parts) + longer)
-        out.append(((small * i + extra_before + 1).cast("int"), small + F.when(F.lit(i) >= F.lit(parts) - longer, 1).otherwise(0)))
-    return out
-
-
-def line_keys(line: Column, length: Column, edits: int) -> Column:
-    """All keys of a line: array of (key, own), own marking its own segments."""
-    keys = []
-    for shorter in range(edits + 1):
-        target = length - shorter
-        for i, (start, size) in enumerate(segments(target, edits)):
-            low = max(-i, shorter - (edits - i))
-            high = min(i, shorter + (edits - i))
-            for shift in range(low, high + 1):
-                own = shorter == 0 and shift == 0
-                key = F.xxhash64(F.substring(line, start + shift, size), F.lit(i), target)
-                keys.append(F.struct(key.alias("key"), F.lit(own).alias("own")))
-    return F.array(*keys)
+    rows = lines.select("line", "h", "size", F.explode(specs).alias("p"))
+    rows = rows.select("line", "h", (F.col("size") - F.col("p.d")).alias("target"), F.col("p.i").alias("i"), F.col("p.s").alias("s"),
+                       ((F.col("p.d") == 0) & (F.col("p.s") == 0)).alias("own"))
+    # even segments, the longer ones last
+    longer = F.col("target") % parts
+    small = ((F.col("target") - longer) / parts).cast("int")
+    start = small * F.col("i") + F.greatest(F.lit(0), F.col("i") + longer - parts) + F.col("s") + 1
+    size = small + (F.col("i") >= parts - longer).cast("int")
+    key = F.xxhash64(F.substring(F.col("line"), start, size), F.col("i"), F.col("target"))
+    return rows.select(key.alias("key"), "own", "line", "h")
 
 
 def order_of(doc: Column, text_hash: Column, line_no: Column) -> Column:
@@ -63,24 +62,30 @@ def order_of(doc: Column, text_hash: Column, line_no: Column) -> Column:
 
 
 def eligible_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, text_hash, line_no, line of the lines that take part."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.filter(F.length(F.btrim("line", F.lit(GAP_CHARS))) >= min_chars)
+    """doc_id, text_hash, line_no, line, size (code points), h (64-bit hash) of the lines that take part."""
+    # size and h are made inside the exploded array, so no later expression works them out again
+    each = F.transform(F.split("text", "\n"), lambda x, i: F.struct(
+        i.alias("line_no"), x.alias("line"), F.length(x).alias("size"), F.xxhash64(x).alias("h"),
+        (F.length(F.btrim(x, F.lit(GAP_CHARS))) >= min_chars).alias("long")))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(each).alias("l"))
+    return lines.filter("l.long").select("doc_id", "text_hash", "l.line_no", "l.line", "l.size", "l.h")
 
 
 def line_links(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(a, b) for every ordered pair of different texts within ``edits`` edits, by text digest."""
-    lines = eligible_lines(docs, min_chars).select("line")
-    keyed = lines.withColumn("size", F.length("line")).withColumn("k", F.explode(line_keys(F.col("line"), F.col("size"), edits)))
-    keyed = keyed.select(F.col("k.key").alias("key"), F.col("k.own").alias("own"), "line")
-    met = keyed.select("key", "own", F.xxhash64("line").alias("h")).groupBy("key").agg(
+    lines = eligible_lines(docs, min_chars).select("line", "size", "h")
+    keyed = with_keys(lines, edits)
+    met = keyed.groupBy("key").agg(
         F.min("h").alias("least"), F.max("h").alias("most"), F.max("own").alias("own"))
     met = staged(met.filter((F.col("least") != F.col("most")) & F.col("own")).select(F.col("key").alias("m_key")), "line-keys")
     near = keyed.join(broadcast_if_small(met), F.col("key") == F.col("m_key"), "left_semi").select("key", "own", "line").distinct()
+    # an edit changes at most two letter counts by one, so far pairs are told apart without a distance
+    near = near.select("key", "own", "line", *[(F.length("line") - F.length(F.replace("line", F.lit(c)))).alias(f"n{i}") for i, c in enumerate(LETTERS)])
     near = staged(near, "line-candidates")
-    own = near.filter("own").select("key", F.col("line").alias("a_line"))
-    probe = near.select(F.col("key").alias("p_key"), F.col("line").alias("b_line"))
-    close = F.levenshtein("a_line", "b_line", edits) >= 0
+    own = near.filter("own").select("key", F.col("line").alias("a_line"), *[F.col(f"n{i}").alias(f"a{i}") for i in range(len(LETTERS))])
+    probe = near.select(F.col("key").alias("p_key"), F.col("line").alias("b_line"), *[F.col(f"n{i}").alias(f"b{i}") for i in range(len(LETTERS))])
+    apart = sum((F.abs(F.col(f"a{i}") - F.col(f"b{i}")) for i in range(1, len(LETTERS))), F.abs(F.col("a0") - F.col("b0")))
+    close = (apart <= 2 * edits) & (F.levenshtein("a_line", "b_line", edits) >= 0)
     found = own.join(probe.hint("merge"), (F.col("key") == F.col("p_key")) & (F.col("a_line") != F.col("b_line")) & close)
     found = found.select(digest(F.col("a_line")).alias("a"), digest(F.col("b_line")).alias("b"))
     return staged(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "line-links")
@@ -97,7 +102,8 @@ def line_report(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
     lines = eligible_lines(docs, min_chars).select("doc_id", "text_hash", "line_no", digest(F.col("line")).alias("text_id"))
     lines = staged(lines, "line-rows")
     place = order_of(F.col("doc_id"), F.col("text_hash"), F.col("line_no"))
-    first = lines.groupBy("text_id").agg(F.min(place).alias("first"))
+    # staged, so that the join below reads both sides through a shuffle and can split a hot line
+    first = staged(lines.groupBy("text_id").agg(F.min(place).alias("first")), "line-first")
     linked = found.groupBy(F.col("a").alias("text_id")).agg(F.count(F.lit(1)).alias("n_links"))
     linked = staged(first.join(linked, "text_id"), "line-linked")
     # the earliest place among a text's links
