@@ -238,10 +238,11 @@ def _u1(spark, d):
     """Two inputs with different column order, header case and one
     column missing, lower-cased and unioned by name."""
     ev = table(spark, d, "events")
-    a = ev.where(F.col("value") < 100).select(
+    low = F.coalesce(F.col("value") < 100, F.lit(False))  # a NULL value is in the second input
+    a = ev.where(low).select(
         F.col("event_id").alias("Event_ID"), F.col("event_type").alias("REGION"),
         F.col("value").alias("Value"), F.col("props").alias("Props"))
-    b = ev.where(~(F.col("value") < 100)).select(
+    b = ev.where(~low).select(
         F.col("value").alias("VALUE"), F.col("event_type").alias("Region"), F.col("event_id").alias("event_id"))
     return C.union_by_name([C.lower_columns(a), C.lower_columns(b)])
 

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaplytics.operators.joins import join_dimension
-
-VIEW_COMMENT = ("Flat view for BI dashboard integrations, combining trending metrics and "
-                "category names.")
+VIEW_COMMENT = "One row per clean snapshot with the title of its category; snapshots of unknown categories are left out."
 
+# The view's columns, in order.
 DASHBOARD_COLUMNS = [
     "video_id", "trending_date", "region", "title", "channel_title", "category_title",
     "publish_time", "views", "likes", "dislikes", "comment_count", "comments_disabled",
@@ -16,11 +14,6 @@ DASHBOARD_COLUMNS = [
 ]
 
 
-def dashboard_frame(fact: DataFrame, dim: DataFrame, broadcast="auto") -> DataFrame:
-    """B1: fact ⋈ dimension (inner), 17 analytics-ready columns."""
-    return join_dimension(fact, dim, how="inner", broadcast=broadcast).select(*DASHBOARD_COLUMNS)
-
-
 def create_dashboard_view(spark: SparkSession, fact_table: str, dim_table: str,
                           view_name: str = "dashboard_view", temporary: bool = True) -> DataFrame:
     """K8: ``CREATE OR REPLACE [TEMP] VIEW``; a catalog view also carries the comment."""
