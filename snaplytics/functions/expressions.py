@@ -29,8 +29,10 @@ def col(c: str | Column) -> Column:
 
 
 def parse_trending_date(c: str | Column, fmt: str = TRENDING_DATE_FORMAT) -> Column:
-    """``YY.DD.MM`` snapshot date; anything unparseable becomes NULL."""
-    return F.try_to_date(col(c), fmt)
+    """``YY.DD.MM`` snapshot date; anything unparseable becomes NULL (C8). Two-digit years
+    from 69 on are of the last century (the POSIX rule), the others of this one."""
+    parsed = F.try_to_date(col(c), fmt)
+    return F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed) if "yyyy" not in fmt else parsed
 
 
 def parse_publish_time(c: str | Column) -> Column:

@@ -40,11 +40,6 @@ def length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     return df.agg(*[F.count_if(F.length(c) > n).alias(f"{c}_too_long") for c, n in present.items()])
 
 
-def orphan_count(fact: DataFrame, dim: DataFrame, key: str = "category_id") -> DataFrame:
-    """V7: fact rows with no dimension row."""
-    return orphans(fact, dim, key).agg(F.count(F.lit(1)).alias("orphans"))
-
-
 def violation_summary(fact: DataFrame, dim: DataFrame, fact_key: list[str], dim_key: str,
                       fact_not_null: list[str], dim_not_null: list[str],
                       fact_lengths: dict[str, int], dim_lengths: dict[str, int]) -> dict[str, int]:

@@ -46,20 +46,11 @@ def top_n_per_group_two_level(df: DataFrame, partition: list[str], order: list[C
     each first-level task only merges the tasks of its bucket. The second level
     merges ``buckets`` x ``n`` candidates per group. Top-n of top-n is exact for a
     total ``order``; the bucket only balances work. By default ``buckets`` is about
-    the square root of the number of input partitions, which balances the two
-    levels (each merges about sqrt(tasks) x ``n`` rows per group).
+    the square root of the session's shuffle partitions (sized to the input), which
+    balances the two levels without a look at the input.
     """
     if buckets is None:
-        try:
-            buckets = max(8, math.isqrt(df.rdd.getNumPartitions()) + 1)
-        except Exception:  # noqa: BLE001 - no RDD access (Spark Connect)
-            buckets = 64
+        buckets = max(8, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1)
     salted = df.withColumn("__bucket", F.pmod(F.spark_partition_id(), F.lit(buckets)))
     first = top_n_per_group(salted, partition + ["__bucket"], order, n).drop("__bucket")
     return top_n_per_group(first, partition, order, n)
-
-
-def full_row_order(df: DataFrame, leading: list[Column], exclude: tuple = ()) -> list[Column]:
-    """Leading sort keys, then every other column ascending (nulls first) as tie-break."""
-    used = {c for c in exclude}
-    return leading + [F.col(c).asc_nulls_first() for c in df.columns if c not in used]

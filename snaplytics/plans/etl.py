@@ -57,8 +57,8 @@ def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trendin
     dimension table before the fact table (K3, K4, K6).
 
     By default the checked Parquet folders become the tables (external tables,
-    metadata only: no second copy of the fact). ``copy=True`` writes a full-refresh
-    copy instead, under ``location`` when given. Both are idempotent full
+    metadata only: no second copy of the fact). ``copy=True`` copies the rows into
+    tables declared by DDL instead, under ``location`` when given. Both are idempotent full
     refreshes, so re-running after a failure is safe.
     """
     paths = Paths(processed_dir)
@@ -68,8 +68,8 @@ def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trendin
     Q.assert_loadable(summary)
     if copy:
         loc = location.rstrip("/") if location else None
-        K.save_table(dim, dim_table, f"{loc}/{dim_table}" if loc else None)
-        K.save_table(fact, fact_table, f"{loc}/{fact_table}" if loc else None, ["region"])
+        K.refresh_table(dim, dim_table, K.dim_ddl(dim_table, f"{loc}/{dim_table}" if loc else None))
+        K.refresh_table(K.layout_fact(fact), fact_table, K.fact_ddl(fact_table, f"{loc}/{fact_table}" if loc else None))
     else:
         K.register_table(spark, dim_table, paths.dim)
         K.register_table(spark, fact_table, paths.fact, partitioned=True)
@@ -77,13 +77,13 @@ def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trendin
 
 
 def run_export(spark: SparkSession, processed_dir: str, out_dir: str) -> dict[str, str]:
-    """The seven reports as CSV (K5)."""
+    """The seven reports as CSV (K5): a folder with one part file for each."""
     paths = Paths(processed_dir)
     fact, dim = read_fact(spark, paths.fact), read_dimension(spark, paths.dim)
     written = {}
     for name, frame in all_reports(fact, dim).items():
         target = f"{out_dir.rstrip('/')}/{REPORT_FILES[name]}"
-        K.write_report_csv(frame, target)
+        K.write_report_csv(frame, target, ordered=name != "region_sample")
         written[name] = target
     return written
 

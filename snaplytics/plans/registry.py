@@ -6,6 +6,7 @@ tables are read every time (no row caps, no key subsets).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,12 @@ from snaplytics.plans import etl as P
 from snaplytics.plans import reports as E
 from snaplytics.plans import views as V
 from snaplytics.plans.transform import build_category_dim
-from snaplytics.schemas import FACT_COLUMNS, FACT_KEY
+from snaplytics.schemas import DIM_MAX_LENGTHS, FACT_COLUMNS, FACT_KEY, MAX_LENGTHS, NOT_NULL_DIM, NOT_NULL_FACT
 from snaplytics.session import apply_defaults, scratch_path
 from snaplytics.sinks.raw_inputs import write_category_json, write_regional_csv
 from snaplytics.sources.category_json import read_category_items
-from snaplytics.sources.driver_tables import category_dim, category_items, raw_events, region_order, table
+from snaplytics.sources.driver_tables import (category_dim, category_items, category_items_coded, raw_events, raw_star,
+                                              region_code, region_order, table)
 from snaplytics.sources.driver_tables import events_fact as fact_events
 from snaplytics.sources.driver_tables import star as fact_star
 from snaplytics.sources.parquet import read_dimension, read_fact
@@ -35,6 +37,16 @@ from snaplytics.sources.regional_csv import read_regional_csv
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def event_regions(spark: SparkSession, d: str) -> list[str]:
+    """The regions to configure: every event type of the table (a handful by nature)."""
+    return [r[0] for r in table(spark, d, "events").select("event_type").distinct().orderBy("event_type").collect() if r[0] is not None]
+
+
+def fresh_name(table_name: str) -> str:
+    """A catalog name of its own for each call."""
+    return f"{table_name}_{uuid.uuid4().hex[:8]}"
+
+
 def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,15 +296,14 @@ def _s7(spark, d):
 
 @query("csv_roundtrip")
 def _s1(spark, d):
-    """Events staged as regional CSVs (one region Latin-1 with
+    """Events staged as regional CSVs (one region Latin-1 with
     another column order, mixed-case headers, quoted newlines), read back by name."""
     raw = raw_events(spark, d)
     out = scratch_path(spark, "raw-csv")
     rename = {"video_id": "Video_ID", "views": "Views", "title": "TITLE"}
     latin1_order = list(reversed([c for c in raw.columns if c != "region"]))
     template = write_regional_csv(raw, out, ["click"], rename, latin1_order)
-    regions = ["click", "purchase", "view", "signup", "error", "refund"]
-    back = read_regional_csv(spark, out, regions, template)
+    back = read_regional_csv(spark, out, [*event_regions(spark, d), "no_input"], template)
     return back.select("event_id", "region", "video_id", "title", "description", "views", "trending_date")
 
 
@@ -327,7 +338,7 @@ def _t2(spark, d):
     raw = raw_events(spark, d).drop("event_id")
     csv_t = write_regional_csv(raw, f"{raw_dir}/csv")
     json_t = write_category_json(category_items(spark, d), f"{raw_dir}/json")
-    regions = ["click", "purchase", "view", "signup", "error"]
+    regions = event_regions(spark, d)
     category_regions = [r["r_name"] for r in region_order(spark, d).orderBy("r_regionkey").collect()]
     P.run_transform(spark, raw_dir, processed, regions, csv_template=f"csv/{csv_t}",
                     json_template=f"json/{json_t}", category_regions=category_regions)
@@ -336,12 +347,46 @@ def _t2(spark, d):
 
 @query("table_roundtrip")
 def _k3(spark, d):
-    """Dimension and fact refreshed as external catalog tables."""
-    loc = scratch_path(spark, "tables")
-    spark.sql("DROP TABLE IF EXISTS snap_categories")
-    spark.sql(K.dim_ddl("snap_categories", f"{loc}/categories"))
-    category_dim(spark, d).write.insertInto("snap_categories", overwrite=True)
-    return spark.table("snap_categories")
+    """The dimension refreshed as a declared external table."""
+    name = fresh_name("snap_categories")
+    return K.refresh_table(category_dim(spark, d), name, K.dim_ddl(name, scratch_path(spark, "tables")))
+
+
+@query("load_job")
+def _t3(spark, d):
+    """The lineitem star as raw regional files -> transform -> constraint
+    checks -> rows copied into tables declared by DDL; the fact is read from its table."""
+    raw_dir, processed, tables = (scratch_path(spark, f"load-{x}") for x in ("raw", "out", "tables"))
+    csv_t = write_regional_csv(raw_star(spark, d), f"{raw_dir}/csv")
+    json_t = write_category_json(category_items_coded(spark, d), f"{raw_dir}/json")
+    regions = [r[0] for r in region_order(spark, d).orderBy("r_regionkey").select(region_code("r_name")).collect()]
+    P.run_transform(spark, raw_dir, processed, regions, csv_template=f"csv/{csv_t}", json_template=f"json/{json_t}")
+    fact, dim = fresh_name("load_fact"), fresh_name("load_dim")
+    P.run_load(spark, processed, fact, dim, location=tables, copy=True)
+    return spark.table(fact).select(*FACT_COLUMNS)
+
+
+@query("load_violations")
+def _v8(spark, d):
+    """V4-V8: the load checks over the events fact (it has orphans and repeated keys), one row each."""
+    summary = Q.violation_summary(fact_events(spark, d), category_dim(spark, d), FACT_KEY, "category_id",
+                                  NOT_NULL_FACT, NOT_NULL_DIM, MAX_LENGTHS, DIM_MAX_LENGTHS)
+    return spark.createDataFrame(sorted(summary.items()), "check_name string, violations bigint")
+
+
+@query("category_dim_malformed")
+def _s9(spark, d):
+    """Category documents of which one is broken, and later entries without a title:
+    neither replaces a good title."""
+    out = scratch_path(spark, "raw-json-broken")
+    items = category_items(spark, d)
+    last = F.col("region") == "MIDDLE EAST"
+    items = items.withColumn("category_title", F.when(~last, F.col("category_title")))
+    template = write_category_json(items, out)
+    broken = table(spark, d, "region").filter("r_name = 'ASIA'").select(F.lit('{"items": [{"id": "1", ').alias("value"), F.col("r_name").alias("region"))
+    broken.write.mode("append").partitionBy("region").text(f"{out}")
+    regions = [r["r_name"] for r in region_order(spark, d).orderBy("r_regionkey").collect()]
+    return build_category_dim(read_category_items(spark, out, regions, template))
 
 
 # -- the same analytics over the events fact: NULL likes, negative comments,

@@ -119,8 +119,8 @@ def report_region_sample(fact: DataFrame, dim: DataFrame, n: int = 5000, broadca
     Regions are few and ``n`` is large, so the cut is done in two levels to keep
     the rows reaching one task bounded (see ``top_n_per_group_two_level``).
     """
-    rows = with_category(fact, dim, broadcast)
-    cols = rows.columns
+    cols = [*fact.columns, "category_title"]
+    rows = with_category(fact, dim, broadcast).select(*cols)
     order = [F.col("views").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in cols
                                                   if c not in ("views", "region")]
     return top_n_per_group_two_level(rows, ["region"], order, n).select(*cols)

@@ -2,14 +2,6 @@
 
 from pyspark.sql import types as T
 
-# Raw regional CSV: every column read as string, typed later with try_* parsers,
-# so one malformed value nulls a field instead of failing the file.
-RAW_CSV_COLUMNS = [
-    "video_id", "trending_date", "title", "channel_title", "category_id", "publish_time",
-    "tags", "views", "likes", "dislikes", "comment_count", "thumbnail_link",
-    "comments_disabled", "ratings_disabled", "video_error_or_removed", "description",
-]
-
 FACT_SCHEMA = T.StructType([
     T.StructField("video_id", T.StringType()),
     T.StructField("trending_date", T.DateType()),
@@ -35,11 +27,6 @@ FACT_SCHEMA = T.StructType([
 FACT_COLUMNS = [f.name for f in FACT_SCHEMA.fields]
 FACT_KEY = ["video_id", "trending_date", "region"]
 
-DIM_SCHEMA = T.StructType([
-    T.StructField("category_id", T.IntegerType(), False),
-    T.StructField("category_title", T.StringType(), False),
-])
-
 CATEGORY_JSON_SCHEMA = "items array<struct<id:string,snippet:struct<title:string>>>"
 
 # Declared maximum string lengths of the loaded tables (VARCHAR(n))

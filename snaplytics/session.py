@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,19 +24,20 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "snaplytics", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster leave ``master`` unset and size ``shuffle_partitions`` to the
-    data (roughly input bytes / 128 MB); AQE coalesces small partitions.
+    Settings submitted with the application (``--conf``) win over the defaults. The
+    number of shuffle partitions is left to the submitter unless given here; see
+    ``cluster_settings`` for a value sized to the input (AQE coalesces small partitions).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.ui.enabled"] = "false"
+    conf = {"spark.ui.enabled": "false"}
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -65,9 +67,10 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
 
 def apply_defaults(spark: SparkSession, keep: set | None = None) -> None:
     """Apply the runtime SQL settings to an existing session (driver-made ones too);
-    keys in ``keep`` are left as the caller set them."""
+    keys in ``keep``, and those the application was submitted with, are left as they are."""
+    keep = (keep or set()) | submitted_settings(spark)
     for k, v in SESSION_DEFAULTS.items():
-        if keep and k in keep:
+        if k in keep:
             continue
         try:
             spark.conf.set(k, v)
@@ -75,6 +78,14 @@ def apply_defaults(spark: SparkSession, keep: set | None = None) -> None:
             pass
 
 
+def submitted_settings(spark: SparkSession) -> set[str]:
+    """Names of the settings the application was started with."""
+    try:
+        return {k for k, _ in spark.sparkContext.getConf().getAll()}
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        return set()
+
+
 def _conf(spark: SparkSession, key: str) -> str | None:
     try:
         value = spark.conf.get(key, None)
@@ -91,9 +102,9 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) a folder of our own is
-    created and registered, so lineage cuts and staged tables always land in
-    storage every executor can reach.
+    Only when the session has none and runs on a single machine (local runs, tests) a
+    folder of our own is created and registered. On a cluster that would scatter
+    staged tables over the machines' own disks, so there the setting is required.
     """
     root = _conf(spark, "spark.checkpoint.dir")
     try:
@@ -103,6 +114,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = _conf(spark, "spark.master") or ""
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master is {master or 'unknown'})")
         root = tempfile.mkdtemp(prefix="snaplytics-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -117,18 +131,25 @@ def application_id(spark: SparkSession) -> str:
     return _conf(spark, "spark.app.id") or str(id(spark))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint root."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+_SCRATCH_ROOTS: set[str] = set()
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint (never localCheckpoint): survives executor loss."""
-    spark = spark or df.sparkSession
-    checkpoint_root(spark)
-    return df.checkpoint(eager=True)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique sub-folder of the application's scratch folder, which lies in the
+    shared checkpoint root and is removed when the application ends."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/snaplytics-{application_id(spark)}"
+    if root not in _SCRATCH_ROOTS:
+        _SCRATCH_ROOTS.add(root)
+        try:
+            jvm = spark.sparkContext._jvm
+            path = jvm.org.apache.hadoop.fs.Path(root)
+            fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.mkdirs(path)
+            fs.deleteOnExit(path)
+        except Exception:  # noqa: BLE001 - no JVM at hand (Spark Connect): the folder's owner clears it
+            pass
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 __all__ = ["build_session", "apply_defaults", "cluster_settings", "checkpoint_root", "scratch_path",
-           "cut_lineage", "application_id"]
+           "application_id"]

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplytics.schemas import FACT_SCHEMA
-
+from snaplytics.schemas import FACT_SCHEMA, NOT_NULL_FACT
 
 
 def write_dimension(dim: DataFrame, path: str) -> None:
@@ -17,35 +16,31 @@ def write_dimension(dim: DataFrame, path: str) -> None:
 def layout_fact(fact: DataFrame, files_per_region: int | None = None) -> DataFrame:
     """K2 / K7 layout.
 
-    Default: no extra shuffle. The clean fact comes out of the key dedup already
-    hash-distributed, so every task writes one file per region it holds; sorting
-    within the task by (region, trending_date, category_id) gives each file tight
-    min/max statistics for date and category predicates - the intent of the
-    reference's B-tree indexes. Region has few values and may be skewed, so it is
-    never the only shuffle key. ``files_per_region`` (for small outputs) instead
-    hashes items into that many files per region.
+    Rows are rebalanced by region: AQE splits a region that holds most of the rows and
+    merges small ones by their bytes, so the number of files follows the data and not
+    tasks x regions. Sorting within the task by (region, trending_date, category_id)
+    gives each file tight min/max statistics for date and category predicates.
+    ``files_per_region`` (for small outputs) instead hashes items into that many files
+    per region.
     """
     if files_per_region:
         bucket = F.pmod(F.xxhash64("video_id"), F.lit(files_per_region))
         fact = fact.repartition(F.col("region"), bucket)
+    else:
+        fact = fact.hint("rebalance", F.col("region"))
     return fact.sortWithinPartitions("region", "trending_date", "category_id")
 
 
 def write_fact(fact: DataFrame, path: str, files_per_region: int | None = None) -> None:
     """K2: Parquet partitioned by region; static overwrite removes stale regions."""
-    spark = fact.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-    try:
-        (layout_fact(fact, files_per_region).write.mode("overwrite")
-         .partitionBy("region").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (layout_fact(fact, files_per_region).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("region").parquet(path))
 
 
 def fact_ddl(table: str, location: str | None = None) -> str:
     """K6: ``CREATE TABLE IF NOT EXISTS`` for the fact, partitioned by region."""
-    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FACT_SCHEMA.fields)
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" + (" NOT NULL" if f.name in NOT_NULL_FACT else "")
+                     for f in FACT_SCHEMA.fields)
     loc = f" LOCATION '{location}'" if location else ""
     return f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet PARTITIONED BY (region){loc}"
 
@@ -56,15 +51,14 @@ def dim_ddl(table: str, location: str | None = None) -> str:
             f"category_title string NOT NULL) USING parquet{loc}")
 
 
-def save_table(df: DataFrame, table: str, location: str | None = None,
-               partition_by: list[str] | None = None) -> None:
-    """K3 / K4: full refresh of a catalog table (overwrite), optionally external."""
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if location:
-        w = w.option("path", location)
-    w.saveAsTable(table)
+def refresh_table(df: DataFrame, table: str, ddl: str) -> DataFrame:
+    """K3 / K4: full refresh of a declared catalog table: created from its DDL when it
+    isn't there, its rows replaced in one committed overwrite."""
+    spark = df.sparkSession
+    spark.sql(ddl)
+    df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 def register_table(spark: SparkSession, table: str, location: str, partitioned: bool = False) -> DataFrame:
@@ -90,12 +84,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int, properties:
        .option("truncate", truncate).options(**(properties or {})).save())
 
 
-def write_report_csv(report: DataFrame, path: str) -> None:
-    """K5: one headered CSV file. Only for aggregated / limited frames."""
-    (report.coalesce(1).write.mode("overwrite").option("header", True)
-     .option("escape", '"').csv(path))
-
-
-def register_view(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    df.createOrReplaceTempView(name)
-    return spark.table(name)
+def write_report_csv(report: DataFrame, path: str, ordered: bool = True) -> None:
+    """K5: a folder with one headered CSV part. An ordered report is a few rows after its
+    sort. One that is not (the region sample) gets a shuffle before the writing task, so
+    that its own work stays parallel."""
+    one = report.coalesce(1) if ordered else report.repartition(1)
+    one.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

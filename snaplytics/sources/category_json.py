@@ -3,7 +3,8 @@
 One pretty-printed document per region: ``{"items": [{"id": "10", "snippet":
 {"title": "Music"}}, ...]}``. Read with a fixed schema in PERMISSIVE mode: a
 broken file yields a row of NULLs, hence no items; an entry whose id is not
-an integer is dropped (the rest of that file is kept).
+an integer, or without a title, is dropped (the rest of that file is kept), so
+it can't replace a good title of another region.
 """
 
 from __future__ import annotations
@@ -34,4 +35,4 @@ def read_category_items(spark: SparkSession, raw_dir: str, regions: list[str] |
             .select("region", "region_ord", "pos",
                     F.col("item.id").try_cast("int").alias("category_id"),
                     F.col("item.snippet.title").alias("category_title"))
-            .where(F.col("category_id").isNotNull()))
+            .where(F.col("category_id").isNotNull() & F.col("category_title").isNotNull()))

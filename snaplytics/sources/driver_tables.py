@@ -25,7 +25,6 @@ from snaplytics.schemas import FACT_COLUMNS
 # nation (25 rows) and region (5 rows) have a fixed size by the TPC-H definition,
 # so they are the only tables this module broadcasts explicitly; every other join
 # is left to Catalyst + AQE, which broadcast only behind their own size checks.
-FIXED_SIZE_TABLES = {"nation": 25, "region": 5}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -214,7 +213,23 @@ def raw_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 # per application and data folder into the shared checkpoint folder, laid out
 # like the clean fact (region partitions, date/category-sorted files), which
 # also cuts the lineage of the seven-table join.
-_MATERIALIZED: dict[tuple[str, str, str], str] = {}
+_MATERIALIZED: dict[tuple[str, str, str, str], str] = {}
+FACT_INPUTS = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events")
+
+
+def inputs_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when a file of the facts' input tables does (name, size or time): a fact
+    that was written from older files is not used again. File metadata only."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        out = []
+        for name in FACT_INPUTS:
+            path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+            for f in path.getFileSystem(conf).listStatus(path):
+                out.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        return str(hash(tuple(sorted(out))))
+    except Exception:  # noqa: BLE001 - no JVM at hand (Spark Connect), or a store without listing
+        return ""
 
 
 def materialized_fact(spark: SparkSession, sf_dir: str, which: str = "star") -> DataFrame:
@@ -222,7 +237,7 @@ def materialized_fact(spark: SparkSession, sf_dir: str, which: str = "star") ->
     from snaplytics.sinks import write_fact
     from snaplytics.sources.parquet import read_fact
 
-    key = (application_id(spark), sf_dir.rstrip("/"), which)
+    key = (application_id(spark), sf_dir.rstrip("/"), which, inputs_fingerprint(spark, sf_dir))
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_path(spark, f"fact-{which}")

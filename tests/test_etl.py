@@ -87,8 +87,8 @@ def test_report_invariants(spark):
 def test_catalog_view_with_comment(spark, tmp_path):
     from snaplytics.plans.views import DASHBOARD_COLUMNS, VIEW_COMMENT, create_dashboard_view
     loc = str(tmp_path / "tables")
-    K.save_table(fact_star(spark, SF_SMALL), "v_fact", f"{loc}/fact", ["region"])
-    K.save_table(category_dim(spark, SF_SMALL), "v_dim", f"{loc}/dim")
+    K.refresh_table(fact_star(spark, SF_SMALL), "v_fact", K.fact_ddl("v_fact", f"{loc}/fact"))
+    K.refresh_table(category_dim(spark, SF_SMALL), "v_dim", K.dim_ddl("v_dim", f"{loc}/dim"))
     view = create_dashboard_view(spark, "v_fact", "v_dim", "v_dashboard", temporary=False)
     assert view.columns == DASHBOARD_COLUMNS
     assert view.count() == fact_star(spark, SF_SMALL).count()

@@ -9,7 +9,8 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tools.check_oracle import TABLES, canon
 
-ORACLE = entry.oracle_sql()
+# the training-data queries have tests of their own (tests/llm)
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k not in entry.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(ORACLE)
+    assert set(entry.queries()) - set(entry.LLM_QUERIES) == set(ORACLE)
 
 
 SPARK_TO_DUCKDB = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",

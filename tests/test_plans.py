@@ -69,8 +69,26 @@ def test_keep_max_has_partial_aggregation(spark, written_fact):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_query_plans(spark, name):
-    if name in ("csv_roundtrip", "transform_job", "parquet_partition_roundtrip", "category_dim_build",
-                "table_roundtrip", "dashboard_view"):
-        pytest.skip("writes staging files first; covered by the oracle sweep")
     p = plan(QUERIES[name](spark, SF_SMALL), "simple")
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
+
+
+def test_clean_job_has_no_python_and_combines_before_the_shuffle(spark):
+    from snaplytics.plans.transform import clean_fact
+    from snaplytics.sources.driver_tables import raw_events
+    p = plan(clean_fact(raw_events(spark, SF_SMALL).drop("event_id")), "simple")
+    assert "Python" not in p and "InPandas" not in p and "InArrow" not in p
+    assert "partial_max" in p
+
+
+def test_files_follow_bytes_not_tasks_times_regions(spark, tmp_path):
+    """One region holds most rows; many tasks must not leave a file per task and region."""
+    import glob
+
+    from snaplytics.sinks import write_fact
+    from snaplytics.sources.driver_tables import fact_events
+    fact = fact_events(spark, SF_SMALL).withColumn("region", F.when(F.rand(1) < 0.9, "hot").otherwise(F.col("region"))).repartition(40)
+    write_fact(fact, str(tmp_path / "fact"))
+    files = glob.glob(f"{tmp_path}/fact/region=*/*.parquet")
+    regions = glob.glob(f"{tmp_path}/fact/region=*")
+    assert len(regions) > 3 and len(files) <= 2 * len(regions)
