@@ -98,9 +98,12 @@ def test_lm_is_a_distribution_and_learns(spark):
     assert scores[1][0] > scores[0][0] and scores[1][0] > scores[1][1] + 100
     model = lm.Model({"": 0}, np.ones(lm.BUCKETS), np.ones(lm.BUCKETS))
     model.weights += rng.normal(size=model.weights.shape).astype(np.float32)
-    rows_ = [rng.integers(lm.ROWS, size=9) for _ in range(lm.FEATURES)]
-    assert np.exp(model.layer(0, model.class_bias[:, None], rows_)).sum(axis=0) == pytest.approx(np.ones(9), abs=1e-4)
-    assert np.exp(model.layer(1, model.member_bias[:, rng.integers(lm.CLASSES, size=9)], rows_)).sum(axis=0) == pytest.approx(np.ones(9), abs=1e-4)
+    rows_, cls = [rng.integers(lm.ROWS, size=9) for _ in range(lm.FEATURES)], rng.integers(lm.CLASSES, size=9)
+    for layer in (0, 1):
+        e, sums = model.layer(layer, rows_, cls)
+        assert e.shape == (9, lm.MEMBERS) and (e / sums[:, None]).sum(axis=1) == pytest.approx(np.ones(9), abs=1e-4)
+        z = sum(model.weights[layer, k][rows_[k]] for k in range(lm.FEATURES)) + (model.member_bias[cls] if layer else model.class_bias)
+        assert e == pytest.approx(np.exp(z), rel=1e-3)
 
 
 def test_lm_buckets_agree_in_both_engines(spark):
