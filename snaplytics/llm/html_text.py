@@ -113,7 +113,7 @@ class Vectors:
         return out
 
     def path_rows(self, path) -> list[int]:
-        return [zlib.crc32(w.encode()) % PATH_ROWS for w in path]
+        return [zlib.crc32(w.encode()) % PATH_ROWS for w in ("^", *path)]  # the root: text may lie outside any element
 
     def of(self, block: Block) -> tuple[list[int], list[int], list[float]]:
         size = len(block.text)
