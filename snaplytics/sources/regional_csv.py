@@ -57,8 +57,9 @@ def scan_files(spark: SparkSession, pattern: str) -> list[tuple[str, str, bool,
         return []
     first_split = F.col("_metadata.file_block_start") == 0
     pos = F.monotonically_increasing_id()
-    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
-    per_file = (lines.select(F.col("value").cast("binary").alias("line"),
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
+    # only a file's first split carries its text into the aggregate; other rows are fixed-width
+    per_file = (lines.select(F.when(first_split, F.col("value").cast("binary")).alias("line"),
                              F.is_valid_utf8("value").alias("utf8"),
                              (quotes % 2 == 1).alias("odd"),
                              F.col("_metadata.file_path").alias("path"),
