@@ -228,4 +228,67 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(table(spark, sf_dir, "documents"))
+    return quality_report(table(spark, sf_dir, "documents")).drop("distance")
+
+
+def oracle_sql() -> str:
+    """The query in DuckDB SQL: windows are rows there, groups are named by one text, and each
+    step of the estimate is a pair of common table expressions."""
+    dims = range(DIM)
+    pairs = [(i, j) for i in dims for j in range(i + 1)]
+    factor = lambda cov: ", ".join(  # noqa: E731  later columns use earlier ones of the same select
+        (f"sqrt(greatest({cov(i, j)} + {FLOORS[i] ** 2}" if i == j else f"({cov(i, j)}")
+        + "".join(f" - l{i}{k} * l{j}{k}" for k in range(j)) + (", 1e-6))" if i == j else f") / l{j}{j}") + f" AS l{i}{j}" for i, j in pairs)
+    z = ", ".join(f"(v{i} - m{i}" + "".join(f" - l{i}{j} * z{j}" for j in range(i)) + f") / l{i}{i} AS z{i}" for i in dims)
+    d2 = "(" + " + ".join(f"z{i} * z{i}" for i in dims) + ")"
+    m, v = ", ".join(f"m{i}" for i in dims), ", ".join(f"v{i}" for i in dims)
+    chars = "\\x20\\x09-\\x0D"
+    steps = [f"""
+e0 AS (SELECT g, n, {m}, {factor(lambda i, j: f"s{i} * s{i}" if i == j else "0.0::DOUBLE")} FROM (
+  SELECT g, count(*) AS n, {", ".join(f"quantile_cont(v{i}, 0.5)::DOUBLE AS m{i}, ((quantile_cont(v{i}, 0.75) - quantile_cont(v{i}, 0.25)) / 1.349)::DOUBLE AS s{i}" for i in dims)}
+  FROM r GROUP BY g))"""]
+
+    def placed(k: int, share: float) -> str:
+        return f"""
+p{k} AS (SELECT g, {v}, {z}, floor(ln(1 + {d2}) * {BINS}) AS bin FROM r JOIN e{k} USING (g)),
+c{k} AS (SELECT g, min(bin) AS cut FROM (
+  SELECT g, bin, sum(count(*)) OVER (PARTITION BY g ORDER BY bin) AS cum, sum(count(*)) OVER (PARTITION BY g) AS whole FROM p{k} GROUP BY g, bin)
+  WHERE cum >= whole * {share}::DOUBLE GROUP BY g)"""
+
+    for k in range(STEPS):
+        steps += [placed(k, CORE_SHARE), f"""
+e{k + 1} AS (SELECT g, n, {m}, {factor(lambda i, j: f"q{i}{j} - m{i} * m{j}")} FROM (
+  SELECT g, count(*) AS n, {", ".join(f"avg(v{i}::DOUBLE) AS m{i}" for i in dims)}, {", ".join(f"avg(v{i}::DOUBLE * v{j}) AS q{i}{j}" for i, j in pairs)}
+  FROM p{k} JOIN c{k} USING (g) WHERE bin <= cut GROUP BY g))"""]
+    steps.append(placed(STEPS, 0.5))
+    return f"""
+WITH t AS (
+  SELECT row_number() OVER () AS i, doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^{chars}]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^{chars}]')) AS lines
+  FROM documents),
+tri AS (SELECT i, pos, count(*) OVER (PARTITION BY i, ws[pos], ws[pos + 1], ws[pos + 2]) AS found
+        FROM (SELECT i, ws, unnest(range(1, len(ws) - 1)) AS pos FROM t)),
+rep AS (SELECT i, sum(span)::BIGINT AS n FROM (
+  SELECT i, least(3, coalesce(lead(pos) OVER (PARTITION BY i ORDER BY pos) - pos, 3)) AS span FROM tri WHERE found > 1) GROUP BY i),
+s AS (
+  SELECT i, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '{SYMBOLS}', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+         len(ws) < {MIN_WORDS} OR 100 * coalesce(n, 0) > {MAX_REPEAT_PERCENT} * len(ws) AS base_failed
+  FROM t LEFT JOIN rep USING (i)),
+f AS (
+  SELECT i, coalesce('=' || lang, '-') AS a, coalesce('=' || source, '-') AS b, round(ln(word_chars / n_words::DOUBLE) * {UNIT})::BIGINT AS v0,
+         round(sqrt(n_symbols / n_words::DOUBLE) * {UNIT})::BIGINT AS v1, round(n_dup_lines / n_lines::DOUBLE * {UNIT})::BIGINT AS v2,
+         round(n_repeat_words / n_words::DOUBLE * {UNIT})::BIGINT AS v3
+  FROM s WHERE NOT base_failed),
+k AS (SELECT a, b, n, sum(n) FILTER (WHERE n < {MIN_GROUP}) OVER (PARTITION BY a) AS pool FROM (SELECT a, b, count(*) AS n FROM f GROUP BY a, b)),
+r AS (SELECT i, {v}, CASE WHEN n >= {MIN_GROUP} THEN 'own' || a || ' ' || b WHEN pool >= {MIN_GROUP} THEN 'pool' || a ELSE 'all' END AS g FROM f JOIN k USING (a, b)),
+{",".join(steps)},
+o AS (SELECT i, n >= {MIN_FIT} AND {d2} / greatest((exp((cut + 1) / {BINS}.0::DOUBLE) - 1) / {MEDIAN_CHI2}, 1.0) > {CUTOFF} AS far
+      FROM (SELECT i, n, cut, {z} FROM r JOIN e{STEPS} USING (g) JOIN c{STEPS} USING (g)))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(far, false) AS kept
+FROM s LEFT JOIN o USING (i)
+"""
+
+
+ORACLE = oracle_sql()

@@ -21,5 +21,6 @@ ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
     "op3_url_filter": url_filter.ORACLE,
     "op8_warc_revisit": warc.ORACLE,
+    "op9_quality_outliers": quality.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
