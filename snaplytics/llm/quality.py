@@ -266,8 +266,9 @@ WITH t AS (
   SELECT row_number() OVER () AS i, doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^{chars}]+') AS ws,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^{chars}]')) AS lines
   FROM documents),
-tri AS (SELECT i, pos, count(*) OVER (PARTITION BY i, ws[pos], ws[pos + 1], ws[pos + 2]) AS found
-        FROM (SELECT i, ws, unnest(range(1, len(ws) - 1)) AS pos FROM t)),
+w AS (SELECT i, pos, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c
+      FROM (SELECT i, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM t) WINDOW o AS (PARTITION BY i ORDER BY pos)),
+tri AS (SELECT i, pos, count(*) OVER (PARTITION BY i, a, b, c) AS found FROM w WHERE c IS NOT NULL),
 rep AS (SELECT i, sum(span)::BIGINT AS n FROM (
   SELECT i, least(3, coalesce(lead(pos) OVER (PARTITION BY i ORDER BY pos) - pos, 3)) AS span FROM tri WHERE found > 1) GROUP BY i),
 s AS (
