@@ -113,6 +113,18 @@ def test_lm_buckets_agree_in_both_engines(spark):
     assert got == [lm.shared_bucket(w) for w in some]
 
 
+def test_lm_histories_have_4096_rows_of_each_feature(spark):
+    """Of 30,000 different histories, nearly every one of 4,096 rows is met, and the observed counts are whole."""
+    rows = [(i, " ".join(f"w{i * 1000 + j}" for j in range(1000)), "en", "s") for i in range(30)]
+    docs = spark.createDataFrame(rows, DOCS)
+    chunks = lm.chunked(docs.select("doc_id", "text", F.lit(False).alias("held_out")))
+    model = lm.Model({"": 0}, np.ones(lm.BUCKETS), np.ones(lm.BUCKETS))
+    sums = lm.gradient_sums(chunks, spark.sparkContext.broadcast(model), True).toArrow()
+    found = Counter((sums.column("model_row").to_numpy() // lm.ROWS).tolist())
+    assert set(found) == set(range(2 * lm.FEATURES)) and min(found.values()) > 4000
+    assert sum(sums.column(c).to_numpy().sum() for c in lm.OBSERVED) == 2 * lm.FEATURES * 30 * 1001
+
+
 # ---- SimHash
 
 
