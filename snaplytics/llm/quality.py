@@ -9,7 +9,8 @@ text of n words costs n log n and no row leaves its task.
 The method: every document becomes a vector of four transformed statistics (log mean
 word length, root of symbols per word, shares of repeated lines and of repeated words),
 rounded to integers so that sums do not depend on their order. For each language and
-source a minimum-covariance-determinant estimate is fitted to the documents that pass
+source an estimate in the manner of the minimum covariance determinant (one start, fixed
+steps, determinants not compared) is fitted to the documents that pass
 the base rules: start from medians and quartile ranges, then repeat concentration steps
 (Mahalanobis distances of all rows, keep the nearest share, take their mean and
 covariance). The share's cut is found on a histogram of log distances, so a group of any
@@ -37,7 +38,7 @@ from .common import broadcast_if_small, staged, table, unclash, word_array
 MIN_WORDS = 50          # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50  # base rule: a larger share of repeated words fails
 SYMBOLS = r"[^#*$%&|<>]+"
-CORE_SHARE = 0.75       # of a group's rows, those nearest to its centre carry the estimate
+CORE_SHARE = 0.55       # of a group's rows, those nearest to its centre carry the estimate
 STEPS = 3               # concentration steps
 MIN_GROUP = 100
 MIN_FIT = 20

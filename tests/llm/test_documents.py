@@ -335,6 +335,20 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert kept == {i for i in range(400) if i % 10}
 
 
+@pytest.mark.parametrize("share", [30, 40])
+def test_outliers_go_when_they_are_a_large_share_of_a_source(spark, share):
+    rng = np.random.default_rng(6)
+    rows, junk = [], set()
+    for i in range(400):
+        ws = ["".join(rng.choice(list("abcdefgh"), size=int(rng.integers(2, 9)))) for _ in range(int(rng.integers(60, 200)))]
+        if i % 100 < share:
+            junk.add(i)
+            ws = [w + "###" for w in ws]
+        rows.append((i, " ".join(ws), "en", "hot"))
+    report = quality.quality_report(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id for r in report if not r.kept} == junk
+
+
 # ---- exact dedup
 
 
