@@ -1,7 +1,8 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-Lines of at least ``MIN_CHARS`` code points (trimmed) take part. Lines with equal text are
-one class. Two classes are linked when their texts are within ``MAX_EDITS`` edits. A line
+All lines that are not blank take part. Lines with equal text are one class. Two classes of
+at least ``MIN_CHARS`` code points (trimmed) are linked when their texts are within
+``MAX_EDITS`` edits; shorter lines are compared for equality only. A line
 stays when it is the first occurrence of its text (by document, then line number) and no
 linked text occurs earlier.
 
@@ -14,7 +15,7 @@ the shuffle; only lines that share a key carry their text into the join, where t
 edit distance (banded, cut off at the threshold) is the join condition, so unverified pairs
 are never output. A key that many texts share is split by the skew handling of the join.
 
-Cases: a null or empty text has no lines and stays as it is; shorter and blank lines always
+Cases: a null or empty text has no lines and stays as it is; blank lines always
 stay; equal lines inside one document count like any other repeat; rows that repeat both
 ``doc_id`` and text are one document and share the verdicts; a null ``doc_id`` sorts last;
 an empty table gives an empty result; extra columns are kept by ``dedup_lines``.
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from .common import GAP_CHARS, broadcast_if_small, staged, table, unclash
 
 MAX_EDITS = 2
-MIN_CHARS = 20
+MIN_CHARS = 20          # shorter lines have no edit links
+NOT_BLANK = 1           # code points of the shortest line that is deduplicated and reported
 LETTERS = "etaonisr"    # letters counted to tell pairs apart before their distance is measured
 
 
@@ -95,11 +97,11 @@ def digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def line_report(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Every eligible line: doc_id, text_hash, line_no, first (place of the first occurrence of
+def line_report(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, shortest: int = MIN_CHARS) -> DataFrame:
+    """Every line of at least ``shortest`` code points (links need ``min_chars``): doc_id, text_hash, line_no, first (place of the first occurrence of
     its text), n_links (different texts within the threshold), kept."""
     found = line_links(docs, edits, min_chars)
-    lines = eligible_lines(docs, min_chars).select("doc_id", "text_hash", "line_no", digest(F.col("line")).alias("text_id"))
+    lines = eligible_lines(docs, shortest).select("doc_id", "text_hash", "line_no", digest(F.col("line")).alias("text_id"))
     lines = staged(lines, "line-rows")
     place = order_of(F.col("doc_id"), F.col("text_hash"), F.col("line_no"))
     # staged, so that the join below reads both sides through a shuffle and can split a hot line
@@ -118,9 +120,9 @@ def line_report(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
 
 
 def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The documents without the lines that ``line_report`` does not keep. All rows and columns stay."""
+    """The documents without the non-blank lines that ``line_report`` does not keep. All rows and columns stay."""
     n = unclash(docs, "gone_id", "gone_hash", "gone")
-    gone = line_report(docs, edits, min_chars).filter(~F.col("kept")).groupBy("doc_id", "text_hash").agg(
+    gone = line_report(docs, edits, min_chars, NOT_BLANK).filter(~F.col("kept")).groupBy("doc_id", "text_hash").agg(
         F.collect_set("line_no").alias("gone"))
     gone = broadcast_if_small(staged(gone.toDF(n["gone_id"], n["gone_hash"], n["gone"]), "line-gone"))
     same = F.col("doc_id").eqNullSafe(F.col(n["gone_id"])) & (F.xxhash64("text") == F.col(n["gone_hash"]))
@@ -130,6 +132,6 @@ def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = line_report(table(spark, sf_dir, "documents"))
+    rows = line_report(table(spark, sf_dir, "documents"), shortest=NOT_BLANK)
     return rows.select("doc_id", "line_no", F.col("first.doc_id").alias("class_doc_id"), F.col("first.line_no").alias("class_line_no"),
                        "n_links", "kept")

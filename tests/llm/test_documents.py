@@ -280,6 +280,18 @@ def test_dedup_lines_keeps_rows_and_columns(spark):
     assert out[84, "s3"] == TEXT[84].split("\n")[0] + "\n"
 
 
+def test_short_lines_are_deduplicated_when_equal(spark, tmp_path):
+    rows = [(1, "Of.\n漢字漢字\n \nOf.", "en", "s"), (2, "Of.\nOf,\n漢字漢字", "en", "s"), (3, "\n \n", "en", "s")]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    report = line_dedup.op7_line_dedup(spark, str(tmp_path))
+    assert rows_of(report, "doc_id", "line_no", "class_doc_id", "class_line_no", "n_links", "kept") == [
+        (1, 0, 1, 0, 0, True), (1, 1, 1, 1, 0, True), (1, 3, 1, 0, 0, False),
+        (2, 0, 1, 0, 0, False), (2, 1, 2, 1, 0, True), (2, 2, 1, 1, 0, False)]
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert out == {1: "Of.\n漢字漢字\n ", 2: "Of,", 3: "\n \n"}
+
+
 def test_keys_meet_for_every_pair_within_the_threshold(spark):
     rng = np.random.default_rng(2)
     pairs = []
