@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_text, line_dedup, lm, mixing, quality, simhash, url_filter, warc
+from . import bpe, exact_dedup, html_text, line_dedup, lm, mixing, quality, simhash, url_filter, warc, whitening
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc_revisit": warc.op8_warc_revisit,
     "op9_quality_outliers": quality.op9_quality_outliers,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
 ORACLE = {
