@@ -22,11 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts the lineage at
-    storage every executor reaches, so a lost executor costs no earlier work."""
+    storage every executor reaches, so a lost executor costs no earlier work. With ``by``,
+    one folder per value of that (last) column, in files that follow the data."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", compression).parquet(path)
+    if by:
+        df.hint("rebalance", by).write.option("compression", compression).partitionBy(by).parquet(path)
+    else:
+        df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

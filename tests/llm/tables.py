@@ -61,5 +61,32 @@ def pages(spark, rows=None):
     return spark.createDataFrame(page_rows() if rows is None else rows, PAGES)
 
 
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def turn_rows():
+    rng = random.Random(9)
+    long = [("user" if k % 2 else "assistant", prose(rng, 6)) for k in range(70)]
+    rows = []
+    for c in range(-12, 80):
+        if c in (10, 15, 25):  # a base that is absent
+            continue
+        shared = rng.choice([0, 1, 2, 5, 40, 70]) if c % 7 == 0 else rng.choice([0, 1, 2])
+        own = rng.choice([1, 2, 9, 20]) if c % 9 == 0 else rng.randint(1, 4)
+        turns = long[:shared] + [("user", rng.choice(["yes", "no", "", "ünï 漢字 😀"])) for _ in range(own)]
+        rows += [(c, k, r, t) for k, (r, t) in enumerate(turns)]
+    rows += [(1000 + k, 0, "system", "the same first turn") for k in range(150)]  # one path holds most conversations
+    rows += [(2000, None, None, None), (2000, 0, "user", ""), (2000, 0, "user", ""), (2000, 0, "", "user"), (2000, 3, "a", "b" * 50_000)]
+    rows += [(None, 0, "user", "of no conversation"), (3001, 0, "us", "er"), (3002, 0, "user", ""), (3003, 0, "", "user")]
+    rng.shuffle(rows)
+    return rows
+
+
+def conversations(spark, extra=False, rows=None):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(turn_rows() if rows is None else rows, TURNS)
+    return df.withColumns({c: F.lit(7) for c in ["key", "t1", "pos", "level", "node", "depth", "place", "block"]}) if extra else df
+
+
 def rows_of(df, *cols):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)

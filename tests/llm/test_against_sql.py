@@ -6,7 +6,7 @@ import pytest
 from snaplytics.llm.queries import ORACLE, QUERIES
 from tools.check_oracle import canon
 
-from .tables import documents, pages
+from .tables import conversations, documents, pages
 
 
 @pytest.fixture(scope="module", params=["rows", "empty"])
@@ -15,13 +15,14 @@ def sf_dir(request, spark, tmp_path_factory):
     none = [] if request.param == "empty" else None
     documents(spark, extra=True, rows=none).coalesce(1).write.parquet(f"{path}/documents.parquet")
     pages(spark, rows=none).coalesce(1).write.parquet(f"{path}/pages.parquet")
+    conversations(spark, extra=True, rows=none).coalesce(1).write.parquet(f"{path}/conversations.parquet")
     return path
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS FROM '{sf_dir}/{t}.parquet/*.parquet'")
     want = con.execute(ORACLE[name])
     names = [c[0] for c in want.description]
