@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_text, line_dedup, lm, mixing, prefix_trie, quality, simhash, url_filter, warc, whitening
+from . import bpe, exact_dedup, html_text, line_dedup, lm, mixing, prefix_trie, quality, simhash, toxicity, url_filter, warc, whitening
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality_outliers": quality.op9_quality_outliers,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_toxicity": toxicity.op12_toxicity,
     "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
