@@ -20,12 +20,13 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 
 def keep_max_per_key(df: DataFrame, keys: list[str], by: str = "views",
-                     tiebreak: list[str] | None = None) -> DataFrame:
+                     tiebreak: list[str] | None = None, merged: str | None = None) -> DataFrame:
     """One row per ``keys`` with the largest ``by`` (NULL ``by`` last).
 
     Remaining ties are broken by ``tiebreak`` (default: all other columns, in
     frame order, larger first) - identical rows are interchangeable, so the
-    result is a function of the input multiset.
+    result is a function of the input multiset. ``merged`` names an added column with the
+    number of rows that each result row stands for.
     """
     rest = [c for c in df.columns if c not in keys and c != by]
     order = tiebreak if tiebreak is not None else rest
@@ -33,12 +34,13 @@ def keep_max_per_key(df: DataFrame, keys: list[str], by: str = "views",
     fields: list[Column] = [F.col(by).isNotNull().alias("__has"), F.col(by).alias("__by")]
     fields += [F.col(c).alias(f"__t{i}") for i, c in enumerate(order)]
     fields += [F.col(c).alias(f"__p{i}") for i, c in enumerate(payload)]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("__best"))
+    counted = [F.count(F.lit(1)).alias(merged)] if merged else []
+    best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("__best"), *counted)
     names = {by: "__by"}
     names.update({c: f"__t{i}" for i, c in enumerate(order)})
     names.update({c: f"__p{i}" for i, c in enumerate(payload)})
     return best.select(*[F.col(c) if c in keys else F.col(f"__best.{names[c]}").alias(c)
-                         for c in df.columns])
+                         for c in df.columns], *([merged] if merged else []))
 
 
 def last_wins(df: DataFrame, key: str, value: str, precedence: list[str]) -> DataFrame:

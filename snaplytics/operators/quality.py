@@ -7,7 +7,7 @@ constraint failure aborts it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplytics.functions import expressions as X
@@ -72,11 +72,11 @@ def assert_loadable(summary: dict[str, int]) -> None:
         raise ConstraintViolation(f"constraint violations: {bad}")
 
 
-def observe_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """V2 / V9: attach a row counter that is filled by the next action on the frame
-    (no extra pass over the data)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+def committed_rows(spark: SparkSession, path: str) -> dict[str, int]:
+    """V2: rows per region of a written fact. No column is read: Parquet footers have the
+    numbers of rows and the folders the regions, and retried tasks leave no trace in either."""
+    rows = spark.read.option("basePath", path).parquet(path).groupBy("region").count().collect()  # one row a region
+    return {r["region"]: r["count"] for r in rows}
 
 
 def quality_rate(clean_rows: int, raw_rows: int) -> float:

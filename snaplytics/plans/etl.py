@@ -10,10 +10,11 @@ from snaplytics import sinks as K
 from snaplytics.functions import expressions as X
 from snaplytics.operators import quality as Q
 from snaplytics.plans.reports import REPORT_FILES, all_reports
-from snaplytics.plans.transform import StageMetrics, clean_fact, load_inputs
-from snaplytics.schemas import (DIM_MAX_LENGTHS, FACT_KEY, MAX_LENGTHS, NOT_NULL_DIM,
+from snaplytics.plans.transform import StageMetrics, counted_fact, load_inputs
+from snaplytics.schemas import (DIM_MAX_LENGTHS, FACT_COLUMNS, FACT_KEY, MAX_LENGTHS, NOT_NULL_DIM,
                                 NOT_NULL_FACT)
 from snaplytics.sources.parquet import read_dimension, read_fact
+from snaplytics.sources.regional_csv import MISSING_TEXTS
 
 
 @dataclass
@@ -31,24 +32,25 @@ class Paths:
 
 def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions: list[str] | None = None,
                   csv_template: str = X.CSV_NAME_TEMPLATE, json_template: str = X.JSON_NAME_TEMPLATE,
-                  multiline="auto", category_regions: list[str] | None = None) -> dict:
+                  multiline="auto", category_regions: list[str] | None = None, surplus: str = "raise",
+                  missing_texts: tuple[str, ...] = MISSING_TEXTS) -> dict:
     """T1 + T2: build and write the dimension, then clean and write the fact.
 
-    Returns stage metrics (V2, V3, V9) gathered by observers during the writes, plus
-    the number of input files and the configured regions that had none (S8).
+    Returns stage metrics (V2, V3, V9), in all and by region: raw, complete and negative rows are
+    observed in the writing stage, clean and dimension rows are counted in the written files'
+    footers. Also the number of input files and the configured regions that had none (S8).
     """
+    regions = regions or X.DEFAULT_REGIONS
     paths = Paths(processed_dir)
     inputs: dict = {}
     raw, dim = load_inputs(spark, raw_dir, regions, csv_template, json_template, multiline,
-                           category_regions, inputs)
-    dim, dim_obs = Q.observe_count(dim, "dim_rows")
+                           category_regions, inputs, surplus, missing_texts)
     K.write_dimension(dim, paths.dim)
-    metrics = StageMetrics()
-    K.write_fact(clean_fact(raw, metrics), paths.fact)
-    out = metrics.get()
-    out["dim_rows"] = dim_obs.get.get("rows")
-    out.update(inputs)                      # files read, configured regions without input (S8)
-    return out
+    metrics = StageMetrics(regions)
+    laid_out = metrics.observe(K.layout_fact(counted_fact(raw)))
+    K.write_laid_out(laid_out.where("__real").select(*FACT_COLUMNS), paths.fact)
+    clean = Q.committed_rows(spark, paths.fact)
+    return {**metrics.get(clean), "dim_rows": read_dimension(spark, paths.dim).count(), **inputs}
 
 
 def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trending_statistics",
@@ -56,10 +58,10 @@ def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trendin
     """Read both Parquet sets, check constraints (V4-V8), then refresh the
     dimension table before the fact table (K3, K4, K6).
 
-    By default the checked Parquet folders become the tables (external tables,
-    metadata only: no second copy of the fact). ``copy=True`` copies the rows into
-    tables declared by DDL instead, under ``location`` when given. Both are idempotent full
-    refreshes, so re-running after a failure is safe.
+    By default the checked Parquet folders become the tables (external tables declared by
+    the DDL, metadata only: no second copy of the fact). ``copy=True`` copies the rows into
+    new versions of both tables, under ``location`` when given, and publishes the pair
+    at once. Both are idempotent full refreshes, so re-running after a failure is safe.
     """
     paths = Paths(processed_dir)
     fact, dim = read_fact(spark, paths.fact), read_dimension(spark, paths.dim)
@@ -67,17 +69,15 @@ def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trendin
                                   MAX_LENGTHS, DIM_MAX_LENGTHS)
     Q.assert_loadable(summary)
     if copy:
-        loc = location.rstrip("/") if location else None
-        K.refresh_table(dim, dim_table, K.dim_ddl(dim_table, f"{loc}/{dim_table}" if loc else None))
-        K.refresh_table(K.layout_fact(fact), fact_table, K.fact_ddl(fact_table, f"{loc}/{fact_table}" if loc else None))
+        K.refresh_pair(fact, dim, fact_table, dim_table, location or f"{processed_dir.rstrip('/')}/tables")
     else:
-        K.register_table(spark, dim_table, paths.dim)
-        K.register_table(spark, fact_table, paths.fact, partitioned=True)
+        K.register_table(spark, dim_table, K.dim_ddl(dim_table, paths.dim))
+        K.register_table(spark, fact_table, K.fact_ddl(fact_table, paths.fact))
     return summary
 
 
 def run_export(spark: SparkSession, processed_dir: str, out_dir: str) -> dict[str, str]:
-    """The seven reports as CSV (K5): a folder with one part file for each."""
+    """The seven reports as CSV files (K5)."""
     paths = Paths(processed_dir)
     fact, dim = read_fact(spark, paths.fact), read_dimension(spark, paths.dim)
     written = {}
@@ -90,11 +90,12 @@ def run_export(spark: SparkSession, processed_dir: str, out_dir: str) -> dict[st
 
 def run_pipeline(spark: SparkSession, raw_dir: str, processed_dir: str, skip_load: bool = False,
                  regions: list[str] | None = None, table_location: str | None = None,
-                 copy_tables: bool = False, **kw) -> dict:
+                 copy_tables: bool = False, fact_table: str = "trending_statistics",
+                 dim_table: str = "categories", **kw) -> dict:
     """T4: transform, then (unless skipped) load; the first failure raises."""
     status = {"transform": run_transform(spark, raw_dir, processed_dir, regions, **kw)}
     if not skip_load:
-        status["load"] = run_load(spark, processed_dir, location=table_location, copy=copy_tables)
+        status["load"] = run_load(spark, processed_dir, fact_table, dim_table, table_location, copy_tables)
     return status
 
 

@@ -25,14 +25,15 @@ from snaplytics.plans import views as V
 from snaplytics.plans.transform import build_category_dim
 from snaplytics.schemas import DIM_MAX_LENGTHS, FACT_COLUMNS, FACT_KEY, MAX_LENGTHS, NOT_NULL_DIM, NOT_NULL_FACT
 from snaplytics.session import apply_defaults, scratch_path
-from snaplytics.sinks.raw_inputs import write_category_json, write_regional_csv
+from snaplytics.sinks.raw_inputs import write_category_json, write_regional_csv, write_regional_lines
 from snaplytics.sources.category_json import read_category_items
 from snaplytics.sources.driver_tables import (category_dim, category_items, category_items_coded, raw_events, raw_star,
                                               region_code, region_order, table)
 from snaplytics.sources.driver_tables import events_fact as fact_events
 from snaplytics.sources.driver_tables import star as fact_star
+from snaplytics.sources.manifest import input_manifest
 from snaplytics.sources.parquet import read_dimension, read_fact
-from snaplytics.sources.regional_csv import read_regional_csv
+from snaplytics.sources.regional_csv import csv_rejects, read_regional_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -389,6 +390,113 @@ def _s9(spark, d):
     return build_category_dim(read_category_items(spark, out, regions, template))
 
 
+@query("load_refresh_twice")
+def _k4(spark, d):
+    """Both tables loaded three times as a pair, with dynamic partition overwrite set:
+    all regions; a load that fails between the tables; all regions but one. Rows per region
+    and dimension rows after each."""
+    fact_table, dim_table = fresh_name("refresh_fact"), fresh_name("refresh_dim")
+    root = scratch_path(spark, "refresh")
+    fact = keep_max_per_key(fact_star(spark, d).withColumn("region", region_code(F.col("region"))), FACT_KEY, by="views")
+    dim = category_dim(spark, d)
+    fewer = fact.where("region <> 'AS'"), dim.where("category_id <> 0")
+    broken = fewer[0].withColumn("title", F.raise_error(F.lit("fails between the tables")).cast("string"))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    seen = []
+    try:
+        for step, pair in (("first", (fact, dim)), ("failed", (broken, fewer[1])), ("second", fewer)):
+            try:
+                K.refresh_pair(*pair, fact_table, dim_table, root)
+            except Exception as ex:
+                if step != "failed" or "fails between the tables" not in str(ex):
+                    raise
+            counts = spark.table(fact_table).groupBy("region").agg(F.count(F.lit(1)).alias("fact_rows"))
+            dims = spark.table(dim_table).count()
+            seen += [(step, r["region"], r["fact_rows"], dims) for r in counts.collect()]  # one row a region
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        for name in (fact_table, dim_table):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(seen, "step string, region string, fact_rows bigint, dim_rows bigint")
+
+
+@query("csv_rejects")
+def _s1r(spark, d):
+    """Events as regional CSV lines; every 97th record has surplus fields, every 89th one too few."""
+    ev = table(spark, d, "events")
+    text = F.concat_ws(",", "event_id", "user_id", F.concat(F.lit('"'), F.col("event_type"), F.lit(', x"')))
+    line = F.when(F.col("event_id") % 97 == 0, F.concat(text, F.lit(",9,EXTRA"))) \
+        .when(F.col("event_id") % 89 == 0, F.concat_ws(",", "event_id", "user_id")).otherwise(text)
+    out = scratch_path(spark, "raw-lines")
+    template = write_regional_lines(ev.select(line.alias("line"), F.col("event_type").alias("region")), out, "event_id,user_id,note")
+    back = csv_rejects(spark, out, event_regions(spark, d), template)
+    return back.select("region", F.col("_record").alias("record"))
+
+
+@query("input_manifest")
+def _s8(spark, d):
+    """Configured regions against staged inputs; one region has no CSV, another no JSON."""
+    raw_dir = scratch_path(spark, "manifest-raw")
+    star = raw_star(spark, d)
+    csv_t = write_regional_csv(star.where("region <> 'AF'"), f"{raw_dir}/csv")
+    json_t = write_category_json(category_items_coded(spark, d).where("region <> 'EU'"), f"{raw_dir}/json")
+    regions = [r[0] for r in region_order(spark, d).orderBy("r_regionkey").select(region_code("r_name")).collect()]
+    manifest = input_manifest(spark, raw_dir, [*regions, "ZZ"], f"csv/{csv_t}", f"json/{json_t}")
+    return manifest.select("region", "kind", "ord", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query("stage_counts_by_region")
+def _v2r(spark, d):
+    """The transform job over raw events; its row counts per region."""
+    raw_dir, processed = scratch_path(spark, "counts-raw"), scratch_path(spark, "counts-out")
+    csv_t = write_regional_csv(raw_events(spark, d).drop("event_id"), f"{raw_dir}/csv")
+    json_t = write_category_json(category_items(spark, d), f"{raw_dir}/json")
+    category_regions = [r["r_name"] for r in region_order(spark, d).orderBy("r_regionkey").collect()]
+    metrics = P.run_transform(spark, raw_dir, processed, event_regions(spark, d), csv_template=f"csv/{csv_t}",
+                              json_template=f"json/{json_t}", category_regions=category_regions)
+    rows = [(r, *(c[k] for k in ("raw_rows", "complete_rows", "clean_rows", "negative_rows"))) for r, c in metrics["by_region"].items()]
+    return spark.createDataFrame(rows, "region string, raw_rows bigint, complete_rows bigint, clean_rows bigint, negative_rows bigint")
+
+
+@query("pipeline_job")
+def _t4(spark, d):
+    """The batch pipeline over the lineitem star, first without the load, then with it:
+    its row counts and the rows of both tables (NULL where the load was skipped)."""
+    raw_dir = scratch_path(spark, "batch-raw")
+    csv_t = write_regional_csv(raw_star(spark, d), f"{raw_dir}/csv")
+    json_t = write_category_json(category_items_coded(spark, d), f"{raw_dir}/json")
+    regions = [r[0] for r in region_order(spark, d).orderBy("r_regionkey").select(region_code("r_name")).collect()]
+    seen = []
+    for skip in (True, False):
+        names = {"fact_table": fresh_name("batch_fact"), "dim_table": fresh_name("batch_dim")}
+        status = P.run_pipeline(spark, raw_dir, scratch_path(spark, "batch-out"), skip, regions, csv_template=f"csv/{csv_t}",
+                                json_template=f"json/{json_t}", **names)
+        t = status["transform"]
+        loaded = [spark.table(n).count() if spark.catalog.tableExists(n) else None for n in names.values()]
+        seen.append((skip, t["raw_rows"], t["clean_rows"], t["dim_rows"], *loaded, sum(status.get("load", {}).values())))
+        for n in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+    return spark.createDataFrame(seen, "skip_load boolean, raw_rows bigint, clean_rows bigint, dim_rows bigint, "
+                                       "fact_table_rows bigint, dim_table_rows bigint, violations bigint")
+
+
+@query("report_export_roundtrip")
+def _k5(spark, d):
+    """K5: the seven reports exported as CSV files and read back: name, rows, and the sum of one measure."""
+    base, out = scratch_path(spark, "export-in"), scratch_path(spark, "export-out")
+    K.write_fact(fact_events(spark, d), P.Paths(base).fact)
+    K.write_dimension(category_dim(spark, d), P.Paths(base).dim)
+    measures = {"top_viewed": "views", "category": "total_views", "region": "total_views", "weekday": "trending_count",
+                "publish_hour": "video_count", "top_channels": "total_views", "region_sample": "views"}
+    parts = []
+    for name, path in P.run_export(spark, base, out).items():
+        back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        parts.append(back.agg(F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.count(F.lit(1)).alias("report_rows"),
+                              F.sum(F.col(measures[name]).cast("bigint")).alias("measure")))
+    return C.union_by_name(parts)
+
+
 # -- the same analytics over the events fact: NULL likes, negative comments,
 #    categories without a dimension row, 24 publish hours, 30 trending days -----
 

@@ -12,7 +12,8 @@ from snaplytics.operators import clean as C
 from snaplytics.operators.dedup import keep_max_per_key, last_wins
 from snaplytics.schemas import FACT_COLUMNS, FACT_KEY
 from snaplytics.sources.category_json import read_category_items
-from snaplytics.sources.regional_csv import read_regional_csv
+from snaplytics.sources.manifest import input_manifest, missing
+from snaplytics.sources.regional_csv import MISSING_TEXTS, read_regional_csv
 
 
 class TransformAborted(RuntimeError):
@@ -21,15 +22,37 @@ class TransformAborted(RuntimeError):
 
 @dataclass
 class StageMetrics:
-    """V2 / V3 / V9: row counts gathered by observers during the write (no extra pass)."""
-    observations: dict = field(default_factory=dict)
-
-    def get(self) -> dict:
-        out = {k: (o.get.get("rows") if isinstance(o, Observation) else o)
-               for k, o in self.observations.items()}
-        raw, clean = out.get("raw_rows"), out.get("clean_rows")
-        if raw and clean is not None:
-            out["quality_rate"] = clean / raw
+    """V2 / V3: row counts per region that survive retries.
+
+    The rows dropped as incomplete stay in the job as one row per region, and every row that
+    comes out of dedup carries the number of rows it stands for. So all counts can be
+    observed in the stage that writes, whose tasks count once each however often they or the
+    stages before them run again; and there is no extra pass over the input.
+    """
+    regions: list[str]
+    observation: Observation = field(default_factory=lambda: Observation("stage_counts"))
+
+    def observe(self, counted: DataFrame) -> DataFrame:
+        """Attach the counters to rows of ``counted_fact``; call it above the last shuffle."""
+        aggs = []
+        for i, r in enumerate(self.regions):
+            here = F.col("region") == r
+            real = here & F.col("__real")
+            aggs += [F.coalesce(F.sum(F.when(here, F.col("__merged"))), F.lit(0)).alias(f"raw_rows_{i}"),
+                     F.coalesce(F.sum(F.when(real, F.col("__merged"))), F.lit(0)).alias(f"complete_rows_{i}"),
+                     F.count_if(real & F.col("__negative")).alias(f"negative_rows_{i}")]
+        return counted.observe(self.observation, *aggs)
+
+    def get(self, clean_rows: dict[str, int]) -> dict:
+        """Counts in all and by region, once the write is over; ``clean_rows`` come from its output."""
+        seen = self.observation.get
+        by_region = {r: {k: seen.get(f"{k}_{i}", 0) for k in ("raw_rows", "complete_rows", "negative_rows")}
+                     | {"clean_rows": clean_rows.get(r, 0)} for i, r in enumerate(self.regions)}
+        out: dict = {k: sum(c[k] for c in by_region.values())
+                     for k in ("raw_rows", "complete_rows", "negative_rows", "clean_rows")}
+        if out["raw_rows"]:
+            out["quality_rate"] = out["clean_rows"] / out["raw_rows"]
+        out["by_region"] = by_region
         return out
 
 
@@ -39,49 +62,50 @@ def build_category_dim(items: DataFrame) -> DataFrame:
         .select(F.col("category_id").cast("int"), "category_title")
 
 
-def clean_fact(raw: DataFrame, metrics: StageMetrics | None = None) -> DataFrame:
+DERIVED = ("engagement_rate", "trending_day", "publish_hour")
+
+
+def typed_rows(raw: DataFrame) -> DataFrame:
+    """Fill, parse and cast; every base column of the fact is there (missing ones NULL)."""
+    df = C.type_raw(C.fill_text_defaults(raw))
+    for c in FACT_COLUMNS:
+        if c not in df.columns and c not in DERIVED:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    return df
+
+
+def clean_fact(raw: DataFrame) -> DataFrame:
     """T2 on raw all-string rows with ``region``: the 20-column clean fact.
 
     fill -> parse -> drop incomplete -> cast category -> dedup (exact + keep max
     views per key as one total-order aggregation) -> features -> clamp.
     """
-    df = raw
-    if metrics is not None:
-        df, metrics.observations["raw_rows"] = _observe(df, "raw_rows")
-    df = C.fill_text_defaults(df)
-    df = C.type_raw(df)
-    df = C.drop_incomplete(df)
-    df = C.cast_category(df)
-    if metrics is not None:
-        df, metrics.observations["complete_rows"] = _observe(df, "complete_rows")
-    for c in FACT_COLUMNS:
-        if c not in df.columns and c not in ("engagement_rate", "trending_day", "publish_hour"):
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    base = [c for c in FACT_COLUMNS if c not in ("engagement_rate", "trending_day", "publish_hour")]
+    df = C.cast_category(C.drop_incomplete(typed_rows(raw)))
+    base = [c for c in FACT_COLUMNS if c not in DERIVED]
     df = keep_max_per_key(df.select(*base), FACT_KEY, by="views")
-    df = C.add_features(df)
-    if metrics is not None:
-        df, metrics.observations["negative_rows"] = _observe_negative(df)
-    df = C.clamp_counters(df)
-    if metrics is not None:
-        df, metrics.observations["clean_rows"] = _observe(df, "clean_rows")
-    return df.select(*FACT_COLUMNS)
-
-
-def _observe(df: DataFrame, name: str):
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return C.clamp_counters(C.add_features(df)).select(*FACT_COLUMNS)
 
 
-def _observe_negative(df: DataFrame):
-    obs = Observation("negative_rows")
-    return df.observe(obs, F.count_if(X.any_negative()).alias("rows")), obs
+def counted_fact(raw: DataFrame) -> DataFrame:
+    """``clean_fact`` with what ``StageMetrics`` counts: ``__real`` rows are the fact, and one other row
+    per region stands for its incomplete ones; ``__merged`` rows went into each."""
+    df = typed_rows(raw)
+    real = F.lit(True)
+    for c in C.CRITICAL_COLUMNS:
+        real = real & F.col(c).isNotNull()
+    df = C.cast_category(df.withColumn("__real", real))
+    base = [c for c in FACT_COLUMNS if c not in DERIVED]
+    df = df.select("__real", *[c if c == "region" else F.when(F.col("__real"), F.col(c)).alias(c) for c in base])
+    df = keep_max_per_key(df, [*FACT_KEY, "__real"], by="views", merged="__merged")
+    df = df.withColumn("__negative", X.any_negative())
+    return C.clamp_counters(C.add_features(df)).select(*FACT_COLUMNS, "__real", "__merged", "__negative")
 
 
 def load_inputs(spark: SparkSession, raw_dir: str, regions: list[str] | None = None,
                 csv_template: str = X.CSV_NAME_TEMPLATE, json_template: str = X.JSON_NAME_TEMPLATE,
                 multiline="auto", category_regions: list[str] | None = None,
-                report: dict | None = None) -> tuple[DataFrame, DataFrame]:
+                report: dict | None = None, surplus: str = "raise",
+                missing_texts: tuple[str, ...] = MISSING_TEXTS) -> tuple[DataFrame, DataFrame]:
     """S1-S4 + S10: (raw rows, category dimension) or TransformAborted.
 
     ``category_regions`` defaults to ``regions`` (one list configures both inputs).
@@ -89,7 +113,10 @@ def load_inputs(spark: SparkSession, raw_dir: str, regions: list[str] | None = N
     items = read_category_items(spark, raw_dir, category_regions or regions, json_template)
     if items is None or items.isEmpty():
         raise TransformAborted("no category mapping could be parsed")
-    raw = read_regional_csv(spark, raw_dir, regions, csv_template, multiline, report)
+    raw = read_regional_csv(spark, raw_dir, regions, csv_template, multiline, report, surplus, missing_texts)
     if raw is None:
         raise TransformAborted("no regional input found")
+    if report is not None:
+        manifest = input_manifest(spark, raw_dir, regions, csv_template, json_template, category_regions)
+        report["missing_category_regions"] = missing(manifest, "json")
     return raw, build_category_dim(items)

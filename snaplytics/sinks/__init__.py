@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplytics.schemas import FACT_SCHEMA, NOT_NULL_FACT
+from snaplytics.schemas import DIM_MAX_LENGTHS, FACT_SCHEMA, MAX_LENGTHS, NOT_NULL_DIM, NOT_NULL_FACT
+from snaplytics.sinks.publish import Refresh, declare, publish
 
 
 def write_dimension(dim: DataFrame, path: str) -> None:
@@ -33,42 +36,57 @@ def layout_fact(fact: DataFrame, files_per_region: int | None = None) -> DataFra
 
 def write_fact(fact: DataFrame, path: str, files_per_region: int | None = None) -> None:
     """K2: Parquet partitioned by region; static overwrite removes stale regions."""
-    (layout_fact(fact, files_per_region).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy("region").parquet(path))
+    write_laid_out(layout_fact(fact, files_per_region), path)
+
+
+def write_laid_out(fact: DataFrame, path: str) -> None:
+    """K2 for rows that are already laid out."""
+    (fact.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("region").parquet(path))
+
 
+def column_type(name: str, kind: str, limits: dict[str, int]) -> str:
+    return f"VARCHAR({limits[name]})" if name in limits else kind
 
-def fact_ddl(table: str, location: str | None = None) -> str:
-    """K6: ``CREATE TABLE IF NOT EXISTS`` for the fact, partitioned by region."""
-    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" + (" NOT NULL" if f.name in NOT_NULL_FACT else "")
-                     for f in FACT_SCHEMA.fields)
+
+def fact_ddl(table: str, location: str | None = None, if_not_exists: bool = True) -> str:
+    """K6: ``CREATE TABLE`` for the fact with its declared lengths, partitioned by region."""
+    cols = ", ".join(f"{f.name} {column_type(f.name, f.dataType.simpleString(), MAX_LENGTHS)}"
+                     + (" NOT NULL" if f.name in NOT_NULL_FACT else "") for f in FACT_SCHEMA.fields)
     loc = f" LOCATION '{location}'" if location else ""
-    return f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet PARTITIONED BY (region){loc}"
+    return f"CREATE TABLE {'IF NOT EXISTS ' * if_not_exists}{table} ({cols}) USING parquet PARTITIONED BY (region){loc}"
 
 
-def dim_ddl(table: str, location: str | None = None) -> str:
+def dim_ddl(table: str, location: str | None = None, if_not_exists: bool = True) -> str:
     loc = f" LOCATION '{location}'" if location else ""
-    return (f"CREATE TABLE IF NOT EXISTS {table} (category_id int NOT NULL, "
-            f"category_title string NOT NULL) USING parquet{loc}")
+    title = column_type("category_title", "string", DIM_MAX_LENGTHS)
+    return (f"CREATE TABLE {'IF NOT EXISTS ' * if_not_exists}{table} (category_id int NOT NULL, "
+            f"category_title {title} NOT NULL) USING parquet{loc}")
 
 
 def refresh_table(df: DataFrame, table: str, ddl: str) -> DataFrame:
-    """K3 / K4: full refresh of a declared catalog table: created from its DDL when it
-    isn't there, its rows replaced in one committed overwrite."""
+    """K3 / K4: full refresh of one declared catalog table: created from its DDL when it
+    isn't there, its rows replaced in one committed overwrite. Partitions that the new
+    rows lack go, whatever overwrite mode was submitted. (``publish`` refreshes several
+    tables as one.)"""
     spark = df.sparkSession
     spark.sql(ddl)
-    df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
-def register_table(spark: SparkSession, table: str, location: str, partitioned: bool = False) -> DataFrame:
-    """K3 / K4 without a copy: (re)declare an external Parquet table over files that
-    are already written and checked; partitions are recorded in the catalog, so
-    region filters prune them. Dropping an external table keeps its files."""
+def register_table(spark: SparkSession, table: str, ddl: str) -> DataFrame:
+    """K3 / K4 without a copy: declare an external table by its DDL (names, lengths, NOT NULL)
+    over files that are already written and checked; region filters prune its folders.
+    A table of that name is only redeclared: dropping an external table keeps its files."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
-    if partitioned:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    declare(spark, ddl)
     return spark.table(table)
 
 
@@ -84,9 +102,26 @@ def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int, properties:
        .option("truncate", truncate).options(**(properties or {})).save())
 
 
+def refresh_pair(fact: DataFrame, dim: DataFrame, fact_table: str, dim_table: str, root: str) -> str:
+    """K3 + K4: both tables refreshed as one publish, the dimension first."""
+    return publish(fact.sparkSession, [
+        Refresh(dim_table, dim.coalesce(1), dim_ddl, NOT_NULL_DIM),
+        Refresh(fact_table, layout_fact(fact), fact_ddl, NOT_NULL_FACT)], root)
+
+
 def write_report_csv(report: DataFrame, path: str, ordered: bool = True) -> None:
-    """K5: a folder with one headered CSV part. An ordered report is a few rows after its
-    sort. One that is not (the region sample) gets a shuffle before the writing task, so
-    that its own work stays parallel."""
+    """K5: one headered CSV file at ``path``. The part is committed in a folder beside it and then
+    renamed, so readers see the old file or the whole new one. An ordered report is a few
+    rows after its sort. One that is not (the region sample) gets a shuffle before the
+    writing task, so that its own work stays parallel."""
+    spark = report.sparkSession
     one = report.coalesce(1) if ordered else report.repartition(1)
-    one.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    folder = f"{path}.{uuid.uuid4().hex[:8]}"
+    one.write.option("header", True).option("escape", '"').csv(folder)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target, parts = hadoop.Path(path), hadoop.Path(f"{folder}/part-*")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    if not fs.rename(fs.globStatus(parts)[0].getPath(), target):
+        raise OSError(f"{folder}: its part can't be renamed to {path}")
+    fs.delete(hadoop.Path(folder), True)

@@ -38,6 +38,14 @@ def write_regional_csv(raw: DataFrame, out_dir: str, latin1_regions: list[str] |
     return PARTITION_TEMPLATE
 
 
+def write_regional_lines(lines: DataFrame, out_dir: str, header: str) -> str:
+    """Write (line, region) rows as they are, below a header line, one directory per region:
+    for raw files that a CSV writer would not make."""
+    (lines.select(F.col("line").alias(header), "region").write.mode("overwrite").partitionBy("region")
+     .options(header=True, sep="\u0001", quote="\u0000").csv(out_dir))
+    return PARTITION_TEMPLATE
+
+
 def write_category_json(items: DataFrame, out_dir: str) -> str:
     """Write ``(region, pos, category_id, category_title)`` rows as one
     ``{"items": [{"id", "snippet": {"title"}}]}`` document per region.

@@ -11,22 +11,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from snaplytics.functions import expressions as X
 from snaplytics.schemas import CATEGORY_JSON_SCHEMA
+from snaplytics.sources.manifest import input_manifest, present
 from snaplytics.sources.regional_csv import region_glob
 
 
 def read_category_items(spark: SparkSession, raw_dir: str, regions: list[str] | None = None,
                         template: str = X.JSON_NAME_TEMPLATE) -> DataFrame | None:
-    """(region, region_ord, pos, category_id, category_title) for every parsable entry."""
+    """(region, region_ord, pos, category_id, category_title) for every parsable entry; None when no
+    configured region has a document."""
     regions = regions or X.DEFAULT_REGIONS
-    try:
-        docs = (spark.read.schema(CATEGORY_JSON_SCHEMA).option("multiLine", True)
-                .option("mode", "PERMISSIVE").json(region_glob(raw_dir, regions, template)))
-    except AnalysisException:
+    here = present(input_manifest(spark, raw_dir, regions, json_template=template), "json")
+    if not here:
         return None
+    docs = (spark.read.schema(CATEGORY_JSON_SCHEMA).option("multiLine", True)
+            .option("mode", "PERMISSIVE").json(region_glob(raw_dir, here, template)))
     region = X.region_from_path(F.col("_metadata.file_path"), template)
     order = F.array_position(F.array(*[F.lit(r) for r in regions]), region)
     items = docs.select(region.alias("region"), order.alias("region_ord"),

@@ -4,7 +4,8 @@ import pytest
 
 from snaplytics.plans.transform import TransformAborted, build_category_dim, clean_fact, load_inputs
 from snaplytics.sources.category_json import read_category_items
-from snaplytics.sources.regional_csv import missing_regions, read_regional_csv, scan_files, region_glob
+from snaplytics.sources.manifest import input_manifest, missing
+from snaplytics.sources.regional_csv import csv_rejects, file_facts, read_regional_csv, region_glob, scan_files
 from tests import fixtures
 from tests.conftest import rows
 
@@ -28,8 +29,11 @@ def test_csv_by_name_encoding_and_region(spark, raw_dir):
 
 def test_missing_region_reported(spark, raw_dir):
     regions = ["US", "CA", "IN", "FR"]
-    files = scan_files(spark, region_glob(raw_dir, regions))
-    assert missing_regions(files, regions) == ["CA", "IN"]
+    files = scan_files(spark, region_glob(raw_dir, ["US", "FR"]))
+    manifest = input_manifest(spark, raw_dir, regions)
+    assert missing(manifest, "csv") == ["CA", "IN"] and missing(manifest, "json") == ["IN"]
+    sizes = {(r.region, r.kind): (r.files, r.bytes) for r in manifest.collect()}
+    assert sizes["CA", "csv"] == (0, 0) and sizes["US", "csv"][0] == 1 and sizes["US", "csv"][1] > 1000
     assert {utf8 for p, _, utf8, _ in files if p.endswith("FRvideos.csv")} == {False}
     spans = {p.rsplit("/", 1)[-1]: s for p, _, _, s in files}
     assert spans == {"USvideos.csv": True, "FRvideos.csv": False}   # only US has a quoted newline
@@ -37,6 +41,47 @@ def test_missing_region_reported(spark, raw_dir):
 
 def test_no_input_is_none(spark, tmp_path):
     assert read_regional_csv(spark, str(tmp_path), ["US"]) is None
+    assert read_category_items(spark, str(tmp_path), ["US"]) is None
+    assert csv_rejects(spark, str(tmp_path), ["US"]).collect() == []
+
+
+def test_raw_folder_that_is_not_there_raises(spark, tmp_path):
+    """Only missing regions are tolerated: another error is not read as missing input."""
+    for read in (read_regional_csv, read_category_items):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+            read(spark, str(tmp_path / "nowhere"), ["US"])
+
+
+def test_records_with_surplus_fields(spark, tmp_path):
+    d = str(tmp_path)
+    with open(f"{d}/USvideos.csv", "w") as fh:
+        fh.write('video_id,views,title\na,1,x\nb,2,y,EXTRA\nc,3\nd,4,"q, ""z"""\ne,5,"u,v",6,7\nf,6,"line\nbreak",8\n')
+    with open(f"{d}/FRvideos.csv", "w") as fh:
+        fh.write("title,video_id\nx,g,\ny,h\n")
+    rejected = csv_rejects(spark, d, ["US", "FR", "CA"]).collect()
+    assert sorted((r.region, r._source_file.rsplit("/", 1)[-1], r._record.rstrip()) for r in rejected) == [
+        ("FR", "FRvideos.csv", "x,g,"), ("US", "USvideos.csv", "b,2,y,EXTRA"),
+        ("US", "USvideos.csv", 'e,5,"u,v",6,7'), ("US", "USvideos.csv", 'f,6,"line\nbreak",8')]
+    kept = read_regional_csv(spark, d, ["US", "FR"], surplus="drop")
+    assert rows(kept, "video_id", "views", "title") == sorted(
+        [("a", "1", "x"), ("c", "3", None), ("d", "4", 'q, "z"'), ("h", None, "y")], key=repr)
+    with pytest.raises(Exception, match="more fields than the header names: "):
+        read_regional_csv(spark, d, ["US"]).collect()
+
+
+def test_missing_value_texts(spark, tmp_path):
+    d = str(tmp_path)
+    with open(f"{d}/USvideos.csv", "w") as fh:
+        fh.write('video_id,views,title\na,NA,null\nb,"None",""\nc,NaNa,n/a\n')
+    assert rows(read_regional_csv(spark, d, ["US"]), "video_id", "views", "title") == [
+        ("a", None, None), ("b", None, None), ("c", "NaNa", None)]
+    assert rows(read_regional_csv(spark, d, ["US"], missing_texts=()), "video_id", "views", "title") == [
+        ("a", "NA", "null"), ("b", "None", None), ("c", "NaNa", "n/a")]
+
+
+def test_header_scan_sorts_no_text(spark, raw_dir):
+    plan = file_facts(spark.read.text(raw_dir))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort " not in plan and "ObjectHashAggregate" in plan
 
 
 def test_category_json_last_region_wins_and_corrupt_files(spark, raw_dir):
