@@ -108,6 +108,13 @@ def weekday_order(c: str | Column) -> Column:
     return expr.otherwise(F.lit(8))
 
 
+def exact_mean(c: str | Column, scale: int = 0) -> Column:
+    """Mean of a column of whole numbers, or of values with at most ``scale`` decimals, as a decimal:
+    exact sums over a count (A5), so no order of addition changes a digit. NULLs are skipped."""
+    total = F.sum(col(c).cast(f"decimal(28,{scale})")).cast(f"decimal(38,{scale})")
+    return F.try_divide(total, F.nullif(F.count(col(c)), F.lit(0)).cast("decimal(18,0)"))
+
+
 def pct_rounded(avg_col: Column, scale: int = 2) -> Column:
     """``ROUND(AVG(x)::numeric * 100, 2)``: half away from zero on a decimal."""
     return F.round(avg_col.cast("decimal(38,18)") * 100, scale)

@@ -44,7 +44,7 @@ def regional_performance(fact: DataFrame) -> DataFrame:
     agg = fact.groupBy("region").agg(
         F.count_distinct("video_id").alias("total_unique_trending_videos"),
         F.sum("views").alias("total_views"),
-        X.pct_rounded(F.avg("engagement_rate")).cast("double").alias("average_engagement_percentage"),
+        X.pct_rounded(X.exact_mean("engagement_rate", X.ENGAGEMENT_DECIMALS)).cast("double").alias("average_engagement_percentage"),
         F.sum("likes").alias("total_likes"),
         F.sum("dislikes").alias("total_dislikes"),
         X.ratio_of_sums(F.sum("likes"), F.sum("dislikes")).cast("double").alias("likes_to_dislikes_ratio"))
@@ -74,7 +74,7 @@ def weekday_pattern(fact: DataFrame) -> DataFrame:
     """Records, mean and total views per weekday, Monday..Sunday then others."""
     agg = fact.groupBy("trending_day").agg(
         F.count(F.lit(1)).alias("total_trending_records"),
-        F.round(F.avg("views"), 2).alias("average_views_per_record"),
+        F.round(X.exact_mean("views"), 2).cast("double").alias("average_views_per_record"),
         F.sum("views").alias("total_views_on_day"))
     return agg.orderBy(X.weekday_order("trending_day"), "trending_day")
 
@@ -83,5 +83,5 @@ def views_by_region_sample(fact: DataFrame) -> DataFrame:
     """Total views and 4-dp mean engagement per region."""
     agg = fact.groupBy("region").agg(
         F.sum("views").alias("total_views"),
-        F.round(F.avg("engagement_rate").cast("decimal(38,18)"), 4).cast("double").alias("avg_engagement"))
+        F.round(X.exact_mean("engagement_rate", X.ENGAGEMENT_DECIMALS), 4).cast("double").alias("avg_engagement"))
     return agg.orderBy(F.col("total_views").desc_nulls_last(), "region")

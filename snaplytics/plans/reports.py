@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from snaplytics.functions import expressions as X
 from snaplytics.operators.dedup import keep_max_per_key
 from snaplytics.operators.joins import complete_domain, join_dimension
-from snaplytics.operators.windows import top_n_per_group_two_level
+from snaplytics.operators.windows import top_n_by_cutoff
 
 TOP_VIEWED_COLUMNS = ["video_id", "title", "channel_title", "category_title", "region", "views", "likes",
                       "dislikes", "comment_count", "engagement_rate", "trending_date", "publish_time"]
@@ -116,14 +116,14 @@ def report_region_sample(fact: DataFrame, dim: DataFrame, n: int = 5000, broadca
     """At most ``n`` rows per region, most viewed first, all columns + category title.
 
     The cut is deterministic: views descending, then the whole row as tie-break.
-    Regions are few and ``n`` is large, so the cut is done in two levels to keep
-    the rows reaching one task bounded (see ``top_n_per_group_two_level``).
+    A histogram of ``views`` gives each region's cutoff first, so only wide rows above it
+    are joined and sorted, in two levels that keep the rows reaching one task bounded. A title is
+    a function of the category, so it need not be part of the order.
     """
     cols = [*fact.columns, "category_title"]
-    rows = with_category(fact, dim, broadcast).select(*cols)
-    order = [F.col("views").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in cols
+    order = [F.col("views").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in fact.columns
                                                   if c not in ("views", "region")]
-    return top_n_per_group_two_level(rows, ["region"], order, n).select(*cols)
+    return with_category(top_n_by_cutoff(fact, "region", "views", order, n), dim, broadcast).select(*cols)
 
 
 # The report file names the dashboards read.
