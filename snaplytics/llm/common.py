@@ -34,15 +34,29 @@ def staged(df: DataFrame, name: str, compression: str = "snappy", by: str | None
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cell_bytes(cell: Column, kind: T.DataType) -> Column:
+    """About the bytes of a cell in memory: texts and binaries by length, arrays, maps and structs by
+    what they hold; NULLs and numbers as one word with its overhead."""
+    least = F.lit(16).cast("long")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return least + F.coalesce(F.octet_length(cell), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            inside = F.aggregate(cell, F.lit(0).cast("long"), lambda acc, x: acc + cell_bytes(x, kind.elementType))
+        else:
+            inside = F.size(cell).cast("long") * 8
+        return least + F.when(cell.isNull(), F.lit(0)).otherwise(inside)
+    if isinstance(kind, T.MapType):
+        return cell_bytes(F.map_keys(cell), T.ArrayType(kind.keyType)) + cell_bytes(F.map_values(cell), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return sum((cell_bytes(cell[f.name], f.dataType) for f in kind.fields), least)
+    return least
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a staged table for broadcast when its measured size is within the bound;
     otherwise leave the join to shuffle (and AQE to split its hot keys)."""
-    width = F.lit(0)
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16
-        else:
-            width = width + 16
+    width = sum((cell_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
     size = df.agg(F.sum(width)).first()[0] or 0
     return F.broadcast(df) if size <= max_bytes else df
 

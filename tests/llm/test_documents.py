@@ -373,11 +373,54 @@ def test_index_persists_over_batches(spark, tmp_path):
         assert [r.doc_id for r in exact_dedup.dedup_against(first.withColumn("digest", F.lit(1)), name).orderBy("doc_id").collect()] == [2, 3, 4]
         assert exact_dedup.dedup_against(empty, name).count() == 0
         assert [r.doc_id for r in exact_dedup.dedup_against(second, name).orderBy("doc_id").collect()] == [11, 12]
-        assert spark.table(name).count() == 5
+        assert exact_dedup.read_index(spark, name).count() == 5
     finally:
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_report_on_later_batches(spark, tmp_path):
+    name = exact_dedup.create_index(spark, "test_digest_batches", str(tmp_path / "index"), buckets=4)
+    def batch(rows):
+        return spark.createDataFrame([(i, t, "en", "s") for i, t in rows], DOCS)
+    def seen(report):
+        return sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in report.collect()), key=repr)
+    try:
+        assert seen(exact_dedup.dedup_report(batch([(1, "A"), (2, "b")]), name, "first")) == [(1, 1, 1, True), (2, 2, 1, True)]
+        later = batch([(5, "a"), (6, "a"), (None, "c")])
+        want = [(5, 6, 3, False), (6, 6, 3, True), (None, None, 1, True)]
+        assert seen(exact_dedup.dedup_report(later, name, "second")) == sorted(want, key=repr)
+        assert seen(exact_dedup.dedup_report(later, name, "second")) == sorted(want, key=repr)  # a load that ran twice
+        hot = batch([(100 + i, "A") for i in range(500)] + [(3, "c")])
+        got = seen(exact_dedup.dedup_report(hot, name, "third"))
+        assert got[0][:3] in {(100, 599, 503), (3, 3, 2)} and {g[1:3] for g in got} == {(599, 503), (3, 2)}
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_index_is_bucketed_by_size_and_query_drops_it(spark, tmp_path):
+    assert exact_dedup.buckets_for(10) == exact_dedup.LEAST_BUCKETS
+    assert exact_dedup.buckets_for(30_000_000) * exact_dedup.BUCKET_ROWS >= 300_000_000
+    documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert exact_dedup.op10_exact_dedup(spark, str(tmp_path)).count() == documents(spark).count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_broadcast_bound_counts_what_arrays_and_structs_hold(spark):
+    from pyspark.sql import functions as F
+
+    from snaplytics.llm.common import broadcast_if_small
+    def hinted(df, limit):
+        return "ResolvedHint" in broadcast_if_small(df, limit)._jdf.queryExecution().analyzed().toString()
+    one = spark.range(10)
+    big = one.select(F.sequence(F.lit(1), F.lit(10_000)).alias("a"))                          # 80 kB a row
+    deep = one.select(F.struct(F.array(F.struct(F.repeat(F.lit("x"), 9000).alias("t"))).alias("s")).alias("d"))
+    none = one.select(F.lit(None).cast("array<struct<t:string>>").alias("a"), F.lit(None).cast("map<string,int>").alias("m"))
+    for df, size in ((big, 800_000), (deep, 90_000)):
+        assert not hinted(df, size - 1000) and hinted(df, 2 * size)
+    assert hinted(none, 1000)
+
+
 # ---- empty tables
 
 
