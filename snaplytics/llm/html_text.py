@@ -11,7 +11,9 @@ Training: at most ``SAMPLE_PAGES`` pages (least hashes of ``page_id``, html of a
 (``weak_label``); copies of them with the article's container renamed and boilerplate of
 many kinds put in, whose labels are known by construction, teach the kinds of markup
 that the sample lacks. The model has a fixed size and is sent to all tasks; every page
-and every block is then labelled, whatever its length.
+and every block is then labelled, whatever its length: time grows with a page's characters
+and memory with its elements (paths are shared chains whose sums run along), and pages are
+labelled together only as far as their cells, padding included, stay within ``CELLS_AT_ONCE``.
 
 Cases: null or empty html gives an empty text; a page without blocks likewise; text
 outside any container is content when the page has no article; repeated rows give
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .html_blocks import Block, page_blocks
+from .html_blocks import Block, Leaf, page_blocks, page_leaves
 
 SAMPLE_PAGES = 200
 SAMPLE_CHARS = 100_000
@@ -42,7 +44,11 @@ WORD_ROWS, WORD_DIM = 2048, 8
 FIGURES = 4
 HIDDEN = 24
 MEMO_WORDS = 200_000
-PAGES_AT_ONCE = 64
+#: Cells (blocks of the longest page x pages) that are labelled together, and blocks (or pages) held at once;
+#: a page beyond either is handled alone.
+CELLS_AT_ONCE = 32_768
+BLOCKS_AT_ONCE, PAGES_AT_ONCE = 65_536, 512
+STEPS_AT_ONCE = 1024
 
 # Words of tag paths that mark boilerplate, and those that mark an article.
 BOILERPLATE_TAGS = "nav header footer aside form button select textarea label dialog menu fieldset search".split()
@@ -115,11 +121,33 @@ class Vectors:
     def path_rows(self, path) -> list[int]:
         return [zlib.crc32(w.encode()) % PATH_ROWS for w in ("^", *path)]  # the root: text may lie outside any element
 
+    def figures(self, text: str, words: int, link_chars: int) -> list[float]:
+        size = len(text)
+        return [np.log1p(size) / 5, min(1.0, link_chars / size), size / words / 10, float(text[-1] in ".!?")]
+
     def of(self, block: Block) -> tuple[list[int], list[int], list[float]]:
-        size = len(block.text)
         words = self.word_rows(block.text)
-        figures = [np.log1p(size) / 5, min(1.0, block.link_chars / size), size / len(words) / 10, float(block.text[-1] in ".!?")]
-        return self.path_rows(block.path), words, figures
+        return self.path_rows(block.path), words, self.figures(block.text, len(words), block.link_chars)
+
+
+def leaf_vectors(leaves: list[Leaf], vectors: Vectors, model: dict[str, np.ndarray]) -> np.ndarray:
+    """(block, vector) of a page. An element's path sum is its parent's and its own words' rows."""
+    root = model["path"][vectors.path_rows(())[0]]
+    for leaf in leaves:
+        waiting, at = [], leaf.element
+        while at is not None and at.sum is None:
+            waiting.append(at)
+            at = at.parent
+        for e in reversed(waiting):
+            e.sum = (root if e.parent is None else e.parent.sum) + model["path"][vectors.path_rows(e.words)[1:]].sum(axis=0)
+    x = np.empty((len(leaves), PATH_DIM + WORD_DIM + FIGURES), np.float32)
+    words = [vectors.word_rows(leaf.text) for leaf in leaves]
+    sizes = np.array([len(w) for w in words])
+    rows = np.concatenate([np.asarray(w, np.int64) for w in words])
+    x[:, :PATH_DIM] = [root if leaf.element is None else leaf.element.sum for leaf in leaves]
+    x[:, PATH_DIM:PATH_DIM + WORD_DIM] = np.add.reduceat(model["word"][rows], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0) / sizes[:, None]
+    x[:, PATH_DIM + WORD_DIM:] = [vectors.figures(leaf.text, n, leaf.link_chars) for leaf, n in zip(leaves, sizes)]
+    return x
 
 
 def padded(pages: list[list[tuple]], model: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -200,9 +228,29 @@ def back_direction(model, d: str, x, mask, kept, dout, grads) -> np.ndarray:
 
 
 def content_odds(model, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """(time, page) log odds of content."""
-    h = np.concatenate([run_direction(model, d, x, mask) for d in "fb"], axis=2)
-    return (h @ model["out"] + model["out_b"])[:, :, 0]
+    """(time, page) log odds of content; both directions take their steps together."""
+    steps, pages = x.shape[:2]
+    back, back_mask = x[::-1], mask[::-1]
+    inner = np.stack([model["fh"], model["bh"]])
+    whole = bool(mask.all())
+    states = np.empty((steps, 2, pages, HIDDEN), np.float32)
+    h = c = np.zeros((2, pages, HIDDEN), np.float32)
+    for t in range(steps):
+        if t % STEPS_AT_ONCE == 0:  # what the input adds, for the next steps
+            some = slice(t, t + STEPS_AT_ONCE)
+            pre = np.stack([x[some] @ model["fx"] + model["fb"], back[some] @ model["bx"] + model["bb"]], axis=1)
+        z = pre[t % STEPS_AT_ONCE] + h @ inner
+        gates = sigmoid(z[..., :3 * HIDDEN])
+        c_new = gates[..., HIDDEN:2 * HIDDEN] * c + gates[..., :HIDDEN] * np.tanh(z[..., 3 * HIDDEN:])
+        h_new = gates[..., 2 * HIDDEN:] * np.tanh(c_new)
+        if whole:
+            c, h = c_new, h_new
+        else:
+            m = np.stack([mask[t], back_mask[t]])
+            c, h = m * c_new + (1 - m) * c, m * h_new + (1 - m) * h
+        states[t] = h
+    out = model["out"]
+    return (states[:, 0] @ out[:HIDDEN] + states[::-1, 1] @ out[HIDDEN:] + model["out_b"])[:, :, 0]
 
 
 def gradients(model, pages: list[list[tuple]], labels: list[list[int]]) -> tuple[float, dict[str, np.ndarray]]:
@@ -303,17 +351,40 @@ def train(pages: list[list[Block]], steps: int = STEPS, seed: int = 7) -> dict[s
 # ---- pages ------------------------------------------------------------------------------------
 
 
-def main_texts(model, vectors: Vectors, htmls: list[str | None]) -> list[str]:
-    """The main text of each page."""
-    blocks = [page_blocks(h) for h in htmls]
-    out = [""] * len(htmls)
-    full = sorted((i for i in range(len(htmls)) if blocks[i]), key=lambda i: len(blocks[i]))
-    for start in range(0, len(full), PAGES_AT_ONCE):
-        some = full[start:start + PAGES_AT_ONCE]
-        x, mask = padded([[vectors.of(b) for b in blocks[i]] for i in some], model)
+def label_together(model, vectors: Vectors, pages: list[list[Leaf]]) -> list[list[bool]]:
+    """Whether each block of each page is content."""
+    out: list[list[bool]] = [[] for _ in pages]
+    full = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
+    while full:
+        longest, some = len(pages[full[-1]]), []
+        while full and (not some or longest * (len(some) + 1) <= CELLS_AT_ONCE):
+            some.append(full.pop())
+        x = np.zeros((longest, len(some), PATH_DIM + WORD_DIM + FIGURES), np.float32)
+        mask = np.zeros((longest, len(some), 1), np.float32)
+        for j, i in enumerate(some):
+            x[:len(pages[i]), j] = leaf_vectors(pages[i], vectors, model)
+            mask[:len(pages[i]), j] = 1
         odds = content_odds(model, x, mask)
         for j, i in enumerate(some):
-            out[i] = "\n\n".join(b.text for t, b in enumerate(blocks[i]) if odds[t, j] > 0)
+            out[i] = (odds[:len(pages[i]), j] > 0).tolist()
+    return out
+
+
+def main_texts(model, vectors: Vectors, htmls: list[str | None]) -> list[str]:
+    """The main text of each page; no more than ``BLOCKS_AT_ONCE`` blocks, or one page's, are held."""
+    out: list[str] = []
+    held: list[list[Leaf]] = []
+
+    def flush() -> None:
+        for leaves, content in zip(held, label_together(model, vectors, held)):
+            out.append("\n\n".join(leaf.text for leaf, y in zip(leaves, content) if y))
+        held.clear()
+    for html in htmls:
+        leaves = page_leaves(html)
+        if held and (sum(map(len, held)) + len(leaves) > BLOCKS_AT_ONCE or len(held) >= PAGES_AT_ONCE):
+            flush()
+        held.append(leaves)
+    flush()
     return out
 
 
@@ -328,7 +399,7 @@ def training_sample(pages: DataFrame, size: int = SAMPLE_PAGES) -> list[list[Blo
     h = F.xxhash64("page_id", "url")
     some = pages.filter((h <= int((share - 0.5) * (2 ** 64 - 2))) if share < 1 else F.lit(True)).filter(F.length("html") <= SAMPLE_CHARS)
     rows = some.orderBy(h, "page_id", "url").limit(size).select("html").collect()
-    return [page_blocks(r.html) for r in rows]
+    return [page_blocks(r.html, SAMPLE_BLOCKS) for r in rows]
 
 
 def extract_text(pages: DataFrame, model: dict[str, np.ndarray] | None = None) -> DataFrame:
@@ -339,8 +410,8 @@ def extract_text(pages: DataFrame, model: dict[str, np.ndarray] | None = None) -
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = Vectors()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                some = batch.slice(start, PAGES_AT_ONCE)
                 texts = main_texts(shared.value, vectors, some.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                                  ["page_id", "url", "text", "n_chars"])

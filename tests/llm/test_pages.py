@@ -29,6 +29,127 @@ def test_blocks_of_awkward_markup():
     assert len(texts("<p>a" * 5000)) == 5000
 
 
+def naive_blocks(html):
+    """The rules of the block parser with a plain stack that is walked each time."""
+    from html.parser import HTMLParser
+
+    from snaplytics.llm import html_blocks as hb
+
+    class Naive(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.stack, self.out, self.text, self.links = [], [], [], 0
+
+        def flush(self):
+            text = " ".join("".join(self.text).split())
+            if text:
+                self.out.append((tuple(w for _, ws in self.stack for w in ws), text, self.links))
+            self.text, self.links = [], 0
+
+        def close_last(self, tags, boundary):
+            for k in reversed(range(len(self.stack))):
+                if self.stack[k][0] in tags:
+                    del self.stack[k:]
+                    return True
+                if self.stack[k][0] in boundary:
+                    return False
+            return False
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "br":
+                self.text.append(" ")
+                return
+            if tag == "body":
+                self.close_last(("head",), ())
+            if tag in hb.BLOCK:
+                self.flush()
+                if not (tag in hb.CLOSES and self.close_last(*hb.CLOSES[tag])):
+                    self.close_last(("p",), ("button", "table", "td", "th", "object"))
+            if tag not in hb.VOID:
+                words = [tag] + ["." + w for n, v in attrs if v and n in ("class", "id", "role") for w in hb.NAME.findall(v.lower())]
+                self.stack.append((tag, words))
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs)
+
+        def handle_endtag(self, tag):
+            if tag in hb.VOID:
+                return
+            if tag in hb.BLOCK:
+                self.flush()
+            self.close_last((tag,), () if tag in hb.BLOCK or tag in hb.UNSEEN else hb.BLOCK)
+
+        def handle_data(self, data):
+            if not any(t in hb.UNSEEN for t, _ in self.stack):
+                self.text.append(data)
+                self.links += len(data) * any(t == "a" for t, _ in self.stack)
+
+    parser = Naive()
+    parser.feed(html)
+    parser.close()
+    parser.flush()
+    return parser.out
+
+
+def random_html(rng):
+    tags = "div p ul li ol table tr td th dl dt dd a b span section head body article svg template select option br hr h1 button form".split()
+    out = []
+    for _ in range(int(rng.integers(1, 60))):
+        t = str(rng.choice(tags))
+        kind = rng.random()
+        out.append(f"<{t} class='{t}x y'>" if kind < 0.45 else f"</{t}>" if kind < 0.75 else f"<{t}/>" if kind < 0.78 else f" w{int(rng.integers(9))} &amp; ")
+    return "".join(out)
+
+
+def test_blocks_equal_a_naive_parser():
+    rng = np.random.default_rng(4)
+    for _ in range(1500):
+        html = random_html(rng)
+        assert [tuple(b) for b in page_blocks(html)] == naive_blocks(html), html
+
+
+def test_labels_equal_one_page_at_a_time():
+    """Pages labelled together, from running path sums and both directions in step, against each
+    page alone with spelled-out paths and one direction after the other."""
+    rng = np.random.default_rng(5)
+    model = html_text.new_model(rng)
+    htmls = [random_html(rng) for _ in range(150)] + [None, "", "<p>a" * 3000, "<div>" * 300 + "x"]
+    vectors = html_text.Vectors()
+    got = html_text.label_together(model, vectors, [html_text.page_leaves(h) for h in htmls])
+    for html, labels in zip(htmls, got):
+        blocks = page_blocks(html)
+        if not blocks:
+            assert labels == []
+            continue
+        x, mask = html_text.padded([[vectors.of(b) for b in blocks]], model)
+        h = np.concatenate([html_text.run_direction(model, d, x, mask) for d in "fb"], axis=2)
+        odds = (h @ model["out"] + model["out_b"])[:, 0, 0]
+        assert all(y == (o > 0) or abs(o) < 1e-3 for y, o in zip(labels, odds))
+
+
+def peak_mb(run):
+    import tracemalloc
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+@pytest.mark.parametrize("html, blocks", [
+    ("<div>x" * 20_000, 20_000), ("<div class='a b c'>" * 20_000 + "x", 1), ("<p>a</p>" * 200_000, 200_000),
+    ("<b>" * 50_000 + "x" + "</i></p>" * 50_000, 1), ("<ul><li><table><tr><td>" * 5_000 + "y", 1)])
+def test_deep_and_many_block_pages(html, blocks):
+    import time
+    model, vectors = html_text.new_model(np.random.default_rng(1)), html_text.Vectors()
+    began = time.process_time()
+    assert len(html_text.page_leaves(html)) == blocks
+    html_text.main_texts(model, vectors, [html, *["<p>small</p>"] * 63])
+    assert time.process_time() - began < 60
+    if len(html) < 200_000:
+        assert peak_mb(lambda: html_text.main_texts(model, vectors, [html, *["<p>small</p>"] * 63])) < 400
+
+
 def made_page(i, rng):
     word = lambda: "".join(rng.choice(list("abcdefghij"), size=int(rng.integers(2, 9))))
     text = lambda n: " ".join(word() for _ in range(int(rng.integers(1, n)))).capitalize() + "."
