@@ -44,7 +44,8 @@ CLASSES = 32
 MEMBERS = 32
 BUCKETS = CLASSES * MEMBERS
 OWN_BUCKETS = 512       # the most frequent tokens
-ROWS = 4096             # hashed rows of each feature's weights
+ROW_BITS = 12
+ROWS = 1 << ROW_BITS    # hashed rows of each feature's weights
 FEATURES = 3            # bigram, skip, trigram
 ROUNDS = 2
 PRIOR = 8.0             # pseudo-counts that damp the step of rare rows
@@ -52,6 +53,7 @@ MAX_STEP = 1.5
 CHUNK_TOKENS = 800_000
 FREQUENT_WORDS = 200_000  # whose counts are sent to all tasks (about 6 MB); other words' counts are joined
 BATCH = 1 << 13         # tokens at a time, so that a batch's arrays stay in the cache
+BLOCK = 1 << 15         # probabilities that are added up by row at a time
 SUFFIX = 3
 START = 0x5BD1E995      # history before the first word
 
@@ -185,11 +187,46 @@ def chunk_rows(model: Model, ids, sizes, words, wanted=None):
         bucket, features = bucket[wanted], [f[wanted] for f in features]
     cls, member = bucket // MEMBERS, bucket % MEMBERS
     salt = (cls + 7).astype(np.uint32)
-    rows = [[(f % np.uint32(ROWS)).astype(np.uint16) for f in features],
-            [(mixed(f, salt) % np.uint32(ROWS)).astype(np.uint16) for f in features]]
+    rows = [[(f & np.uint32(ROWS - 1)).astype(np.uint16) for f in features],
+            [(mixed(f, salt) & np.uint32(ROWS - 1)).astype(np.uint16) for f in features]]
     return cls, member, rows
 
 
+def distinct_tuples(rows: list[np.ndarray], cls: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The distinct (rows, class) tuples, ordered by the first feature's row, and how often each occurs."""
+    key = rows[0].astype(np.int64)
+    for r in rows[1:]:
+        key = key << ROW_BITS | r
+    key = key * CLASSES + cls
+    key.sort()
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    counts = np.diff(np.append(starts, len(key))).astype(np.float32)
+    key = key[starts]
+    places = key // CLASSES
+    rows = [(places >> ROW_BITS * (FEATURES - 1 - k) & (ROWS - 1)).astype(np.uint16) for k in range(FEATURES)]
+    return rows, key % CLASSES, counts
+
+
+def add_expected(model: Model, layer: int, rows: list[np.ndarray], cls: np.ndarray, expected: np.ndarray) -> None:
+    """Add the probabilities of all outputs to the rows of each token's features. Equal tuples have equal
+    probabilities, so each is computed once and counted as often as it occurs."""
+    rows, cls, counts = distinct_tuples(rows, cls if layer else np.zeros_like(cls))
+    block = np.empty((BLOCK, MEMBERS), np.float32)
+    for low in range(0, len(cls), BLOCK):
+        high = min(low + BLOCK, len(cls))
+        for lo in range(low, high, BATCH):
+            at = slice(lo, min(lo + BATCH, high))
+            p, total = model.layer(layer, [r[at] for r in rows], cls[at])
+            np.multiply(p, (counts[at] / total)[:, None], out=block[at.start - low:at.stop - low])
+        for k, r in enumerate(rows):
+            r, p = r[low:high], block[:high - low]
+            if k:  # the first feature is in order
+                order = np.argsort(r, kind="stable")
+                r, p = r[order], p.take(order, axis=0)
+            starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+            expected[layer, k][r[starts]] += np.add.reduceat(p, starts, axis=0)
+
+
 OBSERVED, EXPECTED = [f"o{j}" for j in range(MEMBERS)], [f"e{j}" for j in range(MEMBERS)]
 
 
@@ -215,16 +252,9 @@ def gradient_sums(chunks: DataFrame, shared, first: bool) -> DataFrame:
                             observed[layer, k] += np.bincount(at + member, minlength=ROWS * MEMBERS) if layer else by_class
                             expected[layer, k] += by_class.reshape(ROWS, CLASSES) @ prior
                     continue
-                for lo in range(0, len(cls), BATCH):
-                    for layer in (0, 1):
-                        some = [r[lo:lo + BATCH] for r in places[layer]]
-                        p, total = model.layer(layer, some, cls[lo:lo + BATCH])
-                        p /= total[:, None]
-                        for k, r in enumerate(some):
-                            order = np.argsort(r, kind="stable")
-                            ranked = r[order]
-                            starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-                            expected[layer, k][ranked[starts]] += np.add.reduceat(p.take(order, axis=0), starts, axis=0)
+                for layer in (0, 1):
+                    if len(cls):
+                        add_expected(model, layer, places[layer], cls, expected)
         values = [x.reshape(-1, MEMBERS) for x in ([expected, observed] if first else [expected])]
         touched = np.flatnonzero(values[0].sum(axis=1))
         if len(touched):
