@@ -128,8 +128,11 @@ class Model:
         self.weights = np.zeros((2, FEATURES, ROWS, MEMBERS), np.float32)
 
     def buckets(self, words: list[str]) -> np.ndarray:
+        out = np.fromiter(map(SHARED.__getitem__, [w[-SUFFIX:] for w in words]), np.int64, len(words))
         own = self.own
-        return np.fromiter((own[w] if w in own else shared_bucket(w) for w in words), np.int64, len(words))
+        for at in [i for i, w in enumerate(words) if w in own]:
+            out[at] = own[words[at]]
+        return out
 
     def layer(self, which: int, rows: list[np.ndarray], cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exponentials (token by output) and their sums; a step is clipped, so none overflows."""
@@ -151,6 +154,19 @@ def shared_bucket(word: str) -> int:
     return OWN_BUCKETS + zlib.crc32(word[-SUFFIX:].encode()) % (BUCKETS - OWN_BUCKETS)
 
 
+class SharedBuckets(dict):
+    """The shared buckets of endings met so far; forgets them beyond a fixed number."""
+
+    def __missing__(self, ending: str) -> int:
+        if len(self) >= 100_000:
+            self.clear()
+        self[ending] = bucket = shared_bucket(ending)
+        return bucket
+
+
+SHARED = SharedBuckets()
+
+
 def bucket_column(word: Column, own: Column) -> Column:
     """The same in the JVM; own: the word's own bucket or null."""
     tail = F.when(F.length(word) > SUFFIX, F.substring(word, -SUFFIX, SUFFIX)).otherwise(word)
@@ -180,7 +196,7 @@ def histories(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> list[np
 
 def chunk_rows(model: Model, ids, sizes, words, wanted=None):
     """Of a chunk's tokens (those wanted): class, member, and for each layer the rows of its features."""
-    hashes = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint32, len(words))
+    hashes = np.fromiter(map(zlib.crc32, map(str.encode, words)), np.uint32, len(words))
     bucket = model.buckets(words)[ids]
     features = histories(ids, sizes, hashes)
     if wanted is not None:
