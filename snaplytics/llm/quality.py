@@ -9,11 +9,12 @@ text of n words costs n log n and no row leaves its task.
 The method: every document becomes a vector of four transformed statistics (log mean
 word length, root of symbols per word, shares of repeated lines and of repeated words),
 rounded to integers so that sums do not depend on their order. For each language and
-source an estimate in the manner of the minimum covariance determinant (one start, fixed
-steps, determinants not compared) is fitted to the documents that pass
-the base rules: start from medians and quartile ranges, then repeat concentration steps
-(Mahalanobis distances of all rows, keep the nearest share, take their mean and
-covariance). The share's cut is found on a histogram of log distances, so a group of any
+source the minimum covariance determinant is estimated from the documents that pass
+the base rules: from three starts (medians with quartile ranges, means with standard deviations,
+lower quartiles with quartile ranges) concentration steps are repeated (Mahalanobis
+distances of all rows, keep the nearest share, take their mean and covariance) as long as the
+determinant falls, at most ``MAX_STEPS`` times, and of the starts the one with the least determinant
+is kept. The share's cut is found on a histogram of log distances, so a group of any
 size is only summed, never gathered or sorted. Distances are scaled down where the group's
 median distance is above that of a normal sample; a document beyond the cutoff is rejected.
 
@@ -39,7 +40,8 @@ MIN_WORDS = 50          # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50  # base rule: a larger share of repeated words fails
 SYMBOLS = r"[^#*$%&|<>]+"
 CORE_SHARE = 0.55       # of a group's rows, those nearest to its centre carry the estimate
-STEPS = 3               # concentration steps
+MAX_STEPS = 8           # concentration steps at most
+STARTS = 3
 MIN_GROUP = 100
 MIN_FIT = 20
 CUTOFF = 28.473         # scaled squared distance beyond which a document is rejected: the 0.99999 quantile
@@ -116,13 +118,44 @@ def cholesky(cov: dict[tuple[int, int], Column], df: DataFrame) -> DataFrame:
     return df
 
 
+def determinant() -> Column:
+    """Of the covariance, from its factor."""
+    out = F.col("l00") * F.col("l00")
+    for i in range(1, DIM):
+        out = out * (F.col(f"l{i}{i}") * F.col(f"l{i}{i}"))
+    return out
+
+
+KEYS = ("g_lang", "g_source", "start")
+
+
 def distance_cut(rows: DataFrame, share: float, name: str) -> DataFrame:
-    """Per group: the log-distance bin that completes ``share`` of its rows."""
-    order = Window.partitionBy("g_lang", "g_source").orderBy("bin")
-    bins = rows.groupBy("g_lang", "g_source", "bin").agg(F.count(F.lit(1)).alias("c"))
+    """Per group and start: the log-distance bin that completes ``share`` of the rows."""
+    order = Window.partitionBy(*KEYS).orderBy("bin")
+    bins = rows.groupBy(*KEYS, "bin").agg(F.count(F.lit(1)).alias("c"))
     bins = bins.withColumn("cum", F.sum("c").over(order)) \
-        .withColumn("all", F.sum("c").over(Window.partitionBy("g_lang", "g_source")))
-    return bins.filter(F.col("cum") >= F.col("all") * share).groupBy("g_lang", "g_source").agg(F.min("bin").alias(name))
+        .withColumn("all", F.sum("c").over(Window.partitionBy(*KEYS)))
+    return bins.filter(F.col("cum") >= F.col("all") * share).groupBy(*KEYS).agg(F.min("bin").alias(name))
+
+
+def same_keys(prefix: str) -> Column:
+    return (F.col("g_lang") == F.col(f"{prefix}_lang")) & (F.col("g_source") == F.col(f"{prefix}_source")) & (F.col("start") == F.col(f"{prefix}_start"))
+
+
+def starting_points(rows: DataFrame) -> DataFrame:
+    """KEYS, n, m0.., s0..: centres and spreads from which the steps begin."""
+    x = [F.col(f"v{i}").cast("double") for i in range(DIM)]
+    stats = rows.groupBy("g_lang", "g_source").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"a{i}") for i in range(DIM)], *[F.sum(x[i] * x[i]).alias(f"b{i}") for i in range(DIM)],
+        *[F.percentile(f"v{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p{i}") for i in range(DIM)])
+    stats = stats.withColumns({f"a{i}": F.col(f"a{i}") / F.col("n") for i in range(DIM)})
+    ranges = [((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349).alias(f"s{i}") for i in range(DIM)]
+    spreads = [F.sqrt(F.greatest(F.col(f"b{i}") / F.col("n") - F.col(f"a{i}") * F.col(f"a{i}"), F.lit(0.0))).alias(f"s{i}") for i in range(DIM)]
+    kinds = ([F.col(f"p{i}")[1].alias(f"m{i}") for i in range(DIM)] + ranges,
+             [F.col(f"a{i}").alias(f"m{i}") for i in range(DIM)] + spreads,
+             [F.col(f"p{i}")[0].alias(f"m{i}") for i in range(DIM)] + ranges)
+    points = F.array(*[F.struct(F.lit(k).alias("start"), *kind) for k, kind in enumerate(kinds)])
+    return stats.select("g_lang", "g_source", "n", F.explode(points).alias("p")).select("g_lang", "g_source", "n", "p.*")
 
 
 def fit_groups(fit: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -140,34 +173,39 @@ def fit_groups(fit: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.struct(small.alias("pool"), F.when(~small, F.col("k_source")).alias("v")).alias("g_source")), "mcd-groups")
     rows = staged(join_groups(fit, groups).select("g_lang", "g_source", *[f"v{i}" for i in range(DIM)]), "mcd-rows")
 
-    start = rows.groupBy("g_lang", "g_source").agg(
-        F.count(F.lit(1)).alias("n"), *[F.percentile(f"v{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p{i}") for i in range(DIM)])
-    start = start.select("g_lang", "g_source", "n", *[F.col(f"p{i}")[1].alias(f"m{i}") for i in range(DIM)], *[
-        ((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349).alias(f"s{i}") for i in range(DIM)])
-    cov = {(i, j): F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0) for i in range(DIM) for j in range(i + 1)}
-    estimate = staged(cholesky(cov, start).drop(*[f"s{i}" for i in range(DIM)]), "mcd-start")
+    pairs = [(i, j) for i in range(DIM) for j in range(i + 1)]
+    cov = {(i, j): F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0) for i, j in pairs}
+    columns = ["n", *[f"m{i}" for i in range(DIM)], *[f"l{i}{j}" for i, j in pairs], "det"]
+    estimate = cholesky(cov, starting_points(rows)).withColumn("det", F.lit(float("inf")))
+    estimate = staged(estimate.select(*KEYS, *columns), "mcd-start")
 
-    for step in range(STEPS):
+    for step in range(MAX_STEPS):
         near = placed(rows, estimate)
         cut = staged(distance_cut(near, CORE_SHARE, "cut"), f"mcd-cut{step}")
-        near = near.join(broadcast_if_small(cut.toDF("c_lang", "c_source", "cut")),
-                         (F.col("g_lang") == F.col("c_lang")) & (F.col("g_source") == F.col("c_source")))
+        near = near.join(broadcast_if_small(cut.toDF("c_lang", "c_source", "c_start", "cut")), same_keys("c"))
         core = near.filter(F.col("bin") <= F.col("cut"))
         x = [F.col(f"v{i}").cast("double") for i in range(DIM)]
-        pairs = [(i, j) for i in range(DIM) for j in range(i + 1)]
-        sums = core.groupBy("g_lang", "g_source").agg(
+        sums = core.groupBy(*KEYS).agg(
             F.count(F.lit(1)).alias("k"), *[F.sum(x[i]).alias(f"m{i}") for i in range(DIM)],
             *[F.sum(x[i] * x[j]).alias(f"q{i}{j}") for i, j in pairs])
-        means = sums.select("g_lang", "g_source", F.col("k").alias("n"), *[(F.col(f"m{i}") / F.col("k")).alias(f"m{i}") for i in range(DIM)],
+        means = sums.select(*KEYS, F.col("k").alias("n"), *[(F.col(f"m{i}") / F.col("k")).alias(f"m{i}") for i in range(DIM)],
                             *[(F.col(f"q{i}{j}") / F.col("k")).alias(f"q{i}{j}") for i, j in pairs])
         cov = {(i, j): F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") for i, j in pairs}
-        estimate = staged(cholesky(cov, means).drop(*[f"q{i}{j}" for i, j in pairs]), f"mcd-step{step}")
-
+        new = cholesky(cov, means).withColumn("det", determinant()).select(*KEYS, F.struct(*columns).alias("new"))
+        old = estimate.select(*[F.col(k).alias(f"o_{k.removeprefix('g_')}") for k in KEYS], F.struct(*columns).alias("old"))
+        falls = F.col("new.det") < F.col("old.det")
+        both = new.join(broadcast_if_small(old), same_keys("o")).select(*KEYS, falls.alias("falls"), F.when(falls, F.col("new")).otherwise(F.col("old")).alias("e"))
+        both = staged(both, f"mcd-step{step}")
+        estimate = both.select(*KEYS, "e.*")
+        if both.filter("falls").isEmpty():
+            break
+
+    best = F.min_by(F.struct("start", *columns), F.struct("det", "start"))
+    estimate = staged(estimate.groupBy("g_lang", "g_source").agg(best.alias("e")).select("g_lang", "g_source", "e.*"), "mcd-best")
     middle = distance_cut(placed(rows, estimate), 0.5, "middle")
     scale = F.greatest((F.exp((F.col("middle") + 1) / BINS) - 1) / MEDIAN_CHI2, F.lit(1.0))
-    estimate = estimate.join(middle.toDF("c_lang", "c_source", "middle"),
-                             (F.col("g_lang") == F.col("c_lang")) & (F.col("g_source") == F.col("c_source")))
-    return groups, staged(estimate.withColumn("scale", scale).drop("c_lang", "c_source", "middle"), "mcd-estimate")
+    estimate = estimate.join(middle.toDF("c_lang", "c_source", "c_start", "middle"), same_keys("c"))
+    return groups, staged(estimate.withColumn("scale", scale).drop("c_lang", "c_source", "c_start", "middle", "start"), "mcd-estimate")
 
 
 def join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -176,11 +214,11 @@ def join_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def placed(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """Rows with their log-distance bin under the estimate."""
-    e = estimate.withColumnsRenamed({"g_lang": "e_lang", "g_source": "e_source"}).drop("n")
+    """Rows with their log-distance bin under each start's estimate of their group."""
+    e = estimate.withColumnsRenamed({"g_lang": "e_lang", "g_source": "e_source"}).drop("n", "det")
     rows = rows.join(broadcast_if_small(e), (F.col("g_lang") == F.col("e_lang")) & (F.col("g_source") == F.col("e_source")))
     d2 = squared_distance([F.col(f"v{i}") for i in range(DIM)])
-    return rows.select("g_lang", "g_source", *[f"v{i}" for i in range(DIM)],
+    return rows.select(*KEYS, *[f"v{i}" for i in range(DIM)],
                        F.floor(F.ln(1 + d2) * BINS).cast("long").alias("bin"))
 
 
@@ -244,24 +282,37 @@ def oracle_sql() -> str:
     d2 = "(" + " + ".join(f"z{i} * z{i}" for i in dims) + ")"
     m, v = ", ".join(f"m{i}" for i in dims), ", ".join(f"v{i}" for i in dims)
     chars = "\\x20\\x09-\\x0D"
+    each = lambda text: ", ".join(text.replace("#", str(i)) for i in dims)
+    det = " * ".join(f"(l{i}{i} * l{i}{i})" for i in dims)
     steps = [f"""
-e0 AS (SELECT g, n, {m}, {factor(lambda i, j: f"s{i} * s{i}" if i == j else "0.0::DOUBLE")} FROM (
-  SELECT g, count(*) AS n, {", ".join(f"quantile_cont(v{i}, 0.5)::DOUBLE AS m{i}, ((quantile_cont(v{i}, 0.75) - quantile_cont(v{i}, 0.25)) / 1.349)::DOUBLE AS s{i}" for i in dims)}
-  FROM r GROUP BY g))"""]
+a0 AS MATERIALIZED (
+  SELECT g, count(*) AS n, {each("quantile_cont(v#, 0.25)::DOUBLE AS lo#, quantile_cont(v#, 0.5)::DOUBLE AS mid#, quantile_cont(v#, 0.75)::DOUBLE AS hi#")},
+         {each("avg(v#::DOUBLE) AS a#, avg(v#::DOUBLE * v#) AS b#")} FROM r GROUP BY g),
+b0 AS (
+  SELECT g, 0 AS s, n, {each("mid# AS m#, (hi# - lo#) / 1.349::DOUBLE AS s#")} FROM a0 UNION ALL
+  SELECT g, 1, n, {each("a#, sqrt(greatest(b# - a# * a#, 0.0::DOUBLE))")} FROM a0 UNION ALL
+  SELECT g, 2, n, {each("lo#, (hi# - lo#) / 1.349::DOUBLE")} FROM a0),
+e0 AS MATERIALIZED (
+  SELECT g, s, n, {m}, {factor(lambda i, j: f"s{i} * s{i}" if i == j else "0.0::DOUBLE")}, 'infinity'::DOUBLE AS det FROM b0)"""]
 
     def placed(k: int, share: float) -> str:
         return f"""
-p{k} AS (SELECT g, {v}, {z}, floor(ln(1 + {d2}) * {BINS}) AS bin FROM r JOIN e{k} USING (g)),
-c{k} AS (SELECT g, min(bin) AS cut FROM (
-  SELECT g, bin, sum(count(*)) OVER (PARTITION BY g ORDER BY bin) AS cum, sum(count(*)) OVER (PARTITION BY g) AS whole FROM p{k} GROUP BY g, bin)
-  WHERE cum >= whole * {share}::DOUBLE GROUP BY g)"""
+p{k} AS MATERIALIZED (SELECT g, s, {v}, {z}, floor(ln(1 + {d2}) * {BINS}) AS bin FROM r JOIN e{k} USING (g)),
+c{k} AS (SELECT g, s, min(bin) AS cut FROM (
+  SELECT g, s, bin, sum(count(*)) OVER (PARTITION BY g, s ORDER BY bin) AS cum, sum(count(*)) OVER (PARTITION BY g, s) AS whole FROM p{k} GROUP BY g, s, bin)
+  WHERE cum >= whole * {share}::DOUBLE GROUP BY g, s)"""
 
-    for k in range(STEPS):
+    columns = ["n", *[f"m{i}" for i in dims], *[f"l{i}{j}" for i, j in pairs], "det"]
+    for k in range(MAX_STEPS):
         steps += [placed(k, CORE_SHARE), f"""
-e{k + 1} AS (SELECT g, n, {m}, {factor(lambda i, j: f"q{i}{j} - m{i} * m{j}")} FROM (
-  SELECT g, count(*) AS n, {", ".join(f"avg(v{i}::DOUBLE) AS m{i}" for i in dims)}, {", ".join(f"avg(v{i}::DOUBLE * v{j}) AS q{i}{j}" for i, j in pairs)}
-  FROM p{k} JOIN c{k} USING (g) WHERE bin <= cut GROUP BY g))"""]
-    steps.append(placed(STEPS, 0.5))
+n{k + 1} AS (SELECT *, {det} AS det FROM (SELECT g, s, n, {m}, {factor(lambda i, j: f"q{i}{j} - m{i} * m{j}")} FROM (
+  SELECT g, s, count(*) AS n, {each("avg(v#::DOUBLE) AS m#")}, {", ".join(f"avg(v{i}::DOUBLE * v{j}) AS q{i}{j}" for i, j in pairs)}
+  FROM p{k} JOIN c{k} USING (g, s) WHERE bin <= cut GROUP BY g, s))),
+e{k + 1} AS MATERIALIZED (SELECT g, s, {", ".join(f"CASE WHEN f.det < o.det THEN f.{c} ELSE o.{c} END AS {c}" for c in columns)}
+  FROM n{k + 1} f JOIN e{k} o USING (g, s))"""]
+    last = MAX_STEPS + 1
+    steps.append(f"""
+e{last} AS MATERIALIZED (SELECT DISTINCT ON (g) * FROM e{MAX_STEPS} ORDER BY g, det, s),""" + placed(last, 0.5).lstrip())
     return f"""
 WITH t AS (
   SELECT row_number() OVER () AS i, doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^{chars}]+') AS ws,
@@ -287,7 +338,7 @@ k AS (SELECT a, b, n, sum(n) FILTER (WHERE n < {MIN_GROUP}) OVER (PARTITION BY a
 r AS (SELECT i, {v}, CASE WHEN n >= {MIN_GROUP} THEN 'own' || a || ' ' || b WHEN pool >= {MIN_GROUP} THEN 'pool' || a ELSE 'all' END AS g FROM f JOIN k USING (a, b)),
 {",".join(steps)},
 o AS (SELECT i, n >= {MIN_FIT} AND {d2} / greatest((exp((cut + 1) / {BINS}.0::DOUBLE) - 1) / {MEDIAN_CHI2}, 1.0) > {CUTOFF} AS far
-      FROM (SELECT i, n, cut, {z} FROM r JOIN e{STEPS} USING (g) JOIN c{STEPS} USING (g)))
+      FROM (SELECT i, n, cut, {z} FROM r JOIN e{last} USING (g) JOIN c{last} USING (g)))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(far, false) AS kept
 FROM s LEFT JOIN o USING (i)
 """
