@@ -2,6 +2,10 @@
 
 Quality rules, line dedup, SimHash near-dedup, source mixing, byte-level BPE. Every stage
 takes the documents its predecessor kept; all but the last return documents' columns.
+
+Cases, for every stage: columns beyond documents' own pass through untouched, whatever their
+names; an empty table gives an empty result; null ids, languages and sources are values like
+others. What a stage does with null and empty texts, ties and repeated rows stands with it.
 """
 
 from __future__ import annotations
@@ -13,27 +17,31 @@ from snaplytics.llm.common import staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules or the outlier test reject go."""
+    """Documents that the rules or the outlier test reject go. Null and empty texts have no words and go;
+    repeated rows are judged alike."""
     return quality.keep_good(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated and nearly repeated lines go; every document stays."""
+    """Repeated and nearly repeated lines go; every document stays. Of equal lines the first by document and
+    line number stays; null, empty and blank texts stay as they are; rows that repeat id and text are one document."""
     return line_dedup.dedup_lines(docs)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays."""
+    """One document of each SimHash component stays: the least ``doc_id`` (null only when there is no other).
+    Null and empty texts share fingerprint zero; of rows that repeat an id one stays."""
     return simhash.dedup(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; a text without words weighs nothing and goes
+    with its source's whole epochs. Equal keys are ordered by id and text, so reruns agree; repeated rows go together."""
     return mixing.mix_sources(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the decoded text."""
+    """doc_id, n_tokens and the digests of the ids and of the decoded text, for every row; a null text is empty."""
     return bpe.encode_documents(docs)
 
 

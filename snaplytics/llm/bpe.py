@@ -29,6 +29,7 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
@@ -89,6 +90,7 @@ class ByteBpe:
         byte_of = {c: b for b, c in enumerate(shown)}
         self.bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in self.tokenizer.get_vocab().items()}
         self.memo: dict[str, bytes] = {}
+        self.spans: dict[str, np.ndarray] = {}
 
     def encode(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """Ids and the character offsets each covers."""
@@ -112,6 +114,26 @@ class ByteBpe:
             self.memo = {}
         return out
 
+    def offsets_all(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The first character of each text's tokens and the one after their last (tokens that share a
+        split character both cover it): offsets inside each part, moved by where the part begins."""
+        cut = [independent_parts(t) for t in texts]
+        new = [p for p in {p for parts in cut for p in parts} if p not in self.spans]
+        if len(self.spans) + len(new) > MEMO_PARTS:
+            self.spans = {}
+            new = list({p for parts in cut for p in parts})
+        for start in range(0, len(new), 20_000):
+            some = new[start:start + 20_000]
+            for part, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                self.spans[part] = np.array(found.offsets, np.int32).reshape(-1, 2)
+        out = []
+        for parts in cut:
+            begins = np.cumsum([0, *map(len, parts)])[:-1]
+            spans = [self.spans[p] + np.int32(b) for p, b in zip(parts, begins)]
+            whole = np.concatenate(spans) if spans else np.empty((0, 2), np.int32)
+            out.append((whole[:, 0], whole[:, 1]))
+        return out
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -153,8 +175,10 @@ def load(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, little-endian, on request)."""
+def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, with_ids: bool = False,
+                     with_offsets: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256; on request also ids (little-endian), and starts and ends:
+    each token's character offsets in the text."""
     path, pattern = path or default_vocabulary(), pattern or default_pattern()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,11 +196,16 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
                     columns, names = [*columns, pa.array(coded, pa.binary())], [*names, "ids"]
+                if with_offsets:
+                    spans = bpe.offsets_all([t or "" for t in some.column(1).to_pylist()])
+                    columns += [pa.array([s[k] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
+                    names = [*names, "starts", "ends"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
-        encode, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids binary" if with_ids else ""))
+        encode, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        + ", ids binary" * with_ids + ", starts array<int>, ends array<int>" * with_offsets)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -6,6 +6,9 @@ between rounds, so an expected constant share of the nodes goes in each; long ch
 need no more rounds than stars. A hub's edges are combined before they are shuffled, and
 relabelling joins against one row per node (AQE splits a hub's edges). Rounds are
 written to the shared folder; nothing comes to the driver but edge counts.
+
+Cases: repeated edges, both directions of one edge and loops change nothing; an edge with
+a null end is no edge; a node without edges is not in the result; no edges, no rows.
 """
 
 from __future__ import annotations

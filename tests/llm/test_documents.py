@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from snaplytics.llm import bpe, exact_dedup, graph, line_dedup, lm, mixing, quality, simhash
 
-from .tables import CLASH, DOCS, documents, document_rows, rows_of
+from .tables import CLASH, DOCS, documents, document_rows, prose, rows_of
 
 GAPS = " \t\n\x0b\x0c\r"
 
@@ -309,6 +310,18 @@ def test_keys_meet_for_every_pair_within_the_threshold(spark):
     assert met.select("h").distinct().count() == len(pairs)
 
 
+def test_offsets_equal_those_of_whole_texts(spark):
+    texts = [r[1] for r in document_rows()[:20]] + [None, "", " a  b\tc\n\n d ", "naïve 漢字 😀😀 x\u200d y é " * 30, "don't stop  now", "a" * 300]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], DOCS)
+    whole = bpe.load(bpe.default_vocabulary(), bpe.default_pattern())
+    got = bpe.encode_documents(docs, with_ids=True, with_offsets=True).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids, offsets = whole.encode(texts[r.doc_id] or "")
+        assert list(memoryview(bytes(r.ids)).cast("I")) == ids and r.n_tokens == len(ids)
+        assert list(zip(r.starts, r.ends)) == [tuple(o) for o in offsets]
+
+
 # ---- quality
 
 
@@ -347,7 +360,7 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert kept == {i for i in range(400) if i % 10}
 
 
-@pytest.mark.parametrize("share", [30, 40])
+@pytest.mark.parametrize("share", [30, 40, 44])
 def test_outliers_go_when_they_are_a_large_share_of_a_source(spark, share):
     rng = np.random.default_rng(6)
     rows, junk = [], set()
@@ -361,6 +374,35 @@ def test_outliers_go_when_they_are_a_large_share_of_a_source(spark, share):
     assert {r.doc_id for r in report if not r.kept} == junk
 
 
+def test_least_determinant_of_the_starts_is_kept(spark):
+    """Against a plain version: every start's steps while the determinant falls, then the least."""
+    rng = np.random.default_rng(12)
+    v = np.vstack([rng.normal((1500, 300, 0, 100), (60, 40, 25, 50), (260, 4)), rng.normal((2500, 1500, 400, 300), 90, (160, 4))]).round().astype(int)
+    rows = spark.createDataFrame([("en", "hot", *map(int, r)) for r in v], "lang string, source string, v0 long, v1 long, v2 long, v3 long")
+    got = quality.fit_groups(rows)[1].first()
+
+    def factor(cov):
+        return np.linalg.cholesky(cov + np.diag([f ** 2 for f in quality.FLOORS]))
+    def bins(m, low):
+        return np.floor(np.log1p((np.linalg.solve(low, (v - m).T) ** 2).sum(0)) * quality.BINS)
+    quarter, half, three = (np.quantile(v, q, axis=0) for q in (0.25, 0.5, 0.75))
+    width = np.diag(((three - quarter) / 1.349) ** 2)
+    found = []
+    for m, cov in ((half, width), (v.mean(0), np.diag(v.var(0))), (quarter, width)):
+        low, det = factor(cov), np.inf
+        for _ in range(quality.MAX_STEPS):
+            b = bins(m, low)
+            cut = np.sort(b)[int(np.ceil(len(v) * quality.CORE_SHARE)) - 1]
+            core = v[b <= cut]
+            new = factor(np.cov(core.T, bias=True))
+            new_det = np.prod(np.diag(new) ** 2)
+            if new_det >= det:
+                break
+            m, low, det = core.mean(0), new, new_det
+        found.append((det, *m))
+    assert [got.det, got.m0, got.m1, got.m2, got.m3] == pytest.approx(min(found))
+
+
 # ---- exact dedup
 
 
@@ -378,6 +420,88 @@ def test_index_persists_over_batches(spark, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
+def plain_lm(docs, held, rounds):
+    """The model token by token, with Python integers and one dictionary of weights."""
+    import zlib
+    from collections import Counter, defaultdict
+    texts = {i: (t or "").encode().lower().split() + [b""] for i, t in docs}
+    count = Counter(w for i, ws in texts.items() if not held(i) for w in ws)
+    n, v = sum(count.values()), len(count)
+    own = {w: k for k, (w, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0]))[:lm.OWN_BUCKETS])}
+    bucket = lambda w: own[w] if w in own else lm.shared_bucket(w.decode())
+    tokens, words = Counter(), Counter()
+    for w, c in count.items():
+        tokens[bucket(w)] += c
+        words[bucket(w)] += 1
+    sizes = np.array([tokens[b] + 1.0 for b in range(lm.BUCKETS)]).reshape(lm.CLASSES, lm.MEMBERS)
+    bias = [np.log(sizes.sum(1) / sizes.sum()), np.log(sizes / sizes.sum(1, keepdims=True))]
+
+    def mix(a, b):
+        x = (a * 0x9E3779B1 & 0xFFFFFFFF) ^ b
+        x = ((x ^ x >> 15) * 0x85EBCA77) & 0xFFFFFFFF
+        return x ^ x >> 13
+
+    def events(ws):
+        for at, w in enumerate(ws):
+            one, two = (zlib.crc32(ws[at - k]) if at >= k else lm.START for k in (1, 2))
+            features = [mix(one, 1), mix(two, 2), mix(one, mix(two, 3))]
+            cls, member = divmod(bucket(w), lm.MEMBERS)
+            yield w, cls, member, [[(0, k, f % lm.ROWS) for k, f in enumerate(features)],
+                                   [(1, k, mix(f, cls + 7) % lm.ROWS) for k, f in enumerate(features)]]
+    weights = defaultdict(lambda: np.zeros(lm.MEMBERS))
+
+    def probabilities(layer, rows, cls):
+        z = sum((weights[r] for r in rows), bias[1][cls] if layer else bias[0])
+        return np.exp(z) / np.exp(z).sum()
+    for _ in range(rounds):
+        seen, want = (defaultdict(lambda: np.zeros(lm.MEMBERS)) for _ in range(2))
+        for i, ws in texts.items():
+            if not held(i):
+                for _, cls, member, rows in events(ws):
+                    for layer, y in ((0, cls), (1, member)):
+                        p = probabilities(layer, rows[layer], cls)
+                        for r in rows[layer]:
+                            seen[r][y] += 1
+                            want[r] += p
+        for r in seen:
+            step = (seen[r] - want[r]) / (0.5 * (seen[r] + want[r]) + lm.PRIOR)
+            weights[r] = weights[r] + np.clip(step, -lm.MAX_STEP, lm.MAX_STEP) / lm.FEATURES * 1.5
+    return {i: sum(np.log10(probabilities(0, rows[0], cls)[cls]) + np.log10(probabilities(1, rows[1], cls)[member])
+                   + np.log10((count[w] + 1) / (tokens[bucket(w)] + words[bucket(w)] + 1)) for w, cls, member, rows in events(ws))
+            for i, ws in texts.items()}
+
+
+@pytest.mark.parametrize("rounds", [2, 3])
+def test_lm_scores_equal_a_plain_model(spark, monkeypatch, rounds):
+    monkeypatch.setattr(lm, "BLOCK", 64)
+    monkeypatch.setattr(lm, "BATCH", 16)
+    rng = random.Random(2)
+    rows = [(i, prose(rng, rng.randint(0, 50)), "en", "s") for i in range(60)]
+    rows += [(60 + i, rows[3][1], "en", "s") for i in range(20)] + [(90, None, "en", "s"), (91, "Ünï 漢字 unseen-word A A A", "de", "s")]
+    held = F.col("doc_id") % 5 == 2
+    got = {r.doc_id: r.score for r in lm.lm_scores(documents(spark, rows=rows), held, rounds).collect()}
+    want = plain_lm([r[:2] for r in rows], lambda i: i % 5 == 2, rounds)
+    assert got.keys() == want.keys()
+    assert all(got[i] == pytest.approx(want[i], rel=1e-4, abs=1e-3) for i in want)
+
+
+def test_expected_counts_of_distinct_tuples_equal_those_of_tokens():
+    rng = np.random.default_rng(4)
+    model = lm.Model({}, np.arange(lm.BUCKETS) * 1.0, np.ones(lm.BUCKETS))
+    model.weights += rng.normal(0, 0.3, model.weights.shape).astype(np.float32)
+    n = 70_000
+    rows = [rng.integers(0, 9 if k else 4096, n).astype(np.uint16) for k in range(3)]
+    cls = rng.integers(0, lm.CLASSES, n)
+    for layer in (0, 1):
+        expected = np.zeros((2, 3, lm.ROWS, lm.MEMBERS))
+        lm.add_expected(model, layer, rows, cls, expected)
+        p, total = model.layer(layer, rows, cls)
+        for k in range(3):
+            plain = np.zeros((lm.ROWS, lm.MEMBERS))
+            np.add.at(plain, rows[k], p / total[:, None])
+            assert np.allclose(expected[layer, k], plain, rtol=1e-4, atol=1e-3)
+
+
 def test_report_on_later_batches(spark, tmp_path):
     name = exact_dedup.create_index(spark, "test_digest_batches", str(tmp_path / "index"), buckets=4)
     def batch(rows):

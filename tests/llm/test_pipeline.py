@@ -2,15 +2,18 @@
 
 import hashlib
 
+import pytest
+
 import corpus_pipeline
 from snaplytics.llm.common import staged
 
 from .tables import documents
 
 
-def test_stages_in_order_and_run_agree(spark, tmp_path):
+@pytest.mark.parametrize("extra", [False, True])
+def test_stages_in_order_and_run_agree(spark, tmp_path, extra):
     path = str(tmp_path)
-    documents(spark).coalesce(2).write.parquet(f"{path}/documents.parquet")
+    documents(spark, extra=extra).coalesce(2).write.parquet(f"{path}/documents.parquet")
     docs = spark.read.parquet(f"{path}/documents.parquet")
     columns, sizes = docs.columns, [docs.count()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
