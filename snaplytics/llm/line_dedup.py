@@ -2,34 +2,44 @@
 
 All lines that are not blank take part. Lines with equal text are one class. Two classes of
 at least ``MIN_CHARS`` code points (trimmed) are linked when their texts are within
-``MAX_EDITS`` edits; shorter lines are compared for equality only. A line
+``MAX_EDITS`` edits of code points, or, when both have at least ``MIN_WORDS`` words, within
+``WORD_EDITS`` edits of words (so a long line with one word replaced, left out or added is
+linked however long the word); shorter lines are compared for equality only. A line
 stays when it is the first occurrence of its text (by document, then line number) and no
 linked text occurs earlier.
 
-The join: a line of length l is cut into MAX_EDITS + 1 even segments; edits can touch all but
+The join, alike for code points and words as units: a line of l units is cut into
+edits + 1 even segments; edits can touch all but
 one, so a linked line of length l + d holds one segment unchanged, shifted by few places.
-Every line enters its own segments (keyed by length, place and text) and probes, for each
+Every distinct line enters its own segments (keyed by length, place and text) and probes, for each
 shorter length within the threshold, the few substrings that the length-aware shift
 bounds allow. Keys met by only one text are dropped by an aggregate that combines before
 the shuffle; only lines that share a key carry their text into the join, where the
-edit distance (banded, cut off at the threshold) is the join condition, so unverified pairs
-are never output. A key that many texts share is split by the skew handling of the join.
+edit distance is the join condition, so unverified pairs are never output: for code points
+Spark's banded distance, cut off at the threshold, after letter counts; for words the banded
+bit-parallel ``within_edits``, after a banded distance over one letter a word.
+A key that many texts share is split by the skew handling of the join.
 
 Cases: a null or empty text has no lines and stays as it is; blank lines always
-stay; equal lines inside one document count like any other repeat; rows that repeat both
+stay; equal lines inside one document count like any other repeat; lines of the same words
+in other white space are no word edit apart; rows that repeat both
 ``doc_id`` and text are one document and share the verdicts; a null ``doc_id`` sorts last;
 an empty table gives an empty result; extra columns are kept by ``dedup_lines``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP_CHARS, broadcast_if_small, staged, table, unclash
+from .common import GAP_CHARS, broadcast_if_small, staged, table, unclash, word_array
 
 MAX_EDITS = 2
 MIN_CHARS = 20          # shorter lines have no edit links
+WORD_EDITS = 1
+MIN_WORDS = 10          # lines of fewer words have no links by words
 NOT_BLANK = 1           # code points of the shortest line that is deduplicated and reported
 LETTERS = "etaonisr"    # letters counted to tell pairs apart before their distance is measured
 
@@ -41,22 +51,50 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1)]
 
 
-def with_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """(line, size, h) -> key, own, line, h for all keys of each line; own marks its own
+def with_keys(lines: DataFrame, edits: int, by_words: bool = False) -> DataFrame:
+    """(line, size, h) -> key, own, line, h for all keys of each line, in code points or (with a
+    column ``words``) in words; own marks its own
     segments. The probes are rows, not twelve expressions: one small projection that the JVM
     compiles, where an array of all keys makes a method too large for it."""
     specs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in probes(edits)])
     parts = edits + 1
-    rows = lines.select("line", "h", "size", F.explode(specs).alias("p"))
-    rows = rows.select("line", "h", (F.col("size") - F.col("p.d")).alias("target"), F.col("p.i").alias("i"), F.col("p.s").alias("s"),
+    units, length = (F.col("words"), F.size("words")) if by_words else (F.col("line"), F.col("size"))
+    rows = lines.select("line", "h", units.alias("units"), length.alias("length"), F.explode(specs).alias("p"))
+    rows = rows.select("line", "h", "units", (F.col("length") - F.col("p.d")).alias("target"), F.col("p.i").alias("i"), F.col("p.s").alias("s"),
                        ((F.col("p.d") == 0) & (F.col("p.s") == 0)).alias("own"))
     # even segments, the longer ones last
     longer = F.col("target") % parts
     small = ((F.col("target") - longer) / parts).cast("int")
     start = small * F.col("i") + F.greatest(F.lit(0), F.col("i") + longer - parts) + F.col("s") + 1
     size = small + (F.col("i") >= parts - longer).cast("int")
-    key = F.xxhash64(F.substring(F.col("line"), start, size), F.col("i"), F.col("target"))
-    return rows.select(key.alias("key"), "own", "line", "h")
+    piece = F.slice("units", start, size) if by_words else F.substring(F.col("units"), start, size)
+    return rows.select(F.xxhash64(piece, F.col("i"), F.col("target")).alias("key"), "own", "line", "h")
+
+
+def within_edits(a: Column, b: Column, edits: int) -> Column:
+    """Whether two arrays are at most ``edits`` edits apart: banded and bit-parallel.
+
+    Row d holds 2 * edits + 1 bits; after j items of b, its bit t says that the first
+    j + t - edits items of a are within d edits of them. Items past either end of a match nothing.
+    """
+    width = 2 * edits + 1
+    full = (1 << width) - 1
+    masks = F.transform(b, lambda item, j: sum(
+        (F.when(F.get(a, j + (t - edits)) == item, F.lit(1 << t)).otherwise(F.lit(0)) for t in range(1, width)),
+        F.when(F.get(a, j - edits) == item, F.lit(1)).otherwise(F.lit(0))))
+
+    def step(rows: Column, same: Column) -> Column:
+        new = [rows["r0"].bitwiseAND(same)]
+        for d in range(1, edits + 1):
+            old = rows[f"r{d - 1}"]
+            changed = old.bitwiseOR(F.shiftright(old, 1)).bitwiseOR(F.shiftleft(new[-1], 1).bitwiseAND(F.lit(full)))
+            new.append(rows[f"r{d}"].bitwiseAND(same).bitwiseOR(changed))
+        return F.struct(*[r.alias(f"r{d}") for d, r in enumerate(new)])
+
+    start = F.struct(*[F.lit(((1 << (d + 1)) - 1) << edits).alias(f"r{d}") for d in range(edits + 1)])
+    end = F.aggregate(masks, start, step)[f"r{edits}"]
+    apart = F.size(a) - F.size(b)
+    return (F.abs(apart) <= edits) & (F.getbit(end, F.greatest(F.lit(0), F.least(F.lit(width - 1), apart + edits))) == 1)
 
 
 def order_of(doc: Column, text_hash: Column, line_no: Column) -> Column:
@@ -73,23 +111,53 @@ def eligible_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return lines.filter("l.long").select("doc_id", "text_hash", "l.line_no", "l.line", "l.size", "l.h")
 
 
-def line_links(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(a, b) for every ordered pair of different texts within ``edits`` edits, by text digest."""
-    lines = eligible_lines(docs, min_chars).select("line", "size", "h")
-    keyed = with_keys(lines, edits)
+def sharing(keyed: DataFrame, name: str) -> DataFrame:
+    """key, own, line of the keys that different texts share, one of them by its own segment."""
     met = keyed.groupBy("key").agg(
         F.min("h").alias("least"), F.max("h").alias("most"), F.max("own").alias("own"))
-    met = staged(met.filter((F.col("least") != F.col("most")) & F.col("own")).select(F.col("key").alias("m_key")), "line-keys")
-    near = keyed.join(broadcast_if_small(met), F.col("key") == F.col("m_key"), "left_semi").select("key", "own", "line").distinct()
+    met = staged(met.filter((F.col("least") != F.col("most")) & F.col("own")).select(F.col("key").alias("m_key")), f"{name}-keys")
+    return keyed.join(broadcast_if_small(met), F.col("key") == F.col("m_key"), "left_semi").select("key", "own", "line").distinct()
+
+
+def joined(near: DataFrame, close: Callable[[str, str], Column]) -> DataFrame:
+    """a, b (digests) of the texts that share a key and are close, the first by its own segment."""
+    cells = [c for c in near.columns if c not in ("key", "own")]
+    own = near.filter("own").select("key", *[F.col(c).alias(f"a_{c}") for c in cells])
+    probe = near.select(F.col("key").alias("p_key"), *[F.col(c).alias(f"b_{c}") for c in cells])
+    found = own.join(probe.hint("merge"), (F.col("key") == F.col("p_key")) & (F.col("a_id") != F.col("b_id")) & close("a_", "b_"))
+    return found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+
+
+def links_by_characters(lines: DataFrame, edits: int) -> DataFrame:
+    near = sharing(with_keys(lines, edits), "line")
     # an edit changes at most two letter counts by one, so far pairs are told apart without a distance
-    near = near.select("key", "own", "line", *[(F.length("line") - F.length(F.replace("line", F.lit(c)))).alias(f"n{i}") for i, c in enumerate(LETTERS)])
-    near = staged(near, "line-candidates")
-    own = near.filter("own").select("key", F.col("line").alias("a_line"), *[F.col(f"n{i}").alias(f"a{i}") for i in range(len(LETTERS))])
-    probe = near.select(F.col("key").alias("p_key"), F.col("line").alias("b_line"), *[F.col(f"n{i}").alias(f"b{i}") for i in range(len(LETTERS))])
-    apart = sum((F.abs(F.col(f"a{i}") - F.col(f"b{i}")) for i in range(1, len(LETTERS))), F.abs(F.col("a0") - F.col("b0")))
-    close = (apart <= 2 * edits) & (F.levenshtein("a_line", "b_line", edits) >= 0)
-    found = own.join(probe.hint("merge"), (F.col("key") == F.col("p_key")) & (F.col("a_line") != F.col("b_line")) & close)
-    found = found.select(digest(F.col("a_line")).alias("a"), digest(F.col("b_line")).alias("b"))
+    near = near.select("key", "own", "line", digest(F.col("line")).alias("id"), *[
+        (F.length("line") - F.length(F.replace("line", F.lit(c)))).alias(f"n{i}") for i, c in enumerate(LETTERS)])
+
+    def close(a: str, b: str) -> Column:
+        apart = sum((F.abs(F.col(f"{a}n{i}") - F.col(f"{b}n{i}")) for i in range(1, len(LETTERS))), F.abs(F.col(f"{a}n0") - F.col(f"{b}n0")))
+        return (apart <= 2 * edits) & (F.levenshtein(f"{a}line", f"{b}line", edits) >= 0)
+
+    return joined(staged(near, "line-candidates"), close)
+
+
+def links_by_words(lines: DataFrame, edits: int, min_words: int) -> DataFrame:
+    lines = lines.withColumn("words", word_array(F.col("line"))).filter(F.size("words") >= min_words)
+    near = sharing(with_keys(lines, edits, by_words=True), "word").withColumn("words", word_array(F.col("line")))
+    # one letter a word, of 256: a distance over letters is never above the one over words
+    letters = F.array_join(F.transform("words", lambda w: F.char(F.pmod(F.xxhash64(w), F.lit(256)))), "")
+    near = near.select("key", "own", digest(F.col("line")).alias("id"), "words", letters.alias("letters"))
+    return joined(staged(near, "word-candidates"), lambda a, b: (
+        F.levenshtein(f"{a}letters", f"{b}letters", edits) >= 0) & within_edits(F.col(f"{a}words"), F.col(f"{b}words"), edits))
+
+
+def line_links(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, word_edits: int = WORD_EDITS,
+               min_words: int = MIN_WORDS) -> DataFrame:
+    """(a, b) for every ordered pair of different texts within ``edits`` edits of code points, or of at
+    least ``min_words`` words each and within ``word_edits`` edits of words, by text digest."""
+    lines = staged(eligible_lines(docs, min_chars).select("line").distinct().select(
+        "line", F.length("line").alias("size"), F.xxhash64("line").alias("h")), "line-texts")
+    found = links_by_characters(lines, edits).unionByName(links_by_words(lines, word_edits, min_words))
     return staged(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "line-links")
 
 

@@ -242,8 +242,13 @@ def lines_plain(rows):
         for n, line in enumerate((text or "").split("\n") if text is not None else []):
             if len(line.strip(GAPS)) >= 20:
                 place.setdefault(line, []).append((i is None, i or 0, n))
-    links = {a: {b for b in place if a != b and abs(len(a) - len(b)) <= 2 and len(a) < 400 and distance(a, b) <= 2} for a in place}
-    return place, links
+
+    def linked(a, b):
+        u, v = a.encode().split(), b.encode().split()
+        by_words = min(len(u), len(v)) >= 10 and abs(len(u) - len(v)) <= 1 and distance(u, v) <= 1
+        return by_words or abs(len(a) - len(b)) <= 2 and len(a) < 400 and distance(a, b) <= 2
+
+    return place, {a: {b for b in place if a != b and linked(a, b)} for a in place}
 
 
 def test_line_report_equals_brute_force(spark):
@@ -293,6 +298,44 @@ def test_short_lines_are_deduplicated_when_equal(spark, tmp_path):
     assert out == {1: "Of.\n漢字漢字\n ", 2: "Of,", 3: "\n \n"}
 
 
+def one_word_apart(rng, words):
+    """The words with one of them replaced, left out or added."""
+    at, how = rng.randrange(len(words)), rng.randrange(3)
+    return words[:at] + ([] if how == 0 else ["w" * rng.randint(1, 30) + "q"]) + words[at + (how < 2):]
+
+
+def test_long_lines_one_word_apart_are_linked(spark):
+    rng = random.Random(8)
+    lines = [prose(rng, n).split(" ") for n in (9, 10, 11, 12, 25, 60, 150) for _ in range(3)]
+    rows = [(i, " ".join(w), "en", "s") for i, w in enumerate(lines)]
+    rows += [(100 + i, " ".join(one_word_apart(rng, w)), "en", "s") for i, w in enumerate(lines)]
+    rows += [(200 + i, " ".join(one_word_apart(rng, one_word_apart(rng, w))), "en", "s") for i, w in enumerate(lines)]
+    rows += [(300 + i, "  ".join(w), "en", "s") for i, w in enumerate(lines)]
+    got = line_dedup.line_report(spark.createDataFrame(rows, DOCS)).collect()
+    place, links = lines_plain(rows)
+    assert {r.doc_id: r.n_links for r in got} == {i: len(links[t]) for i, t, *_ in rows}
+    assert sum(r.n_links >= 1 for r in got) > 40
+
+
+def test_planted_one_word_edits_of_long_lines_are_found(spark):
+    rng = random.Random(9)
+    lines = [prose(rng, rng.randint(16, 80)).split(" ") for _ in range(150)]
+    rows = [(i, " ".join(w), "en", "s") for i, w in enumerate(lines)]
+    rows += [(1000 + i, " ".join(one_word_apart(rng, w)), "en", "s") for i, w in enumerate(lines)]
+    got = {r.doc_id: r.kept for r in line_dedup.line_report(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i] and not got[1000 + i] for i in range(150))
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_within_edits_equals_plain_distance(spark, edits):
+    rng = random.Random(edits)
+    rows = [("".join(rng.choice("ab") for _ in range(rng.randint(0, 9))), "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))) for _ in range(400)]
+    rows += [(a, a[:k] + "z" + a[k + 1:]) for a, _ in rows[:50] for k in range(0, len(a), 3)]
+    df = spark.createDataFrame([(list(a), list(b)) for a, b in rows], "a array<string>, b array<string>")
+    got = df.select("a", "b", line_dedup.within_edits(F.col("a"), F.col("b"), edits).alias("near")).collect()
+    assert all(r.near == (distance(r.a, r.b) <= edits) for r in got) and 20 < sum(r.near for r in got) < len(got)
+
+
 def test_keys_meet_for_every_pair_within_the_threshold(spark):
     rng = np.random.default_rng(2)
     pairs = []
