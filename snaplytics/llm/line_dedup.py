@@ -34,7 +34,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP_CHARS, broadcast_if_small, staged, table, unclash, word_array
+from .common import GAP, GAP_CHARS, broadcast_if_small, staged, table, unclash
 
 MAX_EDITS = 2
 MIN_CHARS = 20          # shorter lines have no edit links
@@ -52,13 +52,13 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
 
 
 def with_keys(lines: DataFrame, edits: int, by_words: bool = False) -> DataFrame:
-    """(line, size, h) -> key, own, line, h for all keys of each line, in code points or (with a
-    column ``words``) in words; own marks its own
+    """(line, size, h) -> key, own, line, h for all keys of each line, in code points or (with the
+    columns ``flat`` and ``n_words``) in words; own marks its own
     segments. The probes are rows, not twelve expressions: one small projection that the JVM
     compiles, where an array of all keys makes a method too large for it."""
     specs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in probes(edits)])
     parts = edits + 1
-    units, length = (F.col("words"), F.size("words")) if by_words else (F.col("line"), F.col("size"))
+    units, length = (F.col("flat"), F.col("n_words")) if by_words else (F.col("line"), F.col("size"))
     rows = lines.select("line", "h", units.alias("units"), length.alias("length"), F.explode(specs).alias("p"))
     rows = rows.select("line", "h", "units", (F.col("length") - F.col("p.d")).alias("target"), F.col("p.i").alias("i"), F.col("p.s").alias("s"),
                        ((F.col("p.d") == 0) & (F.col("p.s") == 0)).alias("own"))
@@ -67,10 +67,22 @@ def with_keys(lines: DataFrame, edits: int, by_words: bool = False) -> DataFrame
     small = ((F.col("target") - longer) / parts).cast("int")
     start = small * F.col("i") + F.greatest(F.lit(0), F.col("i") + longer - parts) + F.col("s") + 1
     size = small + (F.col("i") >= parts - longer).cast("int")
-    piece = F.slice("units", start, size) if by_words else F.substring(F.col("units"), start, size)
+    if by_words:
+        upto = F.call_function("substring_index", F.col("units"), F.lit(" "), start + size - 1)
+        piece = F.call_function("substring_index", upto, F.lit(" "), -size)
+    else:
+        piece = F.substring(F.col("units"), start, size)
     return rows.select(F.xxhash64(piece, F.col("i"), F.col("target")).alias("key"), "own", "line", "h")
 
 
+def flat(line: Column) -> Column:
+    """A line's words with one space between them; most lines are so already, which is found without a pattern."""
+    odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for gap in ("  ", *GAP_CHARS.replace(" ", "")):
+        odd = odd | F.contains(line, F.lit(gap))
+    return F.when(odd, F.regexp_replace(F.btrim(line, F.lit(GAP_CHARS)), GAP, " ")).otherwise(line)
+
+
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether two arrays are at most ``edits`` edits apart: banded and bit-parallel.
 
@@ -142,13 +154,19 @@ def links_by_characters(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def links_by_words(lines: DataFrame, edits: int, min_words: int) -> DataFrame:
-    lines = lines.withColumn("words", word_array(F.col("line"))).filter(F.size("words") >= min_words)
-    near = sharing(with_keys(lines, edits, by_words=True), "word").withColumn("words", word_array(F.col("line")))
+    lines = lines.filter(F.col("n_words") >= min_words).withColumn("flat", flat(F.col("line")))
+    near = sharing(with_keys(lines, edits, by_words=True), "word").withColumn("flat", flat(F.col("line")))
     # one letter a word, of 256: a distance over letters is never above the one over words
-    letters = F.array_join(F.transform("words", lambda w: F.char(F.pmod(F.xxhash64(w), F.lit(256)))), "")
-    near = near.select("key", "own", digest(F.col("line")).alias("id"), "words", letters.alias("letters"))
-    return joined(staged(near, "word-candidates"), lambda a, b: (
-        F.levenshtein(f"{a}letters", f"{b}letters", edits) >= 0) & within_edits(F.col(f"{a}words"), F.col(f"{b}words"), edits))
+    letters = F.array_join(F.transform(F.split("flat", " "), lambda w: F.char(F.pmod(F.xxhash64(w), F.lit(256)))), "")
+    near = near.select("key", "own", digest(F.col("line")).alias("id"), "flat", letters.alias("letters"))
+
+    def close(a: str, b: str) -> Column:
+        # a pair bound to a name, so that its texts are split once
+        pair = F.struct(F.split(f"{a}flat", " ").alias("a"), F.split(f"{b}flat", " ").alias("b"))
+        return (F.levenshtein(f"{a}letters", f"{b}letters", edits) >= 0) & F.exists(
+            F.array(pair), lambda x: within_edits(x["a"], x["b"], edits))
+
+    return joined(staged(near, "word-candidates"), close)
 
 
 def line_links(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, word_edits: int = WORD_EDITS,
@@ -156,7 +174,8 @@ def line_links(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
     """(a, b) for every ordered pair of different texts within ``edits`` edits of code points, or of at
     least ``min_words`` words each and within ``word_edits`` edits of words, by text digest."""
     lines = staged(eligible_lines(docs, min_chars).select("line").distinct().select(
-        "line", F.length("line").alias("size"), F.xxhash64("line").alias("h")), "line-texts")
+        "line", F.length("line").alias("size"), F.xxhash64("line").alias("h"),
+        (F.octet_length(flat(F.col("line"))) - F.octet_length(F.replace(flat(F.col("line")), F.lit(" "))) + 1).alias("n_words")), "line-texts", "zstd")
     found = links_by_characters(lines, edits).unionByName(links_by_words(lines, word_edits, min_words))
     return staged(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "line-links")
 
