@@ -32,18 +32,23 @@ def leading_bits(c: Column) -> Column:
     return top.cast("long") * (1 << below) + F.greatest(scaled - (1 << below), F.lit(0)).cast("long")
 
 
-def interleaved_key() -> Column:
-    """K7: one sort key over date, category and views (Z-order), so that row groups are
-    narrow in all three and range predicates on any of them skip most."""
+def layout_parts() -> list[Column]:
+    """Date, category and views, each on a scale of 2^LAYOUT_BITS steps."""
     days = F.coalesce(F.datediff("trending_date", F.lit("1970-01-01").cast("date")), F.lit(0))
     day = F.pmod(days, F.lit(1 << LAYOUT_BITS)).cast("long")  # days 4,096 apart share a step: neighbours stay neighbours
     category = F.pmod(F.coalesce("category_id", F.lit(0)), F.lit(64)).cast("long") * (1 << (LAYOUT_BITS - 6))  # ids are few
-    parts = [day, category, leading_bits(F.col("views"))]
+    return [day, category, leading_bits(F.col("views"))]
+
+
+def interleaved_key(parts: list[Column]) -> Column:
+    """K7: one sort key over date, category and views (Z-order), so that row groups are
+    narrow in all three and range predicates on any of them skip most.
+
+    A part's binary digits read as octal ones lie three places apart: each part is
+    named once and the expression stays small, whatever the number of bits."""
     key = F.lit(0).cast("long")
-    for bit in range(LAYOUT_BITS):
-        for k, p in enumerate(parts):
-            one = F.shiftright(p, bit).bitwiseAND(F.lit(1).cast("long"))
-            key = key.bitwiseOR(F.shiftleft(one, len(parts) * bit + k))
+    for k, p in enumerate(parts):
+        key = key + F.shiftleft(F.conv(F.bin(p), 2 ** len(parts), 10).cast("long"), k)
     return key
 
 
@@ -55,14 +60,16 @@ def layout_fact(fact: DataFrame, files_per_region: int | None = None) -> DataFra
     tasks x regions. Within the task rows are sorted by region and an interleaved key, which
     gives row groups tight min/max statistics for date, category and views.
     ``files_per_region`` (for small outputs) instead hashes items into that many files
-    per region.
+    per region. The key is a column while rows are sorted: a sort works out an expression
+    in its order anew in every comparison.
     """
     if files_per_region:
         bucket = F.pmod(F.xxhash64("video_id"), F.lit(files_per_region))
         fact = fact.repartition(F.col("region"), bucket)
     else:
         fact = fact.hint("rebalance", F.col("region"))
-    return fact.sortWithinPartitions(F.col("region"), interleaved_key())
+    keyed = fact.withColumn("__layout", interleaved_key(layout_parts()))
+    return keyed.sortWithinPartitions("region", "__layout").drop("__layout")
 
 
 def write_fact(fact: DataFrame, path: str, files_per_region: int | None = None) -> None:

@@ -65,6 +65,36 @@ def test_bloom_filter_skips_row_groups_for_an_absent_item(laid_out):
     assert 0 < scanned_rows(found) < 0.9 * laid_out.count()
 
 
+def test_sort_of_the_layout_compares_columns_only(spark):
+    """An expression in a sort order is worked out in every comparison, not once a row."""
+    for files in (None, 2):
+        plan = K.layout_fact(fact_star(spark, SF_SMALL), files)._jdf.queryExecution().optimizedPlan()
+        todo, orders = [plan], []
+        while todo:
+            p = todo.pop()
+            if p.nodeName() == "Sort":
+                orders += [p.order().apply(i).child().nodeName() for i in range(p.order().size())]
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+        assert orders == ["AttributeReference"] * 2
+
+
+def test_layout_key_interleaves_bits(spark):
+    rng = random.Random(5)
+    data = [tuple(rng.choice([0, 1, 4095, rng.randrange(1 << K.LAYOUT_BITS)]) for _ in range(3)) for _ in range(300)]
+    rows = spark.createDataFrame(data, "a long, b long, c long").select("*", K.interleaved_key([F.col(c) for c in "abc"]).alias("k")).collect()
+    assert all(r.k == sum((r[i] >> bit & 1) << (3 * bit + i) for bit in range(K.LAYOUT_BITS) for i in range(3)) for r in rows)
+
+
+def test_layout_sorts_nulls_and_negatives_and_keeps_all_columns(spark):
+    data = [(r, d, c, v) for r in ("x", None) for d in (None, "1969-12-31", "2017-11-14") for c in (None, -1, 3, 70) for v in (None, -5, 0, 10**9)]
+    df = spark.createDataFrame(data, "region string, day string, category_id int, views long") \
+        .select("region", F.col("day").cast("date").alias("trending_date"), "category_id", "views")
+    out = K.layout_fact(df.coalesce(1))
+    assert out.columns == df.columns and sorted(out.collect(), key=repr) == sorted(df.collect(), key=repr)
+    keys = out.select(F.spark_partition_id(), F.coalesce("region", F.lit("")), K.interleaved_key(K.layout_parts())).collect()
+    assert [tuple(k) for k in keys] == sorted(tuple(k) for k in keys) and all(k[2] is not None for k in keys)
+
+
 def test_bins_are_monotone(spark):
     values = sorted({0, 1, 2, 1023, 1024, 2047, 2048, 2049, 10**6, 2**48 - 1, 2**48, 2**62 + 5, *(random.Random(1).randrange(10**7) for _ in range(500))})
     rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", value_bin("v").alias("b"),
