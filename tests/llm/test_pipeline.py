@@ -1,10 +1,13 @@
 """The pipeline's stages, each on what its predecessor kept, and as a whole."""
 
 import hashlib
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from snaplytics.llm import common
 from snaplytics.llm.common import staged
 
 from .tables import documents
@@ -34,3 +37,24 @@ def test_stages_in_order_and_run_agree(spark, tmp_path, extra):
 def test_empty_documents(spark, tmp_path):
     documents(spark, rows=[]).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    """The files of a staged table's shuffles go with its write; the setting is as before."""
+    before = spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName().split("_")[1] for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    here = shuffles()
+    df = spark.range(20_000).groupBy((F.col("id") % 500).alias("k")).agg(F.max(F.col("id").cast("string")).alias("m"))
+    out = common.staged(df, "cleanup")
+    for _ in range(50):
+        if shuffles() <= here:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= here
+    assert out.count() == 500 and sorted(out.collect()) == sorted(df.collect())
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == before
