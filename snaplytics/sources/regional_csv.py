@@ -128,12 +128,13 @@ def read_records(spark: SparkSession, raw_dir: str, regions: list[str] | None =
         report["missing_regions"] = missing(manifest, "csv")
     if not files:
         return None
+    # a group is of one region, so that the region is a constant and no row searches its path
     groups: dict[tuple, list[str]] = {}
     for path, header, utf8, spans in files:
         mode = spans if multiline == "auto" else bool(multiline)
-        groups.setdefault((_header_names(header), utf8, mode), []).append(path)
-    raw = union_by_name([_read_group(spark, paths, *key) for key, paths in groups.items() if key[0]])
-    return raw.withColumn("region", X.region_from_path(F.col(FILE_COL), template)).where(F.col("region").isin(here))
+        groups.setdefault((X.region_of_path(path, template), _header_names(header), utf8, mode), []).append(path)
+    return union_by_name([_read_group(spark, paths, *key).withColumn("region", F.lit(region)).where(F.col("region").isin(here))
+                          for (region, *key), paths in groups.items() if key[0]])
 
 
 def null_where_missing(c: Column, texts: tuple[str, ...] = MISSING_TEXTS) -> Column:
