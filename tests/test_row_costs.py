@@ -49,3 +49,17 @@ def test_layout_key_and_weekday_go_without_texts(spark):
     for r in out.collect():
         bits = [(v >> b & 1) << (3 * b + k) for k, v in enumerate((r.a, r.b, r.c)) for b in range(12)]
         assert r.key == sum(bits) and r.day == r.d.strftime("%A") and r.none is None
+
+
+def test_refresh_deduplicates_its_rows_once(spark, monkeypatch):
+    plans = []
+    whole = K.refresh_pair
+
+    def seen(fact, *rest):
+        plans.append(plan_of(fact))
+        return whole(fact, *rest)
+
+    monkeypatch.setattr(registry.K, "refresh_pair", seen)
+    steps = [r.step for r in registry.QUERIES["load_refresh_twice"](spark, SF_SMALL).collect()]
+    assert set(steps) == {"first", "failed", "second"}
+    assert len(plans) == 3 and not any("aggregate" in p for p in plans)
