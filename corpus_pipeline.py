@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snaplytics.llm import bpe, line_dedup, mixing, quality, simhash
-from snaplytics.llm.common import staged, table
+from snaplytics.llm.common import drop_staged, last_staged, only_kept, staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each one's result written and read back."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``, each one's result written and read back. A stage's own staged
+    tables go once its result is written, and so does the result it read."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with only_kept(spark) as kept:
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            kept.append(last_staged())
+        drop_staged(spark, before)
+        before = kept
     return STAGES[-1][1](spark, docs, sf_dir)

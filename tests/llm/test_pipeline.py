@@ -58,3 +58,24 @@ def test_staged_tables_leave_no_shuffle_files(spark):
     assert shuffles() <= here
     assert out.count() == 500 and sorted(out.collect()) == sorted(df.collect())
     assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == before
+
+
+def test_a_stage_leaves_only_its_result(spark, tmp_path, monkeypatch):
+    """Tables that a stage stages, and the result it reads, are gone when the next stage begins."""
+    from pathlib import Path
+
+    from snaplytics.session import scratch_path
+
+    root = Path(scratch_path(spark, "x")).parent
+    documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    before, seen = set(root.glob("llm-*")), []
+
+    def watched(stage):
+        def run(spark, docs, sf_dir):
+            seen.append({p.name.rsplit("-", 1)[0] for p in set(root.glob("llm-*")) - before})
+            return stage(spark, docs, sf_dir)
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, watched(s)) for n, s in corpus_pipeline.STAGES])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert seen == [set(), *({f"llm-pipeline-{n}"} for n, _ in corpus_pipeline.STAGES[:-1])]
