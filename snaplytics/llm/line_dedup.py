@@ -55,12 +55,14 @@ def with_keys(lines: DataFrame, edits: int, by_words: bool = False) -> DataFrame
     """(line, size, h) -> key, own, line, h for all keys of each line, in code points or (with the
     columns ``flat`` and ``n_words``) in words; own marks its own
     segments. The probes are rows, not twelve expressions: one small projection that the JVM
-    compiles, where an array of all keys makes a method too large for it."""
+    compiles, where an array of all keys makes a method too large for it. Code points are four bytes
+    each, made once a line: a segment is then cut out without counting through the line from its start.
+    Segments of words at an end of the line are cut from that end only."""
     specs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in probes(edits)])
     parts = edits + 1
-    units, length = (F.col("flat"), F.col("n_words")) if by_words else (F.col("line"), F.col("size"))
-    rows = lines.select("line", "h", units.alias("units"), length.alias("length"), F.explode(specs).alias("p"))
-    rows = rows.select("line", "h", "units", (F.col("length") - F.col("p.d")).alias("target"), F.col("p.i").alias("i"), F.col("p.s").alias("s"),
+    units, length = (F.col("flat"), F.col("n_words")) if by_words else (F.encode("line", "UTF-32"), F.shiftright(F.octet_length("units"), 2))
+    rows = lines.withColumn("units", units).select("line", "h", "units", length.alias("length"), F.explode(specs).alias("p"))
+    rows = rows.select("line", "h", "units", "length", (F.col("length") - F.col("p.d")).alias("target"), F.col("p.i").alias("i"), F.col("p.s").alias("s"),
                        ((F.col("p.d") == 0) & (F.col("p.s") == 0)).alias("own"))
     # even segments, the longer ones last
     longer = F.col("target") % parts
@@ -68,10 +70,11 @@ def with_keys(lines: DataFrame, edits: int, by_words: bool = False) -> DataFrame
     start = small * F.col("i") + F.greatest(F.lit(0), F.col("i") + longer - parts) + F.col("s") + 1
     size = small + (F.col("i") >= parts - longer).cast("int")
     if by_words:
-        upto = F.call_function("substring_index", F.col("units"), F.lit(" "), start + size - 1)
-        piece = F.call_function("substring_index", upto, F.lit(" "), -size)
+        end = start + size - 1
+        upto = F.when(end >= F.col("length"), F.col("units")).otherwise(F.call_function("substring_index", F.col("units"), F.lit(" "), end))
+        piece = F.when(start == 1, upto).otherwise(F.call_function("substring_index", upto, F.lit(" "), -size))
     else:
-        piece = F.substring(F.col("units"), start, size)
+        piece = F.substring(F.col("units"), start * 4 - F.when(start > 0, 3).otherwise(0), size * 4)
     return rows.select(F.xxhash64(piece, F.col("i"), F.col("target")).alias("key"), "own", "line", "h")
 
 

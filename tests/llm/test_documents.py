@@ -353,6 +353,19 @@ def test_keys_meet_for_every_pair_within_the_threshold(spark):
     assert met.select("h").distinct().count() == len(pairs)
 
 
+def test_keys_of_lines_are_cut_without_counting_code_points(spark):
+    """Equal segments have equal keys whatever the width of the code points around them; no segment is cut out of a text."""
+    texts = ["a line of plain words and 漢字 at its end 😀", "a line of plain words and 漢字 at its end x", "naïve " * 9]
+    df = spark.createDataFrame([(i, t, len(t), t.strip(), len(t.split())) for i, t in enumerate(texts)], "h bigint, line string, size int, flat string, n_words int")
+    keyed = line_dedup.with_keys(df, 2)
+    rows = keyed.collect()
+    own = lambda h: {r.key for r in rows if r.h == h and r.own}
+    assert len(rows) == 12 * len(texts) and len(own(0) & own(1)) == 2 and not own(0) & own(2)
+    assert "substring(line" not in keyed._jdf.queryExecution().optimizedPlan().toString()
+    words = line_dedup.with_keys(df, 1, by_words=True).collect()
+    assert len({r.key for r in words if r.h == 0 and r.own} & {r.key for r in words if r.h == 1 and r.own}) == 1
+
+
 def test_offsets_equal_those_of_whole_texts(spark):
     texts = [r[1] for r in document_rows()[:20]] + [None, "", " a  b\tc\n\n d ", "naïve 漢字 😀😀 x\u200d y é " * 30, "don't stop  now", "a" * 300]
     docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], DOCS)
