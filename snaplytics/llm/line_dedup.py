@@ -11,10 +11,10 @@ linked text occurs earlier.
 The join, alike for code points and words as units: a line of l units is cut into
 edits + 1 even segments; edits can touch all but
 one, so a linked line of length l + d holds one segment unchanged, shifted by few places.
-Every distinct line enters its own segments (keyed by length, place and text) and probes, for each
+Every line enters its own segments (keyed by length, place and text) and probes, for each
 shorter length within the threshold, the few substrings that the length-aware shift
 bounds allow. Keys met by only one text are dropped by an aggregate that combines before
-the shuffle; only lines that share a key carry their text into the join, where the
+the shuffle, so a text that comes often is one entry of a key; only lines that share a key carry their text into the join, each text once, where the
 edit distance is the join condition, so unverified pairs are never output: for code points
 Spark's banded distance, cut off at the threshold, after letter counts; for words the banded
 bit-parallel ``within_edits``, after a banded distance over one letter a word.
@@ -34,7 +34,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP, GAP_CHARS, broadcast_if_small, staged, table, unclash
+from .common import GAP, GAP_CHARS, broadcast_if_small, last_staged, only_kept, staged, table, unclash
 
 MAX_EDITS = 2
 MIN_CHARS = 20          # shorter lines have no edit links
@@ -78,11 +78,17 @@ def with_keys(lines: DataFrame, edits: int, by_words: bool = False) -> DataFrame
     return rows.select(F.xxhash64(piece, F.col("i"), F.col("target")).alias("key"), "own", "line", "h")
 
 
-def flat(line: Column) -> Column:
-    """A line's words with one space between them; most lines are so already, which is found without a pattern."""
+def spaced(line: Column) -> Column:
+    """Whether a line has white space besides single spaces between its words; most have none, which is found without a pattern."""
     odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
     for gap in ("  ", *GAP_CHARS.replace(" ", "")):
         odd = odd | F.contains(line, F.lit(gap))
+    return odd
+
+
+def flat(line: Column, odd: Column | None = None) -> Column:
+    """A line's words with one space between them; odd: its ``spaced``, where that is known."""
+    odd = spaced(line) if odd is None else odd
     return F.when(odd, F.regexp_replace(F.btrim(line, F.lit(GAP_CHARS)), GAP, " ")).otherwise(line)
 
 
@@ -116,35 +122,52 @@ def order_of(doc: Column, text_hash: Column, line_no: Column) -> Column:
     return F.struct(doc.isNull().alias("missing"), doc.alias("doc_id"), text_hash.alias("text_hash"), line_no.alias("line_no"))
 
 
-def eligible_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, text_hash, line_no, line, size (code points), h (64-bit hash) of the lines that take part."""
-    # size and h are made inside the exploded array, so no later expression works them out again
-    each = F.transform(F.split("text", "\n"), lambda x, i: F.struct(
-        i.alias("line_no"), x.alias("line"), F.length(x).alias("size"), F.xxhash64(x).alias("h"),
-        (F.length(F.btrim(x, F.lit(GAP_CHARS))) >= min_chars).alias("long")))
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(each).alias("l"))
-    return lines.filter("l.long").select("doc_id", "text_hash", "l.line_no", "l.line", "l.size", "l.h")
-
-
-def sharing(keyed: DataFrame, name: str) -> DataFrame:
+def line_rows(docs: DataFrame, shortest: int = MIN_CHARS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """doc_id, text_hash, line_no, text_id (digest), chars (code points, trimmed) of every line of at least ``shortest`` code points;
+    with line, h (64-bit hash), odd (``spaced``) and n_words for those that may have links."""
+    line = F.col("line")
+    edge = F.lit(False)
+    for gap in GAP_CHARS:
+        edge = edge | F.startswith(line, F.lit(gap)) | F.endswith(line, F.lit(gap))
+    chars = F.length(F.when(edge, F.btrim(line, F.lit(GAP_CHARS))).otherwise(line))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = lines.filter(chars >= shortest).withColumn("odd", spaced(line))
+    words = flat(line, F.col("odd"))
+    spaces = F.octet_length(words) - F.octet_length(F.replace(words, F.lit(" ")))
+    may = chars >= min_chars
+    return lines.select("doc_id", "text_hash", "line_no", digest(line).alias("text_id"), chars.alias("chars"), F.when(may, line).alias("line"),
+                        F.xxhash64("line").alias("h"), "odd", F.when(may, spaces + 1).alias("n_words"))
+
+
+def sharing(lines: DataFrame, edits: int, name: str, by_words: bool = False) -> DataFrame:
     """key, own, line of the keys that different texts share, one of them by its own segment."""
+    keyed = with_keys(lines, edits, by_words)
     met = keyed.groupBy("key").agg(
         F.min("h").alias("least"), F.max("h").alias("most"), F.max("own").alias("own"))
     met = staged(met.filter((F.col("least") != F.col("most")) & F.col("own")).select(F.col("key").alias("m_key")), f"{name}-keys")
-    return keyed.join(broadcast_if_small(met), F.col("key") == F.col("m_key"), "left_semi").select("key", "own", "line").distinct()
+    side, same = broadcast_if_small(met), F.col("key") == F.col("m_key")
+    if side is not met:
+        return keyed.join(side, same, "left_semi").select("key", "own", "line").distinct()
+    # too many keys to send around: found by the lines' hashes, so that no text is shuffled with each of its keys
+    marks = staged(keyed.select("key", "own", "h").join(met, same, "left_semi").distinct(), f"{name}-marks")
+    texts = lines.select("h", "line").join(marks.select("h").distinct(), "h", "left_semi").distinct()
+    return marks.join(texts, "h").select("key", "own", "line").distinct()
 
 
 def joined(near: DataFrame, close: Callable[[str, str], Column]) -> DataFrame:
-    """a, b (digests) of the texts that share a key and are close, the first by its own segment."""
+    """a, b (digests) of the texts that share a key and are close, the first by its own segment; of pairs that share
+    own segments one direction."""
     cells = [c for c in near.columns if c not in ("key", "own")]
     own = near.filter("own").select("key", *[F.col(c).alias(f"a_{c}") for c in cells])
-    probe = near.select(F.col("key").alias("p_key"), *[F.col(c).alias(f"b_{c}") for c in cells])
-    found = own.join(probe.hint("merge"), (F.col("key") == F.col("p_key")) & (F.col("a_id") != F.col("b_id")) & close("a_", "b_"))
+    probe = near.select(F.col("key").alias("p_key"), F.col("own").alias("b_own"), *[F.col(c).alias(f"b_{c}") for c in cells])
+    # two own segments meet from either side: measured once
+    apart = (F.col("a_id") < F.col("b_id")) | (~F.col("b_own") & (F.col("a_id") != F.col("b_id")))
+    found = own.join(probe.hint("merge"), (F.col("key") == F.col("p_key")) & apart & close("a_", "b_"))
     return found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
 
 
 def links_by_characters(lines: DataFrame, edits: int) -> DataFrame:
-    near = sharing(with_keys(lines, edits), "line")
+    near = sharing(lines, edits, "line")
     # an edit changes at most two letter counts by one, so far pairs are told apart without a distance
     near = near.select("key", "own", "line", digest(F.col("line")).alias("id"), *[
         (F.length("line") - F.length(F.replace("line", F.lit(c)))).alias(f"n{i}") for i, c in enumerate(LETTERS)])
@@ -157,8 +180,8 @@ def links_by_characters(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def links_by_words(lines: DataFrame, edits: int, min_words: int) -> DataFrame:
-    lines = lines.filter(F.col("n_words") >= min_words).withColumn("flat", flat(F.col("line")))
-    near = sharing(with_keys(lines, edits, by_words=True), "word").withColumn("flat", flat(F.col("line")))
+    lines = lines.filter(F.col("n_words") >= min_words).withColumn("flat", flat(F.col("line"), F.col("odd")))
+    near = sharing(lines, edits, "word", by_words=True).withColumn("flat", flat(F.col("line")))
     # one letter a word, of 256: a distance over letters is never above the one over words
     letters = F.array_join(F.transform(F.split("flat", " "), lambda w: F.char(F.pmod(F.xxhash64(w), F.lit(256)))), "")
     near = near.select("key", "own", digest(F.col("line")).alias("id"), "flat", letters.alias("letters"))
@@ -172,15 +195,14 @@ def links_by_words(lines: DataFrame, edits: int, min_words: int) -> DataFrame:
     return joined(staged(near, "word-candidates"), close)
 
 
-def line_links(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, word_edits: int = WORD_EDITS,
-               min_words: int = MIN_WORDS) -> DataFrame:
-    """(a, b) for every ordered pair of different texts within ``edits`` edits of code points, or of at
+def line_links(lines: DataFrame, edits: int = MAX_EDITS, word_edits: int = WORD_EDITS, min_words: int = MIN_WORDS) -> DataFrame:
+    """(a, b) for every ordered pair of different texts of ``line_rows`` within ``edits`` edits of code points, or of at
     least ``min_words`` words each and within ``word_edits`` edits of words, by text digest."""
-    lines = staged(eligible_lines(docs, min_chars).select("line").distinct().select(
-        "line", F.length("line").alias("size"), F.xxhash64("line").alias("h"),
-        (F.octet_length(flat(F.col("line"))) - F.octet_length(F.replace(flat(F.col("line")), F.lit(" "))) + 1).alias("n_words")), "line-texts", "zstd")
-    found = links_by_characters(lines, edits).unionByName(links_by_words(lines, word_edits, min_words))
-    return staged(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "line-links")
+    with only_kept(lines.sparkSession) as kept:
+        found = links_by_characters(lines, edits).unionByName(links_by_words(lines, word_edits, min_words))
+        found = staged(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "line-links")
+        kept.append(last_staged())
+    return found
 
 
 def digest(line: Column) -> Column:
@@ -190,9 +212,9 @@ def digest(line: Column) -> Column:
 def line_report(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, shortest: int = MIN_CHARS) -> DataFrame:
     """Every line of at least ``shortest`` code points (links need ``min_chars``): doc_id, text_hash, line_no, first (place of the first occurrence of
     its text), n_links (different texts within the threshold), kept."""
-    found = line_links(docs, edits, min_chars)
-    lines = eligible_lines(docs, shortest).select("doc_id", "text_hash", "line_no", digest(F.col("line")).alias("text_id"))
-    lines = staged(lines, "line-rows")
+    rows = staged(line_rows(docs, min(shortest, min_chars), min_chars), "line-rows")
+    found = line_links(rows.filter(F.col("chars") >= min_chars).select("line", "h", "odd", "n_words"), edits)
+    lines = rows.filter(F.col("chars") >= shortest).select("doc_id", "text_hash", "line_no", "text_id")
     place = order_of(F.col("doc_id"), F.col("text_hash"), F.col("line_no"))
     # staged, so that the join below reads both sides through a shuffle and can split a hot line
     first = staged(lines.groupBy("text_id").agg(F.min(place).alias("first")), "line-first")
@@ -212,9 +234,12 @@ def line_report(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
 def dedup_lines(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents without the non-blank lines that ``line_report`` does not keep. All rows and columns stay."""
     n = unclash(docs, "gone_id", "gone_hash", "gone")
-    gone = line_report(docs, edits, min_chars, NOT_BLANK).filter(~F.col("kept")).groupBy("doc_id", "text_hash").agg(
-        F.collect_set("line_no").alias("gone"))
-    gone = broadcast_if_small(staged(gone.toDF(n["gone_id"], n["gone_hash"], n["gone"]), "line-gone"))
+    with only_kept(docs.sparkSession) as kept:
+        gone = line_report(docs, edits, min_chars, NOT_BLANK).filter(~F.col("kept")).groupBy("doc_id", "text_hash").agg(
+            F.collect_set("line_no").alias("gone"))
+        # no hint: a join that is broadcast up to some size would shuffle the texts beyond it, and so more than the input grows
+        gone = staged(gone.toDF(n["gone_id"], n["gone_hash"], n["gone"]), "line-gone")
+        kept.append(last_staged())
     same = F.col("doc_id").eqNullSafe(F.col(n["gone_id"])) & (F.xxhash64("text") == F.col(n["gone_hash"]))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(n["gone"]), i)), "\n")
     out = docs.join(gone, same, "left").withColumn("text", F.when(F.col(n["gone"]).isNull(), F.col("text")).otherwise(left))

@@ -12,6 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from snaplytics.llm import bpe, exact_dedup, graph, line_dedup, lm, mixing, quality, simhash
+from snaplytics.llm.common import staged
 
 from .tables import CLASH, DOCS, documents, document_rows, prose, rows_of
 
@@ -326,6 +327,37 @@ def test_planted_one_word_edits_of_long_lines_are_found(spark):
     assert all(got[i] and not got[1000 + i] for i in range(150))
 
 
+def test_lines_are_staged_without_a_shuffle_of_their_texts(spark, monkeypatch):
+    """Texts of lines are written as they are cut, once for links and report; equal ones meet in their keys only."""
+    plans = {}
+
+    def seen(df, name, *rest, **more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name, *rest, **more)
+
+    monkeypatch.setattr(line_dedup, "staged", seen)
+    rows = [(i, f"{t}\n{t}", "en", "s") for i, t in enumerate(["the same line of some words", "the same line of some words", "the same line of sane words"])]
+    got = line_dedup.line_report(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id, r.line_no, r.n_links, r.kept) for r in got) == [(i, n, 1, i == n == 0) for i in range(3) for n in range(2)]
+    assert "Exchange" not in plans["line-rows"] and "line-texts" not in plans and "transform(" not in plans["line-rows"]
+
+
+def test_keys_of_many_lines_are_found_without_their_texts(spark, monkeypatch):
+    """Beyond the bound of a broadcast the shared keys meet hashes, not a copy of the text for each key; the links are the same."""
+    rng = random.Random(10)
+    lines = [prose(rng, n).split(" ") for n in (9, 12, 25) for _ in range(6)]
+    rows = [(i, " ".join(w), "en", "s") for i, w in enumerate(lines)]
+    rows += [(100 + i, " ".join(one_word_apart(rng, w)), "en", "s") for i, w in enumerate(lines)] + [(200 + i, " ".join(w), "en", "s") for i, w in enumerate(lines)]
+    rows += [(300 + i, " ".join(w) + "x", "en", "s") for i, w in enumerate(lines)]
+    names = []
+    monkeypatch.setattr(line_dedup, "broadcast_if_small", lambda df, *a: df)
+    monkeypatch.setattr(line_dedup, "staged", lambda df, name, *a, **k: names.append(name) or staged(df, name, *a, **k))
+    got = line_dedup.line_report(spark.createDataFrame(rows, DOCS)).collect()
+    place, links = lines_plain(rows)
+    assert {r.doc_id: r.n_links for r in got} == {i: len(links[t]) for i, t, *_ in rows}
+    assert {"line-marks", "word-marks"} <= set(names) and sum(r.n_links >= 1 for r in got) > 40
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_within_edits_equals_plain_distance(spark, edits):
     rng = random.Random(edits)
