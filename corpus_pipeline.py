@@ -63,7 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         with only_kept(spark) as kept:
-            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", "zstd")
             kept.append(last_staged())
         drop_staged(spark, before)
         before = kept

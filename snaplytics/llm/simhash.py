@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, staged, table, unclash
+from .common import broadcast_if_small, last_staged, only_kept, staged, table, unclash
 from .graph import components
 
 SHINGLE = 4
@@ -145,12 +145,15 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, cell_limit: int = CELL_L
 def keepers(rows: DataFrame) -> DataFrame:
     """(doc_id, fp) -> (fp, keep: struct(missing, doc_id, fp) of the component's least row)."""
     least = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("doc_id"), F.col("fp").alias("fp")))
-    classes = staged(rows.groupBy("fp").agg(least.alias("least")), "simhash-classes")
-    roots = components(links(classes.select("fp")))
-    joined = classes.join(broadcast_if_small(staged(roots, "simhash-roots")), F.col("fp") == F.col("node"), "left")
-    members = staged(joined.select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-members")
-    best = members.groupBy("root").agg(F.min("least").alias("keep"))
-    return staged(members.join(best, "root").select("fp", "keep"), "simhash-keepers")
+    with only_kept(rows.sparkSession) as kept:
+        classes = staged(rows.groupBy("fp").agg(least.alias("least")), "simhash-classes")
+        roots = components(links(classes.select("fp")))
+        joined = classes.join(broadcast_if_small(staged(roots, "simhash-roots")), F.col("fp") == F.col("node"), "left")
+        members = staged(joined.select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-members")
+        best = members.groupBy("root").agg(F.min("least").alias("keep"))
+        best = staged(members.join(best, "root").select("fp", "keep"), "simhash-keepers")
+        kept.append(last_staged())
+    return best
 
 
 def simhash_report(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -164,13 +167,17 @@ def simhash_report(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component: the one with the least doc_id. Keeps the columns."""
     n = unclash(docs, "fp", "gone", "gone_fp")
-    marked = staged(with_fingerprint(docs, n["fp"], shingle), "simhash-marked")
+    marked = staged(with_fingerprint(docs, n["fp"], shingle), "simhash-marked", "zstd")
     rows = marked.select("doc_id", F.col(n["fp"]).alias("fp"))
-    keep = keepers(rows).select(F.col("fp").alias("k_fp"), "keep")
-    seen = rows.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")).join(keep, F.col("fp") == F.col("k_fp"))
-    stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("fp") == F.col("keep.fp"))
-    losers = broadcast_if_small(staged(seen.filter(~stays).select(F.col("doc_id").alias(n["gone"]), F.col("fp").alias(n["gone_fp"])), "simhash-losers"))
-    ties = staged(seen.filter(stays & (F.col("n") > 1)).select(F.col("doc_id").alias(n["gone"]), F.col("fp").alias(n["gone_fp"])), "simhash-ties")
+    with only_kept(docs.sparkSession) as kept:
+        keep = keepers(rows).select(F.col("fp").alias("k_fp"), "keep")
+        seen = rows.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("n")).join(keep, F.col("fp") == F.col("k_fp"))
+        stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("fp") == F.col("keep.fp"))
+        losers = staged(seen.filter(~stays).select(F.col("doc_id").alias(n["gone"]), F.col("fp").alias(n["gone_fp"])), "simhash-losers")
+        kept.append(last_staged())
+        ties = staged(seen.filter(stays & (F.col("n") > 1)).select(F.col("doc_id").alias(n["gone"]), F.col("fp").alias(n["gone_fp"])), "simhash-ties")
+        kept.append(last_staged())
+    losers = broadcast_if_small(losers)
     same = F.col("doc_id").eqNullSafe(F.col(n["gone"])) & (F.col(n["fp"]) == F.col(n["gone_fp"]))
     kept = marked.join(losers, same, "left_anti")
     if not ties.isEmpty():

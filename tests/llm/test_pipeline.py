@@ -79,3 +79,29 @@ def test_a_stage_leaves_only_its_result(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, watched(s)) for n, s in corpus_pipeline.STAGES])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     assert seen == [set(), *({f"llm-pipeline-{n}"} for n, _ in corpus_pipeline.STAGES[:-1])]
+
+
+@pytest.mark.parametrize("name, left", [("line_dedup", {"line-gone"}), ("simhash_dedup", {"simhash-marked", "simhash-losers", "simhash-ties"})])
+def test_a_stage_on_its_own_leaves_what_its_result_reads(spark, name, left):
+    """Tables staged on the way go within the stage, not only with the whole pipeline."""
+    from pathlib import Path
+
+    from snaplytics.session import scratch_path
+
+    root, docs = Path(scratch_path(spark, "x")).parent, documents(spark)
+    before = set(root.glob("llm-*"))
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, "")
+    assert {p.name.rsplit("-", 1)[0] for p in set(root.glob("llm-*")) - before} == {f"llm-{x}" for x in left}
+    assert 0 < out.count() <= docs.count()
+
+
+def test_lines_leave_texts_by_a_join_that_no_size_switches(spark):
+    """Which lines go is broadcast or shuffled as Spark plans it from the table's files, without a hint up to a size."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dict(corpus_pipeline.STAGES)["line_dedup"](spark, documents(spark), "")
+        assert "ResolvedHint" not in (plan := out._jdf.queryExecution().analyzed().toString()) and "UnresolvedHint" not in plan
+        assert out.count() == documents(spark).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
