@@ -53,7 +53,7 @@ MAX_STEP = 1.5
 CHUNK_TOKENS = 800_000
 FREQUENT_WORDS = 200_000  # whose counts are sent to all tasks (about 6 MB); other words' counts are joined
 BATCH = 1 << 13         # tokens at a time, so that a batch's arrays stay in the cache
-BLOCK = 1 << 15         # probabilities that are added up by row at a time
+BLOCK = 1 << 18         # tuples whose probabilities are added up by row at a time
 SUFFIX = 3
 START = 0x5BD1E995      # history before the first word
 
@@ -227,20 +227,21 @@ def add_expected(model: Model, layer: int, rows: list[np.ndarray], cls: np.ndarr
     """Add the probabilities of all outputs to the rows of each token's features. Equal tuples have equal
     probabilities, so each is computed once and counted as often as it occurs."""
     rows, cls, counts = distinct_tuples(rows, cls if layer else np.zeros_like(cls))
-    block = np.empty((BLOCK, MEMBERS), np.float32)
+    # output by tuple, so that the sums by row run along memory
+    block = np.empty((MEMBERS, min(BLOCK, len(cls))), np.float32)
     for low in range(0, len(cls), BLOCK):
         high = min(low + BLOCK, len(cls))
         for lo in range(low, high, BATCH):
             at = slice(lo, min(lo + BATCH, high))
             p, total = model.layer(layer, [r[at] for r in rows], cls[at])
-            np.multiply(p, (counts[at] / total)[:, None], out=block[at.start - low:at.stop - low])
+            np.multiply(p.T, counts[at] / total, out=block[:, at.start - low:at.stop - low])
         for k, r in enumerate(rows):
-            r, p = r[low:high], block[:high - low]
+            r, p = r[low:high], block[:, :high - low]
             if k:  # the first feature is in order
                 order = np.argsort(r, kind="stable")
-                r, p = r[order], p.take(order, axis=0)
+                r, p = r[order], p.take(order, axis=1)
             starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-            expected[layer, k][r[starts]] += np.add.reduceat(p, starts, axis=0)
+            expected[layer, k][r[starts]] += np.add.reduceat(p, starts, axis=1).T
 
 
 OBSERVED, EXPECTED = [f"o{j}" for j in range(MEMBERS)], [f"e{j}" for j in range(MEMBERS)]
@@ -302,7 +303,7 @@ def train(spark: SparkSession, chunks: DataFrame, counts: DataFrame, rounds: int
     observed = np.zeros((2 * FEATURES * ROWS, MEMBERS))
     for number in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        sums = gradient_sums(chunks, shared, number == 0).toArrow()  # one row per model row at most
+        sums = staged(gradient_sums(chunks, shared, number == 0), "lm-sums").toArrow()  # one row per model row at most
         shared.unpersist()
         if not sums.num_rows:
             break
@@ -321,7 +322,9 @@ def score_chunks(spark: SparkSession, chunks: DataFrame, counts: DataFrame, mode
     least = min(named.values(), default=0)  # every more frequent word is among them
     rare = counts.filter(F.col("c") <= least)
     each = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    known = each.join(rare, "word").select("chunk", F.struct("at", "c").alias("w"))
+    # most of a chunk's words are frequent ones: left out before the others are shuffled; fewer than FREQUENT_WORDS
+    sent = F.broadcast(counts.filter(F.col("c") > least).select("word"))
+    known = each.join(sent, "word", "left_anti").join(rare, "word").select("chunk", F.struct("at", "c").alias("w"))
     known = known.groupBy(F.col("chunk").alias("k_chunk")).agg(F.collect_list("w").alias("w"))
     known = known.select("k_chunk", F.col("w.at").alias("at"), F.col("w.c").alias("c"))
     full = chunks.drop("counts").join(known, F.col("chunk") == F.col("k_chunk"), "left")

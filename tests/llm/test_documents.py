@@ -645,3 +645,29 @@ def test_empty_table_gives_empty_result(spark, run):
 
 def test_clash_list_is_used(spark):
     assert set(CLASH) < set(documents(spark, extra=True).columns)
+
+
+def test_frequent_words_are_not_shuffled_and_sums_leave_no_shuffle_files(spark, monkeypatch):
+    """Words whose counts all tasks have are left out before the join on rarer words; the rounds' sums are staged."""
+    names = []
+    monkeypatch.setattr(lm, "staged", lambda df, name, *a, **k: names.append(name) or staged(df, name, *a, **k))
+    out = lm.lm_scores(documents(spark), F.lit(False))
+    assert "LeftAnti" in out._jdf.queryExecution().optimizedPlan().toString() and names.count("lm-sums") == lm.ROUNDS
+
+
+@pytest.mark.parametrize("block", [64, 1 << 18])
+def test_probabilities_are_added_up_by_row(monkeypatch, block):
+    monkeypatch.setattr(lm, "BLOCK", block)
+    monkeypatch.setattr(lm, "BATCH", 32)
+    rng = np.random.default_rng(4)
+    model = lm.Model({}, rng.integers(1, 9, lm.BUCKETS), np.ones(lm.BUCKETS))
+    model.weights = rng.normal(0, 0.3, model.weights.shape).astype(np.float32)
+    rows, cls = [rng.integers(0, 40, 500).astype(np.uint16) for _ in range(lm.FEATURES)], rng.integers(0, lm.CLASSES, 500)
+    got = np.zeros((2, lm.FEATURES, lm.ROWS, lm.MEMBERS))
+    for layer in (0, 1):
+        lm.add_expected(model, layer, rows, cls, got)
+        e, total = model.layer(layer, rows, cls)
+        for k, r in enumerate(rows):
+            want = np.zeros((lm.ROWS, lm.MEMBERS))
+            np.add.at(want, r, e / total[:, None])
+            assert np.allclose(got[layer, k], want, rtol=1e-4, atol=1e-5)
