@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -53,13 +54,19 @@ MAX_STEP = 1.5
 CHUNK_TOKENS = 800_000
 FREQUENT_WORDS = 200_000  # whose counts are sent to all tasks (about 6 MB); other words' counts are joined
 BATCH = 1 << 13         # tokens at a time, so that a batch's arrays stay in the cache
-BLOCK = 1 << 18         # tuples whose probabilities are added up by row at a time
+BLOCK = 3 << 18         # tuples whose probabilities are added up by row at a time (100 MB at most)
 SUFFIX = 3
 START = 0x5BD1E995      # history before the first word
 
 CHUNK = "chunk bigint, doc_id array<bigint>, held array<boolean>, size array<int>, ids binary, words array<string>, counts array<int>"
 
 
+def cells(column: pa.Array) -> Iterator[np.ndarray | None]:
+    """Each row of a list column as a numpy array, one at a time; null stays null."""
+    for row in column:
+        yield None if row.values is None else row.values.to_numpy(zero_copy_only=False)
+
+
 def packed(ids: np.ndarray) -> bytes:
     return pa.compress(ids.astype("<i4").tobytes(), codec="zstd", asbytes=True)
 
@@ -124,8 +131,9 @@ class Model:
         counts = (bucket_tokens + 1.0).reshape(CLASSES, MEMBERS)
         self.class_bias = np.log(counts.sum(axis=1) / counts.sum()).astype(np.float32)
         self.member_bias = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
-        # layer, feature, row, output
+        # layer, feature, row, output; only ``step`` changes them once a layer has been worked out
         self.weights = np.zeros((2, FEATURES, ROWS, MEMBERS), np.float32)
+        self.powers: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def buckets(self, words: list[str]) -> np.ndarray:
         out = np.fromiter(map(SHARED.__getitem__, [w[-SUFFIX:] for w in words]), np.int64, len(words))
@@ -134,13 +142,16 @@ class Model:
             out[at] = own[words[at]]
         return out
 
-    def layer(self, which: int, rows: list[np.ndarray], cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials (token by output) and their sums; a step is clipped, so none overflows."""
-        z = self.weights[which, 0].take(rows[0], axis=0)
+    def layer(self, which: int, rows: list[np.ndarray], cls: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials (token by output) and their sums; a step is clipped, so none overflows. Those of the
+        weights are taken once for all tokens: a token's are their products."""
+        if self.powers is None:
+            self.powers = np.exp(self.weights), np.exp(self.class_bias), np.exp(self.member_bias)
+        weights, class_prior, member_prior = self.powers
+        z = np.take(weights[which, 0], rows[0], axis=0, out=out, mode="clip")
         for k in range(1, FEATURES):
-            z += self.weights[which, k].take(rows[k], axis=0)
-        z += self.member_bias.take(cls, axis=0) if which else self.class_bias
-        np.exp(z, out=z)
+            z *= weights[which, k].take(rows[k], axis=0)
+        z *= member_prior.take(cls, axis=0) if which else class_prior
         return z, z @ np.ones(MEMBERS, np.float32)
 
     def step(self, table_rows: np.ndarray, observed: np.ndarray, expected: np.ndarray) -> None:
@@ -148,6 +159,7 @@ class Model:
         step = (observed - expected) / (0.5 * (observed + expected) + PRIOR)
         step = np.clip(step, -MAX_STEP, MAX_STEP) / FEATURES * 1.5
         self.weights.reshape(-1, MEMBERS)[table_rows] += step.astype(np.float32)
+        self.powers = None
 
 
 def shared_bucket(word: str) -> int:
@@ -227,21 +239,26 @@ def add_expected(model: Model, layer: int, rows: list[np.ndarray], cls: np.ndarr
     """Add the probabilities of all outputs to the rows of each token's features. Equal tuples have equal
     probabilities, so each is computed once and counted as often as it occurs."""
     rows, cls, counts = distinct_tuples(rows, cls if layer else np.zeros_like(cls))
-    # output by tuple, so that the sums by row run along memory
-    block = np.empty((MEMBERS, min(BLOCK, len(cls))), np.float32)
+    size = min(BLOCK, len(cls))
+    e, weight = np.empty((size, MEMBERS), np.float32), np.empty(size, np.float32)
     for low in range(0, len(cls), BLOCK):
         high = min(low + BLOCK, len(cls))
         for lo in range(low, high, BATCH):
             at = slice(lo, min(lo + BATCH, high))
-            p, total = model.layer(layer, [r[at] for r in rows], cls[at])
-            np.multiply(p.T, counts[at] / total, out=block[:, at.start - low:at.stop - low])
+            here = slice(at.start - low, at.stop - low)
+            _, total = model.layer(layer, [r[at] for r in rows], cls[at], e[here])
+            np.divide(counts[at], total, out=weight[here])
         for k, r in enumerate(rows):
-            r, p = r[low:high], block[:, :high - low]
+            r, w, order = r[low:high], weight[:high - low], None
             if k:  # the first feature is in order
                 order = np.argsort(r, kind="stable")
-                r, p = r[order], p.take(order, axis=1)
-            starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-            expected[layer, k][r[starts]] += np.add.reduceat(p, starts, axis=1).T
+                r, w = r[order], w[order]
+            new = np.concatenate(([True], r[1:] != r[:-1]))
+            new[::BATCH] = True  # sums of a frequent row stay short in single precision
+            starts = np.flatnonzero(new)
+            sums = expected[layer, k]
+            for row, lo, hi in zip(r[starts].tolist(), starts.tolist(), np.append(starts[1:], len(r)).tolist()):
+                sums[row] += w[lo:hi] @ (e[lo:hi] if order is None else e.take(order[lo:hi], axis=0))
 
 
 OBSERVED, EXPECTED = [f"o{j}" for j in range(MEMBERS)], [f"e{j}" for j in range(MEMBERS)]
@@ -257,10 +274,10 @@ def gradient_sums(chunks: DataFrame, shared, first: bool) -> DataFrame:
         observed = np.zeros((2, FEATURES, ROWS * MEMBERS))
         expected = np.zeros((2, FEATURES, ROWS, MEMBERS))
         for batch in rows:
-            for held, sizes, ids, words in zip(*(c.to_pylist() for c in batch.columns)):
-                sizes = np.array(sizes)
-                ids = unpacked(ids, sizes)
-                cls, member, places = chunk_rows(model, ids, sizes, words, np.repeat(~np.array(held, bool), sizes))
+            held, sizes, ids, words = batch.columns
+            for held, sizes, ids, words in zip(cells(held), cells(sizes), ids, cells(words)):
+                ids = unpacked(ids.as_py(), sizes)
+                cls, member, places = chunk_rows(model, ids, sizes, words.tolist(), np.repeat(~held.astype(bool), sizes))
                 if first:  # probabilities depend on the class alone: counts by class suffice
                     for layer, prior in ((0, np.tile(np.exp(model.class_bias), (CLASSES, 1))), (1, np.exp(model.member_bias))):
                         for k in range(FEATURES):
@@ -334,12 +351,13 @@ def score_chunks(spark: SparkSession, chunks: DataFrame, counts: DataFrame, mode
         model: Model = shared.value
         frequent = shared_counts.value
         for batch in rows:
-            for doc_ids, held, sizes, ids, words, at, rare_c in zip(*(x.to_pylist() for x in batch.columns)):
-                sizes = np.array(sizes)
-                c = np.fromiter((frequent.get(w, 0) for w in words), np.float64, len(words))
-                if at:
+            doc_ids, held, sizes, ids, words, at, rare_c = batch.columns
+            for doc_ids, held, sizes, ids, words, at, rare_c in zip(doc_ids, held, cells(sizes), ids, cells(words), cells(at), cells(rare_c)):
+                words = words.tolist()
+                c = np.fromiter(map(frequent.get, words, repeat(0)), np.float64, len(words))
+                if at is not None:
                     c[at] = rare_c
-                ids = unpacked(ids, sizes)
+                ids = unpacked(ids.as_py(), sizes)
                 start = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 bucket = model.buckets(words)
                 base = np.log10((c + 1) / (n + v + 1.0))[ids]
@@ -351,7 +369,7 @@ def score_chunks(spark: SparkSession, chunks: DataFrame, counts: DataFrame, mode
                         e, sums = model.layer(layer, [r[at] for r in places[layer]], cls[at])
                         total[at] += np.log10(e[np.arange(len(y)), y] / sums)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(held), pa.array(sizes.astype(np.int64)),
+                    [doc_ids.values, held.values, pa.array(sizes.astype(np.int64)),
                      pa.array(np.add.reduceat((c > 0)[ids].astype(np.int64), start)), pa.array(np.full(len(sizes), n, np.int64)),
                      pa.array(np.add.reduceat(base, start)), pa.array(np.add.reduceat(total, start))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

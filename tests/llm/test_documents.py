@@ -671,3 +671,47 @@ def test_probabilities_are_added_up_by_row(monkeypatch, block):
             want = np.zeros((lm.ROWS, lm.MEMBERS))
             np.add.at(want, r, e / total[:, None])
             assert np.allclose(got[layer, k], want, rtol=1e-4, atol=1e-5)
+
+
+def test_lm_exponentials_are_of_weights_and_not_of_tokens(monkeypatch):
+    """They are taken once for all tokens, until a step changes the weights."""
+    taken, exp = [], np.exp
+    rng = np.random.default_rng(5)
+    model = lm.Model({}, rng.integers(1, 9, lm.BUCKETS), np.ones(lm.BUCKETS))
+    rows, cls = [rng.integers(0, lm.ROWS, 2000).astype(np.uint16) for _ in range(lm.FEATURES)], rng.integers(0, lm.CLASSES, 2000)
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: taken.append(np.size(x)) or exp(x, *a, **k))
+    for _ in range(2):
+        touched = np.arange(2 * lm.FEATURES * lm.ROWS)
+        model.step(touched, *rng.integers(0, 20, (2, len(touched), lm.MEMBERS)))
+        taken.clear()
+        for _ in range(20):
+            got = [model.layer(layer, rows, cls) for layer in (0, 1)]
+        assert sum(taken) <= model.weights.size + 2 * lm.BUCKETS
+        for layer, (e, sums) in enumerate(got):
+            z = sum(model.weights[layer, k][rows[k]] for k in range(lm.FEATURES)) + (model.member_bias[cls] if layer else model.class_bias)
+            assert np.allclose(e, exp(z), rtol=1e-5) and np.allclose(sums, exp(z).sum(axis=1), rtol=1e-5)
+
+
+def test_lm_sums_of_a_frequent_row_stay_exact(monkeypatch):
+    """A row that nearly all tuples share is added up in short pieces, in several blocks."""
+    monkeypatch.setattr(lm, "BLOCK", 50_000)
+    rng = np.random.default_rng(6)
+    model = lm.Model({}, rng.integers(1, 9, lm.BUCKETS), np.ones(lm.BUCKETS))
+    model.weights = rng.normal(0, 0.3, model.weights.shape).astype(np.float32)
+    n = 120_000
+    rows, cls = [np.full(n, 7, np.uint16), rng.integers(0, lm.ROWS, n).astype(np.uint16), rng.integers(0, lm.ROWS, n).astype(np.uint16)], rng.integers(0, lm.CLASSES, n)
+    got = np.zeros((2, lm.FEATURES, lm.ROWS, lm.MEMBERS))
+    for layer in (0, 1):
+        lm.add_expected(model, layer, rows, cls, got)
+        z = sum(model.weights[layer, k][rows[k]].astype(float) for k in range(lm.FEATURES)) + (model.member_bias[cls] if layer else model.class_bias)
+        p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+        assert np.allclose(got[layer, 0, 7], p.sum(axis=0), rtol=1e-5)
+        assert np.allclose(got[layer].sum(axis=(1, 2)), n, rtol=1e-5)
+
+
+def test_lm_lists_become_arrays():
+    import pyarrow as pa
+
+    got = list(lm.cells(pa.array([[3], [1, 2], None, []], pa.list_(pa.int32())).slice(1)))
+    assert [None if x is None else x.tolist() for x in got] == [[1, 2], None, []]
+    assert next(lm.cells(pa.array([["", "a\0b", "漢"]], pa.list_(pa.string())))).tolist() == ["", "a\0b", "漢"]
