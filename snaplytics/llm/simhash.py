@@ -1,20 +1,21 @@
-"""SimHash near-duplicates by segment popcounts and a grid range join.
+"""SimHash near-duplicates by equal blocks of fingerprints.
 
 A document's fingerprint takes the majority of each bit over the hashes of its word
 shingles. Rows with equal fingerprints are one class from then on. A fingerprint is cut
-into two blocks of 32 bits and each block embedded as the bit counts of its 2-bit segments
-(16 coordinates of 0 to 2). Flipping a bit moves one coordinate by one, so the Manhattan
-distance of two embeddings is at most the number of differing bits; and of two
-fingerprints within 4 bits, one block differs in at most 2. Every class therefore enters
-the grid cell of its coordinates and the adjacent cells (one coordinate, one step): two
-points within Manhattan distance 2 always share such a cell. Pairs that meet in a cell
-are verified by their exact bit distance inside the join.
-
-Cells with more than ``CELL_LIMIT`` classes (dense groups of near copies, or chance in a
-very large corpus) take another exact way that makes no pairs: each of their classes
-enters all bit patterns within 2 flips of it. Two fingerprints within 4 bits share such a
-pattern, and any two that share one are within 4 bits, so every member of a pattern is
-linked to its least member. The cost is linear in the classes.
+into six blocks of ten or eleven bits. Of two fingerprints within 4 bits, at most four
+blocks differ, so at least two are equal: every class enters one cell for each of the 15
+pairs of blocks, named by the pair and the blocks' bits, and two such classes always
+share a cell. Pairs that meet in a cell are verified by their exact bit distance inside
+the join. A cell has some 21 bits, so by chance a class meets few others in it.
+
+Cells with more than ``CELL_LIMIT`` classes (dense groups of near copies, or chance in an
+extremely large corpus) make no pairs. Their classes go on among themselves with finer cells,
+four equal blocks of eight (32 bits, 70 cells a class), and those of finer cells that are
+crowded again take an exact way without pairs: each enters all bit patterns within 2 flips
+of it. Two fingerprints within 4 bits share such a pattern, and any two that share one are
+within 4 bits, so every member of a pattern is linked to its least member. The cost is
+linear in the classes. No link is lost: a pair that shares only crowded cells has both
+ends among the classes that go on.
 
 Components come from ``graph.components``. Cases: null and empty texts have fingerprint
 zero, linked like any other; a text of fewer words than a shingle is one shingle; a null
@@ -26,6 +27,7 @@ columns are kept by ``dedup`` as they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,7 @@ SHINGLE = 4
 MAX_BITS = 4
 CELL_LIMIT = 128
 SEED = 42
-SEGMENTS = 16           # 2-bit segments in a block
-GRID = 3 ** SEGMENTS    # cells of a block
+CELLS = ((6, 2), (8, 4))  # blocks of a fingerprint, and how many of them make a cell: coarse, then finer
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -78,25 +79,17 @@ def with_fingerprint(docs: DataFrame, name: str, shingle: int = SHINGLE) -> Data
     return docs.mapInArrow(mark, schema)
 
 
-def grid_cells(classes: DataFrame) -> DataFrame:
-    """(fp) -> (cell, fp) for the cell of each block's embedding and its neighbours."""
-    powers = 3 ** np.arange(SEGMENTS, dtype=np.int64)
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                fps = batch.column(0).slice(start, 4096).to_numpy(zero_copy_only=False)
-                bits = np.unpackbits(fps.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                counts = bits.reshape(-1, 2, SEGMENTS, 2).sum(axis=3, dtype=np.int64)
-                home = counts @ powers + np.array([0, GRID])
-                out, who = [home.ravel()], [np.repeat(fps, 2)]
-                for step, room in ((powers, counts < 2), (-powers, counts > 0)):
-                    row, block, segment = np.nonzero(room)
-                    out.append(home[row, block] + step[segment])
-                    who.append(fps[row])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(who))], ["cell", "fp"])
-
-    return classes.select("fp").mapInArrow(cells, "cell bigint, fp bigint")
+def block_cells(classes: DataFrame, blocks: int, equal: int) -> DataFrame:
+    """(fp) -> (cell, fp) for each choice of ``equal`` of the blocks: the choice's number and the blocks' bits."""
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    cells = []
+    for number, choice in enumerate(combinations(range(blocks), equal)):
+        cell = F.lit(number).cast("long")
+        for b in choice:
+            bits = cuts[b + 1] - cuts[b]
+            cell = F.shiftleft(cell, bits).bitwiseOR(F.shiftright("fp", cuts[b]).bitwiseAND(F.lit((1 << bits) - 1)))
+        cells.append(cell)
+    return classes.select(F.explode(F.array(*cells)).alias("cell"), "fp")
 
 
 def flip_patterns(classes: DataFrame) -> DataFrame:
@@ -115,31 +108,38 @@ def flip_patterns(classes: DataFrame) -> DataFrame:
     return classes.select("fp").mapInArrow(patterns, "pattern bigint, fp bigint")
 
 
+def met_in_cells(cells: DataFrame, max_bits: int, cell_limit: int, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """The verified pairs (a, b) of ordinary cells, and the classes (fp) of crowded ones (None if none is)."""
+    crowded = staged(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+                     .filter(F.col("n") > cell_limit).select(F.col("cell").alias("full")), f"simhash-crowded-{name}")
+    none, ordinary, dense = crowded.isEmpty(), cells, None
+    if not none:
+        side = broadcast_if_small(crowded)
+        ordinary = cells.join(side, F.col("cell") == F.col("full"), "left_anti")
+        dense = staged(cells.join(side, F.col("cell") == F.col("full"), "left_semi").select("fp").distinct(), f"simhash-dense-{name}")
+    left, right = ordinary.toDF("cell", "a"), ordinary.toDF("cell_b", "b")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    return left.join(right.hint("merge"), (F.col("cell") == F.col("cell_b")) & (F.col("a") < F.col("b")) & near).select("a", "b"), dense
+
+
 def links(classes: DataFrame, max_bits: int = MAX_BITS, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """(fp), distinct -> edges (a, b) whose components are those of all links within
     ``max_bits``: every verified pair of ordinary cells, stars for the crowded ones."""
     if not 0 <= max_bits <= 4:
-        raise ValueError("the grid's neighbourhood covers up to 4 differing bits")
-    crowded = staged(grid_cells(classes).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-                     .filter(F.col("n") > cell_limit).select(F.col("cell").alias("full")), "simhash-crowded")
-    none = crowded.isEmpty()
-    ordinary = grid_cells(classes)
-    if not none:
-        ordinary = ordinary.join(broadcast_if_small(crowded), F.col("cell") == F.col("full"), "left_anti")
-    left, right = ordinary.toDF("cell", "a"), ordinary.toDF("cell_b", "b")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    pairs = left.join(right.hint("merge"), (F.col("cell") == F.col("cell_b")) & (F.col("a") < F.col("b")) & near).select("a", "b")
-    if none:
-        return pairs
-    dense = grid_cells(classes).join(broadcast_if_small(crowded), F.col("cell") == F.col("full"), "left_semi").select("fp").distinct()
-    dense = staged(dense, "simhash-dense")
+        raise ValueError("the cells cover up to 4 differing bits")
+    edges, dense = None, classes
+    for name, shape in zip(("coarse", "fine"), CELLS):
+        pairs, dense = met_in_cells(block_cells(dense, *shape), max_bits, cell_limit, name)
+        edges = pairs if edges is None else edges.unionByName(pairs)
+        if dense is None:
+            return edges
     if max_bits < 4:  # patterns say four bits or fewer; the exact distance decides
         raise ValueError("crowded cells need max_bits = 4")
     patterns = flip_patterns(dense)
     least = patterns.groupBy("pattern").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).filter(F.col("a") < F.col("most"))
     star = patterns.join(least.select(F.col("pattern").alias("p"), "a"), F.col("pattern") == F.col("p")) \
         .select("a", F.col("fp").alias("b")).filter(F.col("a") != F.col("b")).distinct()
-    return pairs.unionByName(star)
+    return edges.unionByName(star)
 
 
 def keepers(rows: DataFrame) -> DataFrame:

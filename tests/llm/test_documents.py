@@ -170,6 +170,39 @@ def test_simhash_equals_brute_force(spark, monkeypatch, limit):
     assert group(lambda f: roots.get(f, f)) == group(want.get)
 
 
+def linked_groups(spark, fps, **kw):
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp bigint")
+    roots = {r.node % (1 << 64): r.root for r in graph.components(simhash.links(df, **kw)).collect()}
+    return sorted(sorted(f for f in fps if roots.get(f, f) == k) for k in {roots.get(f, f) for f in fps})
+
+
+def near_copies(rng, fps):
+    for f in rng.choice(np.array(fps, np.uint64), 20, replace=False).tolist():
+        for b in rng.choice(64, size=rng.integers(1, 5), replace=False):
+            f ^= 1 << int(b)
+        yield f
+
+
+def plain_groups(fps):
+    a = np.array(fps, np.uint64)
+    near = np.bitwise_count(a[:, None] ^ a[None, :]) <= 4
+    reach = np.linalg.matrix_power(near.astype(float), 8) > 0  # planted groups are shallow
+    return sorted(sorted(fps[j] for j in np.flatnonzero(row)) for i, row in enumerate(reach) if np.flatnonzero(row)[0] == i)
+
+
+@pytest.mark.parametrize("shared", [0, 11])
+def test_simhash_classes_that_meet_by_chance_make_no_patterns(spark, monkeypatch, shared):
+    """Equal bit counts (shared = 0: one bit of every two is set) put no classes in one cell, and classes
+    that share two blocks of six go on with finer cells; neither makes 2,081 patterns a class."""
+    rng = np.random.default_rng(11)
+    halves = rng.integers(2, size=(400, 32))
+    halves[:, :shared] = halves[0, :shared]
+    fps = [sum((1 + int(h)) << (2 * i) for i, h in enumerate(row)) for row in halves]
+    fps = sorted({*fps, *near_copies(rng, fps)})
+    monkeypatch.setattr(simhash, "flip_patterns", lambda classes: pytest.fail("patterns of chance company"))
+    assert linked_groups(spark, fps, cell_limit=64) == plain_groups(fps)
+
+
 def test_simhash_report_and_dedup(spark):
     docs = documents(spark, extra=True)
     got = simhash.simhash_report(docs).collect()
