@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, staged
+from .common import SIDE_BYTES, broadcast_if_small, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("n"))
         best = ends.groupBy("node").agg(F.min(rank("to")).alias("best"))
         parent = staged(best.select("node", F.least("best", rank("node"))["n"].alias("root")), f"cc-parent{turn}")
-        side = broadcast_if_small(parent)
+        side = broadcast_if_small(parent, SIDE_BYTES)
         moved = edges.join(side.toDF("a", "ra"), "a").join(side.toDF("b", "rb"), "b") \
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
         edges = staged(moved.filter(F.col("a") != F.col("b")).distinct(), f"cc-edges{turn}")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcast_if_small, last_staged, only_kept, staged, table, unclash
+from .common import SIDE_BYTES, broadcast_if_small, last_staged, only_kept, staged, table, unclash
 from .graph import components
 
 SHINGLE = 4
@@ -114,7 +114,7 @@ def met_in_cells(cells: DataFrame, max_bits: int, cell_limit: int, name: str) ->
                      .filter(F.col("n") > cell_limit).select(F.col("cell").alias("full")), f"simhash-crowded-{name}")
     none, ordinary, dense = crowded.isEmpty(), cells, None
     if not none:
-        side = broadcast_if_small(crowded)
+        side = broadcast_if_small(crowded, SIDE_BYTES)
         ordinary = cells.join(side, F.col("cell") == F.col("full"), "left_anti")
         dense = staged(cells.join(side, F.col("cell") == F.col("full"), "left_semi").select("fp").distinct(), f"simhash-dense-{name}")
     left, right = ordinary.toDF("cell", "a"), ordinary.toDF("cell_b", "b")
@@ -148,7 +148,7 @@ def keepers(rows: DataFrame) -> DataFrame:
     with only_kept(rows.sparkSession) as kept:
         classes = staged(rows.groupBy("fp").agg(least.alias("least")), "simhash-classes")
         roots = components(links(classes.select("fp")))
-        joined = classes.join(broadcast_if_small(staged(roots, "simhash-roots")), F.col("fp") == F.col("node"), "left")
+        joined = classes.join(broadcast_if_small(staged(roots, "simhash-roots"), SIDE_BYTES), F.col("fp") == F.col("node"), "left")
         members = staged(joined.select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-members")
         best = members.groupBy("root").agg(F.min("least").alias("keep"))
         best = staged(members.join(best, "root").select("fp", "keep"), "simhash-keepers")
@@ -177,11 +177,11 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         kept.append(last_staged())
         ties = staged(seen.filter(stays & (F.col("n") > 1)).select(F.col("doc_id").alias(n["gone"]), F.col("fp").alias(n["gone_fp"])), "simhash-ties")
         kept.append(last_staged())
-    losers = broadcast_if_small(losers)
+    losers = broadcast_if_small(losers, SIDE_BYTES)
     same = F.col("doc_id").eqNullSafe(F.col(n["gone"])) & (F.col(n["fp"]) == F.col(n["gone_fp"]))
     kept = marked.join(losers, same, "left_anti")
     if not ties.isEmpty():
-        side = broadcast_if_small(ties)
+        side = broadcast_if_small(ties, SIDE_BYTES)
         kept = kept.join(side, same, "left_anti").unionByName(
             kept.join(side, same, "left_semi").dropDuplicates(["doc_id", n["fp"]]))
     return kept.drop(n["fp"])

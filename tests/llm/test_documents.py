@@ -203,6 +203,16 @@ def test_simhash_classes_that_meet_by_chance_make_no_patterns(spark, monkeypatch
     assert linked_groups(spark, fps, cell_limit=64) == plain_groups(fps)
 
 
+def test_rounds_of_components_broadcast_small_tables_only(spark, monkeypatch):
+    """The driver holds the tables of all rounds beside each other."""
+    seen = []
+    real = graph.broadcast_if_small
+    monkeypatch.setattr(graph, "broadcast_if_small", lambda df, most=8 << 20: seen.append(most) or real(df, most))
+    edges = [(i, i + 1) for i in range(1, 40)]
+    assert graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).count() == 40
+    assert len(seen) > 1 and max(seen) <= 1 << 20
+
+
 def test_simhash_report_and_dedup(spark):
     docs = documents(spark, extra=True)
     got = simhash.simhash_report(docs).collect()
