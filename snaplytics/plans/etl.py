@@ -48,7 +48,7 @@ def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions
     K.write_dimension(dim, paths.dim)
     metrics = StageMetrics(regions)
     laid_out = metrics.observe(K.layout_fact(counted_fact(raw)))
-    K.write_laid_out(laid_out.where("__real").select(*FACT_COLUMNS), paths.fact)
+    K.write_waves([laid_out.where("__real").select(*FACT_COLUMNS)], 1, paths.fact)
     clean = Q.committed_rows(spark, paths.fact)
     return {**metrics.get(clean), "dim_rows": read_dimension(spark, paths.dim).count(), **inputs}
 

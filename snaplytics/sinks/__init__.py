@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplytics.schemas import DIM_MAX_LENGTHS, FACT_SCHEMA, MAX_LENGTHS, NOT_NULL_DIM, NOT_NULL_FACT
 from snaplytics.sinks.publish import Refresh, declare, publish
+from snaplytics.sinks.staging import Wave, in_wave, shuffles_end_with_queries
 
 
 def write_dimension(dim: DataFrame, path: str) -> None:
@@ -76,17 +78,24 @@ def layout_fact(fact: DataFrame, files_per_region: int | None = None) -> DataFra
     return keyed.sortWithinPartitions("region", "__layout").drop("__layout")
 
 
-def write_fact(fact: DataFrame, path: str, files_per_region: int | None = None) -> None:
-    """K2: Parquet partitioned by region; static overwrite removes stale regions."""
-    write_laid_out(layout_fact(fact, files_per_region), path)
+def write_fact(fact: DataFrame, path: str, files_per_region: int | None = None, waves: list[Wave] | None = None,
+               derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+    """K2: Parquet partitioned by region; static overwrite removes stale regions. With ``waves``, regions are
+    laid out and written wave by wave. ``derive`` adds columns to rows that are laid out, so that
+    these don't go through the shuffle."""
+    write_waves((derive(layout_fact(in_wave(fact, wave), files_per_region)) for wave in waves or [None]), len(waves or [None]), path)
 
 
-def write_laid_out(fact: DataFrame, path: str) -> None:
-    """K2 for rows that are already laid out."""
-    (fact.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .option("parquet.bloom.filter.enabled#video_id", "true")
-     .option("parquet.bloom.filter.expected.ndv#video_id", str(ITEMS_A_ROW_GROUP))
-     .partitionBy("region").parquet(path))
+def write_waves(parts: Iterable[DataFrame], count: int, path: str) -> None:
+    """K2 for rows that are already laid out, in ``count`` parts of different regions. Only the last part
+    leaves the mark of success, so that a fact that broke off between two is told from a whole one."""
+    for k, part in enumerate(parts):
+        with shuffles_end_with_queries(part.sparkSession):
+            (part.write.mode("append" if k else "overwrite").option("partitionOverwriteMode", "static")
+             .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(k == count - 1).lower())
+             .option("parquet.bloom.filter.enabled#video_id", "true")
+             .option("parquet.bloom.filter.expected.ndv#video_id", str(ITEMS_A_ROW_GROUP))
+             .partitionBy("region").parquet(path))
 
 
 def column_type(name: str, kind: str, limits: dict[str, int]) -> str:
@@ -146,11 +155,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int, properties:
        .option("truncate", truncate).options(**(properties or {})).save())
 
 
-def refresh_pair(fact: DataFrame, dim: DataFrame, fact_table: str, dim_table: str, root: str) -> str:
-    """K3 + K4: both tables refreshed as one publish, the dimension first."""
+def refresh_pair(fact: DataFrame, dim: DataFrame, fact_table: str, dim_table: str, root: str, waves: list[Wave] | None = None) -> str:
+    """K3 + K4: both tables refreshed as one publish, the dimension first. With ``waves``, the fact's
+    regions are laid out and written wave by wave."""
     return publish(fact.sparkSession, [
-        Refresh(dim_table, dim.coalesce(1), dim_ddl, NOT_NULL_DIM),
-        Refresh(fact_table, layout_fact(fact), fact_ddl, NOT_NULL_FACT)], root)
+        Refresh(dim_table, [dim.coalesce(1)], dim_ddl, NOT_NULL_DIM),
+        Refresh(fact_table, [layout_fact(in_wave(fact, wave)) for wave in waves or [None]], fact_ddl, NOT_NULL_FACT)], root)
 
 
 def write_report_csv(report: DataFrame, path: str, ordered: bool = True) -> None:

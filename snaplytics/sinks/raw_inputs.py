@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PARTITION_TEMPLATE = "region={region}"
+COMPRESSED_ROWS = 500_000
 
 
 def write_regional_csv(raw: DataFrame, out_dir: str, latin1_regions: list[str] | None = None,
-                       rename: dict[str, str] | None = None, latin1_order: list[str] | None = None) -> str:
+                       rename: dict[str, str] | None = None, latin1_order: list[str] | None = None,
+                       compression: str | None = None, append: bool = False) -> str:
     """Write ``raw`` (with a ``region`` column) as one CSV directory per region.
 
     Quotes are escaped by doubling (RFC 4180). Rows of ``latin1_regions`` are
     written ISO-8859-1 encoded, optionally with another column order, so a
-    reader must decide encoding per file and map columns by name. Returns the
-    path template to read them back with.
+    reader must decide encoding per file and map columns by name. ``append`` adds to the
+    files that are there. Compressed files can't be split, so they hold ``COMPRESSED_ROWS``
+    rows at most. Returns the path template to read them back with.
     """
     latin1_regions = latin1_regions or []
     rename = rename or {}
@@ -29,8 +32,10 @@ def write_regional_csv(raw: DataFrame, out_dir: str, latin1_regions: list[str] |
         return df.select(*[F.col(c).alias(rename.get(c, c)) for c in cols], "region")
 
     writer = dict(header=True, escape='"', quoteAll=False)
+    if compression:
+        writer |= dict(compression=compression, maxRecordsPerFile=COMPRESSED_ROWS)
     utf8 = raw.where(~F.col("region").isin(latin1_regions)) if latin1_regions else raw
-    (shaped(utf8).write.mode("overwrite").partitionBy("region").options(**writer).csv(out_dir))
+    (shaped(utf8).write.mode("append" if append else "overwrite").partitionBy("region").options(**writer).csv(out_dir))
     if latin1_regions:
         (shaped(raw.where(F.col("region").isin(latin1_regions)), latin1_order)
          .write.mode("append").partitionBy("region").options(**writer)

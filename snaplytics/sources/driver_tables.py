@@ -16,11 +16,17 @@ expressions as the clean job, so the analytics see exactly what it would write.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplytics.functions import expressions as X
+from snaplytics.operators.joins import bounded_broadcast
+from snaplytics.operators.quality import committed_rows
 from snaplytics.schemas import FACT_COLUMNS
+from snaplytics.sinks.staging import Wave, in_wave, region_waves, remove, shuffles_end_with_queries, write_by_region
 
 # nation (25 rows) and region (5 rows) have a fixed size by the TPC-H definition,
 # so they are the only tables this module broadcasts explicitly; every other join
@@ -31,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _enrich(df: DataFrame) -> DataFrame:
+def enrich(df: DataFrame) -> DataFrame:
     """Add the three derived columns and put the 20 fact columns in order."""
     return (df
             .withColumn("engagement_rate", X.engagement_rate())
@@ -49,12 +55,12 @@ def supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("s_suppkey", F.col("r_name").alias("region")))
 
 
-def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_orders(spark: SparkSession, sf_dir: str, suppliers: DataFrame) -> DataFrame:
+    """The line items with what their orders, customers and suppliers say, before the join with the parts."""
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     # Join order for scale: orders ⋈ customer first (an orders-sized shuffle by
     # customer key), then lineitem ⋈ that by order key as a sort-merge join -
     # lineitem and orders are the two largest tables and are never broadcast -
@@ -63,9 +69,16 @@ def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_customer = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     joined = (li
               .join(order_customer.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(part, F.col("l_partkey") == F.col("p_partkey"))
-              .join(supplier_regions(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")))
-    fact = joined.select(
+              .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")))
+    return joined.select("l_partkey", "l_shipdate", "region", "c_nationkey", "o_orderdate", "l_extendedprice", "l_quantity",
+                         "l_discount", "l_tax", "c_mktsegment", "l_returnflag", "l_linestatus", "o_orderstatus", "o_orderpriority")
+
+
+def star_base(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """The fact's columns but the derived ones, from ``star_orders``."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    joined = orders.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return joined.select(
         F.col("l_partkey").cast("string").alias("video_id"),
         F.col("l_shipdate").cast("date").alias("trending_date"),
         F.col("region"),
@@ -84,7 +97,26 @@ def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderstatus") == "P").alias("video_error_or_removed"),
         F.col("o_orderpriority").alias("description"),
     )
-    return _enrich(fact)
+
+
+def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich(star_base(spark, sf_dir, star_orders(spark, sf_dir, supplier_regions(spark, sf_dir))))
+
+
+@contextmanager
+def staged_star(spark: SparkSession, sf_dir: str, region: Callable[[Column], Column] = lambda c: c) -> Iterator[tuple[DataFrame, list[Wave]]]:
+    """``star_base`` for a job that writes it, and the waves to write it in. The rows are staged by region ahead of
+    the join with the parts, so the shuffles by order and by part don't lie on disk beside each
+    other, and what follows runs wave by wave (``sinks.staging``). The staged rows go with the block."""
+    from snaplytics.session import scratch_path
+
+    folder = scratch_path(spark, "star-orders")
+    try:
+        orders = star_orders(spark, sf_dir, bounded_broadcast(supplier_regions(spark, sf_dir)))
+        orders = write_by_region(orders.withColumn("region", region(F.col("region"))), folder)
+        yield star_base(spark, sf_dir, orders), region_waves(committed_rows(spark, folder))
+    finally:
+        remove(spark, folder)
 
 
 def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +140,7 @@ def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("video_error_or_removed"),
         F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("description"),
     )
-    return _enrich(fact)
+    return enrich(fact)
 
 
 def category_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +224,21 @@ def raw_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference's raw formats: ``yy.dd.MM`` dates, ISO ``...Z`` timestamps, ``True``/
     ``False`` flags, and 2-letter region codes (first letters of the region name)
     so they fit the fact's VARCHAR(10) region. Used for the pipeline benchmark."""
-    f = fact_star(spark, sf_dir).withColumn("region", region_code(F.col("region")))
+    return as_raw(fact_star(spark, sf_dir).withColumn("region", region_code(F.col("region"))))
+
+
+def write_raw_star(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+    """``raw_star`` as compressed regional CSV files, written wave by wave. Returns the path template."""
+    from snaplytics.sinks.raw_inputs import write_regional_csv
+
+    with staged_star(spark, sf_dir, region_code) as (rows, waves), shuffles_end_with_queries(spark):
+        for k, wave in enumerate(waves):
+            template = write_regional_csv(as_raw(in_wave(rows, wave)), out_dir, compression="gzip", append=k > 0)
+    return template
+
+
+def as_raw(f: DataFrame) -> DataFrame:
+    """The columns of the raw files, as text, from a fact."""
     raw_cols = [c for c in f.columns if c not in ("engagement_rate", "trending_day", "publish_hour")]
     out = []
     for c in raw_cols:
@@ -241,7 +287,11 @@ def materialized_fact(spark: SparkSession, sf_dir: str, which: str = "star") ->
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_path(spark, f"fact-{which}")
-        write_fact(FACTS[which](spark, sf_dir), path)
+        if which == "star":
+            with staged_star(spark, sf_dir) as (rows, waves):
+                write_fact(rows, path, waves=waves, derive=enrich)
+        else:
+            write_fact(FACTS[which](spark, sf_dir), path)
         _MATERIALIZED[key] = path
     return read_fact(spark, path)
 
