@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,8 @@ from snaplytics.plans.reports import REPORT_FILES, all_reports
 from snaplytics.plans.transform import StageMetrics, counted_fact, load_inputs
 from snaplytics.schemas import (DIM_MAX_LENGTHS, FACT_COLUMNS, FACT_KEY, MAX_LENGTHS, NOT_NULL_DIM,
                                 NOT_NULL_FACT)
+from snaplytics.sinks.staging import SPLIT_BYTES, in_wave, region_waves, setting, shuffles_end_with_queries
+from snaplytics.sources.manifest import input_manifest
 from snaplytics.sources.parquet import read_dimension, read_fact
 from snaplytics.sources.regional_csv import MISSING_TEXTS
 
@@ -30,6 +34,26 @@ class Paths:
         return f"{self.processed.rstrip('/')}/categories.parquet"
 
 
+#: Bytes of raw files that are not worth a wave of their own; about so many times the rows are in compressed ones.
+WAVE_BYTES, PACKED = 256 << 20, 8
+
+
+def packed(raw: DataFrame) -> int:
+    """How many times the usual rows a byte of the files holds."""
+    return PACKED if any(f.endswith((".gz", ".bz2", ".snappy", ".lz4", ".zst", ".deflate")) for f in raw.inputFiles()) else 1
+
+
+@contextmanager
+def splits_for(spark: SparkSession, times: int) -> Iterator[None]:
+    """Tasks read so many times fewer bytes of input."""
+    if times == 1:
+        yield
+        return
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    with setting(spark, SPLIT_BYTES, str(max(split // times, 1 << 20))):
+        yield
+
+
 def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions: list[str] | None = None,
                   csv_template: str = X.CSV_NAME_TEMPLATE, json_template: str = X.JSON_NAME_TEMPLATE,
                   multiline="auto", category_regions: list[str] | None = None, surplus: str = "raise",
@@ -39,6 +63,8 @@ def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions
     Returns stage metrics (V2, V3, V9), in all and by region: raw, complete and negative rows are
     observed in the writing stage, clean and dimension rows are counted in the written files'
     footers. Also the number of input files and the configured regions that had none (S8).
+    A key holds its region, so large inputs are cleaned and written wave by wave of regions, each with
+    its shuffles alone on disk.
     """
     regions = regions or X.DEFAULT_REGIONS
     paths = Paths(processed_dir)
@@ -47,8 +73,12 @@ def run_transform(spark: SparkSession, raw_dir: str, processed_dir: str, regions
                            category_regions, inputs, surplus, missing_texts)
     K.write_dimension(dim, paths.dim)
     metrics = StageMetrics(regions)
-    laid_out = metrics.observe(K.layout_fact(counted_fact(raw)))
-    K.write_waves([laid_out.where("__real").select(*FACT_COLUMNS)], 1, paths.fact)
+    manifest = input_manifest(spark, raw_dir, regions, csv_template, json_template).where("kind = 'csv' AND files > 0")
+    times = packed(raw)
+    waves = region_waves({r["region"]: r["bytes"] for r in manifest.collect()}, WAVE_BYTES // times)
+    parts = (metrics.observe(counted_fact(in_wave(raw, wave), K.layout_fact)) for wave in waves)
+    with splits_for(spark, times):
+        K.write_waves((part.where("__real").select(*FACT_COLUMNS) for part in parts), len(waves), paths.fact)
     clean = Q.committed_rows(spark, paths.fact)
     return {**metrics.get(clean), "dim_rows": read_dimension(spark, paths.dim).count(), **inputs}
 
@@ -65,8 +95,9 @@ def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trendin
     """
     paths = Paths(processed_dir)
     fact, dim = read_fact(spark, paths.fact), read_dimension(spark, paths.dim)
-    summary = Q.violation_summary(fact, dim, FACT_KEY, "category_id", NOT_NULL_FACT, NOT_NULL_DIM,
-                                  MAX_LENGTHS, DIM_MAX_LENGTHS)
+    with shuffles_end_with_queries(spark):
+        summary = Q.violation_summary(fact, dim, FACT_KEY, "category_id", NOT_NULL_FACT, NOT_NULL_DIM,
+                                      MAX_LENGTHS, DIM_MAX_LENGTHS)
     Q.assert_loadable(summary)
     if copy:
         K.refresh_pair(fact, dim, fact_table, dim_table, location or f"{processed_dir.rstrip('/')}/tables")

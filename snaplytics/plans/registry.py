@@ -26,9 +26,10 @@ from snaplytics.plans.transform import build_category_dim
 from snaplytics.schemas import DIM_MAX_LENGTHS, FACT_COLUMNS, FACT_KEY, MAX_LENGTHS, NOT_NULL_DIM, NOT_NULL_FACT
 from snaplytics.session import apply_defaults, scratch_path
 from snaplytics.sinks.raw_inputs import write_category_json, write_regional_csv, write_regional_lines
+from snaplytics.sinks.staging import region_waves, remove, write_by_region
 from snaplytics.sources.category_json import read_category_items
-from snaplytics.sources.driver_tables import (category_dim, category_items, category_items_coded, raw_events, raw_star,
-                                              region_code, region_order, table)
+from snaplytics.sources.driver_tables import (category_dim, category_items, category_items_coded, enrich, raw_events, raw_star,
+                                              region_code, region_order, staged_star, table, write_raw_star)
 from snaplytics.sources.driver_tables import events_fact as fact_events
 from snaplytics.sources.driver_tables import star as fact_star
 from snaplytics.sources.manifest import input_manifest
@@ -468,19 +469,22 @@ def _t4(spark, d):
     """The batch pipeline over the lineitem star, first without the load, then with it:
     its row counts and the rows of both tables (NULL where the load was skipped)."""
     raw_dir = scratch_path(spark, "batch-raw")
-    csv_t = write_regional_csv(raw_star(spark, d), f"{raw_dir}/csv")
+    csv_t = write_raw_star(spark, d, f"{raw_dir}/csv")
     json_t = write_category_json(category_items_coded(spark, d), f"{raw_dir}/json")
     regions = [r[0] for r in region_order(spark, d).orderBy("r_regionkey").select(region_code("r_name")).collect()]
     seen = []
     for skip in (True, False):
         names = {"fact_table": fresh_name("batch_fact"), "dim_table": fresh_name("batch_dim")}
-        status = P.run_pipeline(spark, raw_dir, scratch_path(spark, "batch-out"), skip, regions, csv_template=f"csv/{csv_t}",
+        processed = scratch_path(spark, "batch-out")
+        status = P.run_pipeline(spark, raw_dir, processed, skip, regions, csv_template=f"csv/{csv_t}",
                                 json_template=f"json/{json_t}", **names)
         t = status["transform"]
         loaded = [spark.table(n).count() if spark.catalog.tableExists(n) else None for n in names.values()]
         seen.append((skip, t["raw_rows"], t["clean_rows"], t["dim_rows"], *loaded, sum(status.get("load", {}).values())))
         for n in names.values():
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+        remove(spark, processed)
+    remove(spark, raw_dir)
     return spark.createDataFrame(seen, "skip_load boolean, raw_rows bigint, clean_rows bigint, dim_rows bigint, "
                                        "fact_table_rows bigint, dim_table_rows bigint, violations bigint")
 

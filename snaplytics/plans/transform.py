@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,10 +28,11 @@ class StageMetrics:
     The rows dropped as incomplete stay in the job as one row per region, and every row that
     comes out of dedup carries the number of rows it stands for. So all counts can be
     observed in the stage that writes, whose tasks count once each however often they or the
-    stages before them run again; and there is no extra pass over the input.
+    stages before them run again; and there is no extra pass over the input. Each wave of regions
+    that is written on its own is observed on its own; the counts are added up.
     """
     regions: list[str]
-    observation: Observation = field(default_factory=lambda: Observation("stage_counts"))
+    observations: list[Observation] = field(default_factory=list)
 
     def observe(self, counted: DataFrame) -> DataFrame:
         """Attach the counters to rows of ``counted_fact``; call it above the last shuffle."""
@@ -41,12 +43,13 @@ class StageMetrics:
             aggs += [F.coalesce(F.sum(F.when(here, F.col("__merged"))), F.lit(0)).alias(f"raw_rows_{i}"),
                      F.coalesce(F.sum(F.when(real, F.col("__merged"))), F.lit(0)).alias(f"complete_rows_{i}"),
                      F.count_if(real & F.col("__negative")).alias(f"negative_rows_{i}")]
-        return counted.observe(self.observation, *aggs)
+        self.observations.append(Observation(f"stage_counts_{len(self.observations)}"))
+        return counted.observe(self.observations[-1], *aggs)
 
     def get(self, clean_rows: dict[str, int]) -> dict:
         """Counts in all and by region, once the write is over; ``clean_rows`` come from its output."""
-        seen = self.observation.get
-        by_region = {r: {k: seen.get(f"{k}_{i}", 0) for k in ("raw_rows", "complete_rows", "negative_rows")}
+        seen = [o.get for o in self.observations]
+        by_region = {r: {k: sum(s.get(f"{k}_{i}", 0) for s in seen) for k in ("raw_rows", "complete_rows", "negative_rows")}
                      | {"clean_rows": clean_rows.get(r, 0)} for i, r in enumerate(self.regions)}
         out: dict = {k: sum(c[k] for c in by_region.values())
                      for k in ("raw_rows", "complete_rows", "negative_rows", "clean_rows")}
@@ -86,9 +89,10 @@ def clean_fact(raw: DataFrame) -> DataFrame:
     return C.clamp_counters(C.add_features(df)).select(*FACT_COLUMNS)
 
 
-def counted_fact(raw: DataFrame) -> DataFrame:
+def counted_fact(raw: DataFrame, lay_out: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """``clean_fact`` with what ``StageMetrics`` counts: ``__real`` rows are the fact, and one other row
-    per region stands for its incomplete ones; ``__merged`` rows went into each."""
+    per region stands for its incomplete ones; ``__merged`` rows went into each. ``lay_out`` gets the rows
+    before columns are derived, which so don't go through its shuffle (it reads counters below 0 as 0)."""
     df = typed_rows(raw)
     real = F.lit(True)
     for c in C.CRITICAL_COLUMNS:
@@ -96,7 +100,7 @@ def counted_fact(raw: DataFrame) -> DataFrame:
     df = C.cast_category(df.withColumn("__real", real))
     base = [c for c in FACT_COLUMNS if c not in DERIVED]
     df = df.select("__real", *[c if c == "region" else F.when(F.col("__real"), F.col(c)).alias(c) for c in base])
-    df = keep_max_per_key(df, [*FACT_KEY, "__real"], by="views", merged="__merged")
+    df = lay_out(keep_max_per_key(df, [*FACT_KEY, "__real"], by="views", merged="__merged"))
     df = df.withColumn("__negative", X.any_negative())
     return C.clamp_counters(C.add_features(df)).select(*FACT_COLUMNS, "__real", "__merged", "__negative")
 

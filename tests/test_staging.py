@@ -24,6 +24,7 @@ from tests.test_etl import small_pair
 @pytest.fixture
 def small_waves(monkeypatch):
     monkeypatch.setattr(S, "WAVE_ROWS", 1)
+    monkeypatch.setattr(P, "WAVE_BYTES", 8)
 
 
 def shuffle_files(spark) -> set[str]:
@@ -78,3 +79,43 @@ def test_star_is_staged_between_its_shuffles(spark, small_waves, monkeypatch):
     assert shuffle_files(spark) <= shuffled and len([w for w in seen if w]) == 5
     assert [n.rsplit("-", 1)[0] for n in scratch(spark) - before] == ["fact-star"]
     assert got.columns == FACT_COLUMNS and rows(got) == want
+
+
+def test_transform_by_waves_counts_and_writes_the_same(spark, tmp_path, monkeypatch):
+    raw, regions = str(tmp_path / "raw"), ["US", "CA", "GB", "IN", "DE", "FR"]
+    fixtures.write_raw(raw)
+    whole = P.run_transform(spark, raw, str(tmp_path / "whole"), regions)
+    seen = count_writes(monkeypatch)
+    monkeypatch.setattr(P, "WAVE_BYTES", 8)
+    assert P.run_transform(spark, raw, str(tmp_path / "waves"), regions) == whole
+    assert len(seen) > 1 and None not in seen
+    assert rows(P.clean_fact_frame(spark, str(tmp_path / "waves"))) == rows(P.clean_fact_frame(spark, str(tmp_path / "whole")))
+
+
+def test_raw_star_is_compressed_and_read_back(spark, tmp_path, small_waves):
+    from snaplytics.sources.regional_csv import read_regional_csv
+
+    template = D.write_raw_star(spark, SF_SMALL, str(tmp_path / "csv"))
+    files = [p for p in (tmp_path / "csv").rglob("part-*")]
+    assert files and all(p.name.endswith(".csv.gz") for p in files)
+    want = D.raw_star(spark, SF_SMALL)
+    back = read_regional_csv(spark, str(tmp_path / "csv"), ["AF", "AM", "AS", "EU", "MI"], template)
+    assert P.packed(back) == P.PACKED
+    assert rows(back.select(*want.columns)) == rows(want)
+
+
+@pytest.mark.parametrize("name, left", [("pipeline_job", set())])
+def test_jobs_leave_only_what_their_results_read(spark, name, left, small_waves):
+    before, shuffled = scratch(spark), shuffle_files(spark)
+    out = rows(QUERIES[name](spark, SF_SMALL))
+    assert {n.rsplit("-", 1)[0] for n in scratch(spark) - before} == left
+    assert shuffle_files(spark) <= shuffled
+    star = D.fact_star(spark, SF_SMALL).withColumn("region", D.region_code(F.col("region")))
+    clean = keep_max_per_key(star, FACT_KEY, by="views")
+    if name == "load_job":
+        assert out == rows(clean)
+    elif name == "pipeline_job":
+        assert [r[:6] for r in out] == [(False, star.count(), clean.count(), 25, clean.count(), 25), (True, star.count(), clean.count(), 25, None, None)]
+    else:
+        n = {r[0]: r[1] for r in clean.groupBy("region").count().collect()}
+        assert out == sorted([(s, r, n[r], 25) for s in ("first", "failed") for r in n] + [("second", r, n[r], 24) for r in n if r != "AS"], key=repr)
