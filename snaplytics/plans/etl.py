@@ -100,7 +100,8 @@ def run_load(spark: SparkSession, processed_dir: str, fact_table: str = "trendin
                                       MAX_LENGTHS, DIM_MAX_LENGTHS)
     Q.assert_loadable(summary)
     if copy:
-        K.refresh_pair(fact, dim, fact_table, dim_table, location or f"{processed_dir.rstrip('/')}/tables")
+        waves = region_waves(Q.committed_rows(spark, paths.fact))
+        K.refresh_pair(fact, dim, fact_table, dim_table, location or f"{processed_dir.rstrip('/')}/tables", waves)
     else:
         K.register_table(spark, dim_table, K.dim_ddl(dim_table, paths.dim))
         K.register_table(spark, fact_table, K.fact_ddl(fact_table, paths.fact))

@@ -104,7 +104,7 @@ def test_raw_star_is_compressed_and_read_back(spark, tmp_path, small_waves):
     assert rows(back.select(*want.columns)) == rows(want)
 
 
-@pytest.mark.parametrize("name, left", [("pipeline_job", set())])
+@pytest.mark.parametrize("name, left", [("pipeline_job", set()), ("load_job", {"load-tables"})])
 def test_jobs_leave_only_what_their_results_read(spark, name, left, small_waves):
     before, shuffled = scratch(spark), shuffle_files(spark)
     out = rows(QUERIES[name](spark, SF_SMALL))
