@@ -401,10 +401,10 @@ def _k4(spark, d):
     fact_table, dim_table = fresh_name("refresh_fact"), fresh_name("refresh_dim")
     root = scratch_path(spark, "refresh")
     # the rows to load are written once: the three loads read them, and don't each deduplicate the fact anew
-    fact = keep_max_per_key(fact_star(spark, d).withColumn("region", region_code(F.col("region"))), FACT_KEY, by="views")
     rows = scratch_path(spark, "refresh-rows")
-    fact.write.parquet(rows)
-    fact = spark.read.schema(fact.schema).parquet(rows)
+    with staged_star(spark, d, region_code) as (star, waves):
+        fact = write_by_region(enrich(keep_max_per_key(star, FACT_KEY, by="views")), rows, waves)
+    waves = region_waves(Q.committed_rows(spark, rows))
     dim = category_dim(spark, d)
     fewer = fact.where("region <> 'AS'"), dim.where("category_id <> 0")
     broken = fewer[0].withColumn("title", F.raise_error(F.lit("fails between the tables")).cast("string"))
@@ -414,7 +414,7 @@ def _k4(spark, d):
     try:
         for step, pair in (("first", (fact, dim)), ("failed", (broken, fewer[1])), ("second", fewer)):
             try:
-                K.refresh_pair(*pair, fact_table, dim_table, root)
+                K.refresh_pair(*pair, fact_table, dim_table, root, waves)
             except Exception as ex:
                 if step != "failed" or "fails between the tables" not in str(ex):
                     raise
@@ -425,6 +425,7 @@ def _k4(spark, d):
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
         for name in (fact_table, dim_table):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(spark, rows, root)
     return spark.createDataFrame(seen, "step string, region string, fact_rows bigint, dim_rows bigint")
 
 

@@ -104,7 +104,7 @@ def test_raw_star_is_compressed_and_read_back(spark, tmp_path, small_waves):
     assert rows(back.select(*want.columns)) == rows(want)
 
 
-@pytest.mark.parametrize("name, left", [("pipeline_job", set()), ("load_job", {"load-tables"})])
+@pytest.mark.parametrize("name, left", [("pipeline_job", set()), ("load_refresh_twice", set()), ("load_job", {"load-tables"})])
 def test_jobs_leave_only_what_their_results_read(spark, name, left, small_waves):
     before, shuffled = scratch(spark), shuffle_files(spark)
     out = rows(QUERIES[name](spark, SF_SMALL))
@@ -119,3 +119,14 @@ def test_jobs_leave_only_what_their_results_read(spark, name, left, small_waves)
     else:
         n = {r[0]: r[1] for r in clean.groupBy("region").count().collect()}
         assert out == sorted([(s, r, n[r], 25) for s in ("first", "failed") for r in n] + [("second", r, n[r], 24) for r in n if r != "AS"], key=repr)
+
+
+def test_version_whose_write_fails_is_deleted(spark, tmp_path):
+    names = [f"gone_{x}_{uuid.uuid4().hex[:6]}" for x in ("fact", "dim")]
+    fact, dim = small_pair(spark)
+    broken = fact.withColumn("title", F.when(F.col("region") == "US", F.raise_error(F.lit("half way")).cast("string")).otherwise(F.lit("t")))
+    with pytest.raises(Exception, match="half way"):
+        K.refresh_pair(broken, dim, *names, str(tmp_path), [["CA"], ["US"]])
+    assert not [f for _, _, files in os.walk(tmp_path) for f in files]
+    K.refresh_pair(fact, dim, *names, str(tmp_path), [["CA"], ["US"]])
+    assert sorted(r.region for r in spark.table(names[0]).collect()) == ["CA", "US"]
